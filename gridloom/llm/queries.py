@@ -7,18 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .packing import pack_documents
+from .sstable import encode_to_shards
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the machine has a public tokenizer's file; it is at the same place on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # whole texts can be long: Python workers get them in batches of bounded size
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_to_shards(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
+
+
+def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_exact_dedup,)}
+    return {f.__name__: f for f in (op1_sstable_shards, op8_sum_of_squares_packing, op10_exact_dedup)}
 
 
 ORACLE_SQL = {
