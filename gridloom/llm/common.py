@@ -194,3 +194,24 @@ def window_hashes(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, n
     for i in range(n):
         x = mix(x * np.uint64(0xFF51AFD7ED558CCD) + h[at + i] + np.uint64(i + 1))
     return at, doc[at], x
+
+
+# --- skew-safe joins ----------------------------------------------------------------------------------------------
+
+#: A group with over 1/HOT_GROUPS of all rows is one of at most HOT_GROUPS, so such groups can be broadcast.
+HOT_GROUPS = 4096
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int, unique: str) -> DataFrame:
+    """rows left-joined to groups (one row a key; size: its number of rows) without piling a hot key up on one task.
+
+    Hot groups are joined by broadcast, the others by key; rows of hot groups then carry a key that meets nothing, made
+    from the column unique. key must be binary and not null in rows.
+    """
+    limit, payload = max(1, n_rows // HOT_GROUPS), [c for c in groups.columns if c != key]
+    hot = groups.where(F.col(size) > limit).select(key, F.struct(*payload).alias("_hot"))
+    cold = groups.where(F.col(size) <= limit).select(F.col(key).alias("_key"), F.struct(*payload).alias("_cold"))
+    out = rows.join(F.broadcast(hot), key, "left")
+    out = out.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.encode(F.concat(F.lit("hot"), F.col(unique).cast("string")), "UTF-8")))
+    out = out.join(cold, "_key", "left").withColumn("_group", F.coalesce("_hot", "_cold"))
+    return out.select(*rows.columns, *(F.col("_group")[c].alias(c) for c in payload))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .packing import pack_documents
 from .sstable import encode_to_shards
 
@@ -31,6 +32,10 @@ def op1_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_to_shards(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
 
@@ -40,7 +45,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_shards, op8_sum_of_squares_packing, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_sstable_shards, op3_minhash_near_dedup, op8_sum_of_squares_packing, op10_exact_dedup)}
 
 
 ORACLE_SQL = {
