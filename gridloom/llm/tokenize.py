@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 
 #: Words that one worker remembers; then it forgets them all. Only speed depends on it.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_400_000
 _open: dict[str, "Encoder"] = {}
 
 
