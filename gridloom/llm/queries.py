@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
 from .minhash import near_duplicates
+from .mixing import mix
 from .packing import pack_documents
+from .quality_rules import quality_rules
 from .sstable import encode_to_shards
 
+#: Sources are mixed in proportion to their size to this power.
+MIX_POWER, MIX_SEED = 0.7, 0
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -21,7 +25,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # whole texts can be long: Python workers get them in batches of bounded size
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
@@ -29,26 +33,52 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sstable_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_to_shards(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
+    return encode_to_shards(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
+
+
+def op2_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"), power=MIX_POWER, seed=MIX_SEED)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+    return near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
+    return exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_shards, op3_minhash_near_dedup, op8_sum_of_squares_packing, op10_exact_dedup)}
-
+    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op7_quality_rules, op8_sum_of_squares_packing, op10_exact_dedup)}
+
+
+#: The least k whose cumulative Poisson probability reaches u: one for each table entry below it.
+_MIX_SQL = """
+    WITH RECURSIVE sizes AS (SELECT source, count(*) AS size FROM documents GROUP BY source),
+    rates AS (SELECT source, CAST(pow(CAST(size AS DOUBLE), 0.7) / sum(pow(CAST(size AS DOUBLE), 0.7)) OVER () * sum(size) OVER () / size AS DOUBLE) AS rate FROM sizes),
+    cdf AS (
+        SELECT source, rate, 0 AS k, -rate AS lp, exp(-rate) AS total FROM rates
+        UNION ALL
+        SELECT source, rate, k + 1, lp + ln(rate) - ln(CAST(k + 1 AS DOUBLE)), total + exp(lp + ln(rate) - ln(CAST(k + 1 AS DOUBLE))) FROM cdf WHERE k + 1 <= ceil(rate + 12 * sqrt(rate)) + 24),
+    tables AS (SELECT source, list(total ORDER BY k) AS t FROM cdf GROUP BY source),
+    counted AS (
+        SELECT d.*, len(list_filter(t, lambda c: c < (CAST('0x' || substr(md5('0:count|' || d.doc_id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS n
+        FROM documents d JOIN tables s ON d.source IS NOT DISTINCT FROM s.source),
+    copies AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(n)) AS copy FROM counted)
+    SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+           CAST('0x' || substr(md5('0:order|' || doc_id || '|' || copy), 1, 13) AS BIGINT) AS shuffle_key
+    FROM copies"""
 
 ORACLE_SQL = {
+    "op2_poisson_mixing": _MIX_SQL,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
