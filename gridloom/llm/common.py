@@ -90,6 +90,26 @@ def may_contain(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
     return out.where(F.col("_word").bitwiseAND(_filter_mask(F.col(key))) == _filter_mask(F.col(key))).drop("_slot", "_word")
 
 
+def split_by_filter(df: DataFrame, key: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be in the filter, all other rows), as two reads of df, without a shuffle."""
+    n = words._gridloom_slots
+    both = df.withColumn("_slot", F.col(key).bitwiseAND(F.lit(n - 1).cast("long"))).join(F.broadcast(words), "_slot", "left")
+    inside = F.coalesce(F.col("_word").bitwiseAND(_filter_mask(F.col(key))) == _filter_mask(F.col(key)), F.lit(False))
+    return both.where(inside).drop("_slot", "_word"), both.where(~inside).drop("_slot", "_word")
+
+
+#: Rows of a lookup table that may be broadcast, and parts into which a key's rows are dealt beyond.
+MAX_LOOKUP_ROWS, LOOKUP_SALTS = 10_000, 64
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """rows joined to a table with one row a key: by broadcast if it is small, else by key and salt, so no key is hot."""
+    if table.count() <= MAX_LOOKUP_ROWS:
+        return rows.join(F.broadcast(table), key)
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(LOOKUP_SALTS)).cast("int")).join(salted, [key, "_salt"]).drop("_salt")
+
+
 # --- numpy text kernels -------------------------------------------------------------------------------------------
 
 _MUL, _INV = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, null_key
+from .common import durable, look_up, null_key
 
-#: Up to so many sources their rates are broadcast; beyond, they are joined by source and salt.
-MAX_BROADCAST_SOURCES, SALTS = 10_000, 64
 _DIGITS = 13  # of a hexadecimal digest: 52 bits, exact in a double
 
 
@@ -65,12 +63,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     if clash := {copy_col, order_col} & set(docs.columns):
         raise ValueError(f"columns of docs: {sorted(clash)}")
     rates = durable(source_rates(docs, weights, power, epochs, source_col).withColumn("_table", F.when(F.col("rate") > 0, poisson_table(F.col("rate")))).select(F.col("key").alias("_key"), "_table"), "mixing-rates")
-    rows = docs.withColumn("_key", null_key(source_col))
-    if rates.count() <= MAX_BROADCAST_SOURCES:
-        rows = rows.join(F.broadcast(rates), "_key")
-    else:  # a source with many rows is met by as many copies of its rate as there are salts
-        salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")).join(salted, ["_key", "_salt"]).drop("_salt")
+    rows = look_up(docs.withColumn("_key", null_key(source_col)), rates, "_key", id_col)
     u = uniform(f"{seed}:count", F.col(id_col))
     # a table ends where what is left is below the step of u: one more copy at most
     rows = rows.withColumn("_u", u).withColumn("_n", F.when(F.col("_table").isNull(), 0).otherwise(F.size(F.filter("_table", lambda c: c < F.col("_u")))))

@@ -81,15 +81,15 @@ def base_counts(batch: Batch) -> dict[str, np.ndarray]:
     return {"n_words": words, "word_chars": chars, "n_symbols": summed(_SYMBOL[data]) if len(data) else np.zeros(n, np.int64), "n_dup_lines": dup, "n_repeat_words": repeat}
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS, most: int = SAMPLE_BYTES) -> tuple[list[str], np.ndarray]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS, most: int = SAMPLE_BYTES, carry: str | None = None) -> tuple[list[str], np.ndarray]:
     """At most per_class labelled documents of each class, those of the smallest id hashes: (texts, labels).
 
-    This is the bounded sample that a model may be fitted on; texts are read to most characters here only.
+    carry: a column to return in the place of label. This is the bounded sample that a model may be fitted on; texts are read to most characters here only.
     """
     rank = F.xxhash64("doc_id", F.lit(11))
     picked = None
     for value in (0, 1):
-        some = labels.where((F.col(label) == value) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("y")).distinct().orderBy(rank, "doc_id").limit(per_class)
+        some = labels.where((F.col(label) == value) & F.col("doc_id").isNotNull()).select("doc_id", F.col(carry or label).alias("y")).distinct().orderBy(rank, "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
     picked = durable(picked, "labelled-sample")  # at most 2 * per_class rows: broadcast
     rows = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, most).alias("text")).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "y"]).collect()
@@ -105,7 +105,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> linear.Model | None:
     if len(set(y.tolist())) < 2:
         return None
     doc, feature = linear.features(Batch(pa.array(texts, pa.string())))
-    held = np.arange(len(y)) % 5 == 0
+    held = np.random.default_rng(0).permutation(len(y)) % 5 == 0
     fit, test = np.flatnonzero(~held), np.flatnonzero(held)
     model = linear.train(*linear.subset(doc, feature, fit), y[fit])
     return linear.calibrate(model, model.raw(*linear.subset(doc, feature, test), len(test)), y[test])

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .line_dedup import drop_boilerplate
 from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .sstable import encode_to_shards
+from .toxicity import toxicity
 
 #: Sources are mixed in proportion to their size to this power.
 MIX_POWER, MIX_SEED = 0.7, 0
@@ -44,6 +46,14 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -57,7 +67,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op7_quality_rules, op8_sum_of_squares_packing, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op5_line_dedup, op6_toxicity_chain, op7_quality_rules, op8_sum_of_squares_packing, op10_exact_dedup)}
 
 
 #: The least k whose cumulative Poisson probability reaches u: one for each table entry below it.
@@ -79,6 +89,17 @@ _MIX_SQL = """
 
 ORACLE_SQL = {
     "op2_poisson_mixing": _MIX_SQL,
+    "op5_line_dedup": """
+        WITH l AS (SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM documents),
+        c AS (SELECT source, line, count(*) AS n FROM l WHERE regexp_matches(line, '\\S') GROUP BY ALL),
+        t AS (SELECT source, count(*) AS total FROM documents GROUP BY ALL),
+        b AS (SELECT c.source, list(line) AS bad FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+              WHERE n >= 3 AND n * 100 > total * 2 GROUP BY c.source),
+        s AS (SELECT d.doc_id, d.source, string_split(text, chr(10)) AS lines, coalesce(bad, []) AS bad
+              FROM documents d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+        SELECT doc_id, source, array_to_string(list_filter(lines, lambda x: NOT list_contains(bad, x)), chr(10)) AS text,
+               len(lines) AS n_lines, len(lines) - len(list_filter(lines, lambda x: NOT list_contains(bad, x))) AS n_dropped_lines
+        FROM s""",
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

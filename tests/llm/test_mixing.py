@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from gridloom.llm import mixing
+from gridloom.llm import common, mixing
 
 
 def expected(doc_id, rate, seed=0):
@@ -20,7 +20,7 @@ def expected(doc_id, rate, seed=0):
 @pytest.mark.parametrize("many", [False, True])
 def test_counts_by_brute_force(spark, many, monkeypatch):
     if many:
-        monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 1)
+        monkeypatch.setattr(common, "MAX_LOOKUP_ROWS", 1)
     rows = [(i, f"t{i}", ["a", "a", "a", "b", None, ""][i % 6], i) for i in range(1200)] + [(3, "again", "b", 0), (None, None, "a", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long")
     weights = {"a": 1.0, "b": 2.0, None: 0.5, "absent": 9.0}
