@@ -33,8 +33,13 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def durable(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read back: cuts lineage and outlives lost executors."""
+def durable(df: DataFrame, name: str, tasks: int | None = None, **options: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read back: cuts lineage and outlives lost executors.
+
+    tasks: the most tasks that the last step is worth, where its rows are known to be few.
+    """
+    if tasks is not None:
+        df = df.coalesce(max(1, tasks))
     spark, path = df.sparkSession, new_dir(df.sparkSession, name)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

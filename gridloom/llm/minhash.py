@@ -117,11 +117,11 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
 
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of which 100 * intersection >= percent * union holds for their full shingle sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = durable(ids.withColumn("key", F.xxhash64("id")), "candidate-ids", compression="zstd")
-    words = membership_filter(ids, "key", ids.count())
+    n = pairs.count()
+    words = membership_filter(pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("key")), "key", 2 * n)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("id"))
-    texts = durable(may_contain(texts, "key", words).drop("key").join(ids.select("id"), "id", "left_semi"), "candidate-texts", compression="zstd")
+    # what the filter lets through besides meets no pair
+    texts = durable(may_contain(texts, "key", words).drop("key"), "candidate-texts", compression="zstd")
     both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
 
     def check(batches: Iterator) -> Iterator:
@@ -145,14 +145,16 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, widt
                 yield pa.record_batch([c.slice(i, j - i).filter(pa.array(ok)) for c in batch.columns[:2]], names=["a", "b"])
                 i = j
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    found = both.select("a", "b", "text_a", "text_b").coalesce(max(12, n // 2000)).mapInArrow(check, "a long, b long")
+    return durable(found, "verified", compression="zstd")
 
 
-def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Pairs of a bucket's documents in different components that may be links, by size and by their marks.
 
     A bucket of over BLOCK documents is split into blocks, and each pair of blocks is one task's work; so no pair is
-    left out and no task holds more than two blocks. members: (key, id, n, component, size of the bucket).
+    left out and no task holds more than two blocks. best: only so many pairs of two components, those with the most
+    equal marks. members: (key, id, n, component, size of the bucket).
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
@@ -170,17 +172,21 @@ def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int) -> DataFram
         n_b, c_b = right["n"].to_numpy(), right["component"].to_numpy()
         # five standard deviations below the expected number of equal marks at the threshold
         p = percent / 100
-        least = int(MARKS * p - 5.5 * (MARKS * p * (1 - p)) ** 0.5)
+        least = int(MARKS * p - 5 * (MARKS * p * (1 - p)) ** 0.5)
         for a, n, c, m in zip(a_ids, left["n"], left["component"], left["marks"], strict=True):
             fit = (c_b != c) & (100 * np.minimum(n_b, n) >= percent * np.maximum(n_b, n)) & ((b_ids > a) if i == j else True)
-            fit[fit] = (marks_b[fit] == np.frombuffer(m, np.uint8)).sum(axis=1) >= least
-            out += [(min(a, b), max(a, b)) for b in b_ids[fit].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            equal = (marks_b[fit] == np.frombuffer(m, np.uint8)).sum(axis=1)
+            ok = np.flatnonzero(fit)[equal >= least]
+            out += [(min(a, b), max(a, b), e, min(c, d), max(c, d)) for b, d, e in zip(b_ids[ok].tolist(), c_b[ok].tolist(), equal[equal >= least].tolist(), strict=True)]
+        found = pd.DataFrame(out, columns=["a", "b", "equal", "c", "d"], dtype="int64")
+        if best is not None:
+            found = found.sort_values(["equal", "a", "b"], ascending=[False, True, True]).groupby(["c", "d"]).head(best)
+        return found[["a", "b"]]
 
     return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, star_rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, best: int = 2) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable over links), kept (id = component_id).
 
     A document's set is its distinct runs of width words (A-Z lower-cased); with fewer words the whole sequence is one
@@ -189,9 +195,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null component and is kept. An empty table gives no rows; other columns play no part.
 
     Documents with the same words are first folded into one. Sketches are cut into BANDS keys. In each bucket all
-    documents are compared with the smallest id; only where that leaves a bucket in several components are further
-    leaders tried, and then all remaining pairs across components whose sketches allow a link. Every link is confirmed on
-    full sets. So no bucket is capped, and pairs inside a component are not listed.
+    documents are compared with the smallest id; where that leaves a bucket in several components, the best pairs of any
+    two of them are compared, and where that leaves several, all other pairs across them whose sketches allow a link.
+    Every link is confirmed on full sets. So no bucket is capped, and pairs inside a component are not listed.
     """
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     table = durable(sketch_table(docs, id_col, text_col, width), "sketches", compression="zstd")
@@ -208,38 +214,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     same_id = folded.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     pairs = durable(members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "pairs", compression="zstd")
-    links = durable(verified(pairs, docs, id_col, text_col, width, percent), "verified", compression="zstd")
-    tried, step = pairs, 0
-    while True:
-        found = components(links)
+    links, tried = verified(pairs, docs, id_col, text_col, width, percent), pairs
+    found = components(links)
+    for most in (best, None):
         placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("key", "size")
         open_members = durable(placed.join(mixed, "key").select("key", "id", "n", "component", "size"), "open-buckets", compression="zstd")
         if open_members.isEmpty():
             break
-        # how many pairs stand open, were all of them compared
-        by_part = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-        per_key = by_part.groupBy("key").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
-        count, rows_open = per_key.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
-        last = step >= star_rounds or count <= 16 * rows_open
-        if last:
-            marks = reps.select("id", "marks").join(open_members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-            more = _cross_pairs(open_members, marks, percent)
-        else:
-            lead = open_members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(step)).alias("h"), "id", "component", "n")).alias("x")).select("key", "x.id", "x.component", "x.n").toDF("key", "l", "lc", "ln")
-            ahead = open_members.join(lead, "key").where("component <> lc and 100 * least(n, ln) >= " + f"{percent} * greatest(n, ln)")
-            more = ahead.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct()
-        more = durable(more.join(tried, ["a", "b"], "left_anti"), "pairs", compression="zstd")
-        links = links.unionByName(durable(verified(more, docs, id_col, text_col, width, percent), "verified", compression="zstd"))
-        tried, step = tried.unionByName(more), step + 1
-        if last:
+        marks = reps.select("id", "marks").join(open_members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+        more = durable(_cross_pairs(open_members, marks, percent, most).join(tried, ["a", "b"], "left_anti"), "pairs", compression="zstd")
+        if not more.isEmpty():
+            links = links.unionByName(verified(more, docs, id_col, text_col, width, percent))
             found = components(links)
-            break
+        tried = tried.unionByName(more)
 
-    final = durable(found, "components", compression="zstd")
     # a copy's component is that of the row it was folded into; hot groups are joined by broadcast again
     by_rep = folded.groupBy("rep").agg(F.count(F.lit(1)).alias("copies"))
-    comp = final.join(by_rep.withColumnRenamed("rep", "id"), "id").select(F.encode(F.col("id").cast("string"), "UTF-8").alias("at"), "component", "copies")
+    comp = found.join(by_rep.withColumnRenamed("rep", "id"), "id").select(F.encode(F.col("id").cast("string"), "UTF-8").alias("at"), "component", "copies")
     out = attach(folded.withColumn("at", F.encode(F.col("rep").cast("string"), "UTF-8")), comp, "at", "copies", table.count(), "id")
     out = out.select("id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     # rows that share an id but not their words belong together

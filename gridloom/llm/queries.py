@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .language_model import perplexity_quality
 from .line_dedup import drop_boilerplate
 from .minhash import near_duplicates
 from .mixing import mix
@@ -62,12 +63,16 @@ def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
 
 
+def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op5_line_dedup, op6_toxicity_chain, op7_quality_rules, op8_sum_of_squares_packing, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op5_line_dedup, op6_toxicity_chain, op7_quality_rules, op8_sum_of_squares_packing, op9_kneser_ney_quality, op10_exact_dedup)}
 
 
 #: The least k whose cumulative Poisson probability reaches u: one for each table entry below it.

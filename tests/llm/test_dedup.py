@@ -74,9 +74,9 @@ def test_near_duplicates_by_brute_force(spark):
     check_near(spark, rows, 4)
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_chains_are_followed(spark, rounds, monkeypatch):
-    """Each text is close to the next, but the ends have little in common; small blocks and no leaders make no difference."""
+@pytest.mark.parametrize("best", [1, 3])
+def test_chains_are_followed(spark, best, monkeypatch):
+    """Each text is close to the next, but the ends have little in common; small blocks make no difference."""
     monkeypatch.setattr(M, "BLOCK", 7)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(120)]
@@ -86,7 +86,7 @@ def test_chains_are_followed(spark, rounds, monkeypatch):
         at = rng.randrange(len(words) - 3)
         words[at] = f"n{i}"
     rows += [(100 + i, " ".join(edited(rng, [f"z{j}" for j in range(100)], 3))) for i in range(40)]
-    check_near(spark, rows, 4, star_rounds=rounds)
+    check_near(spark, rows, 4, best=best)
 
 
 def test_near_duplicates_odd_rows(spark):
