@@ -59,10 +59,9 @@ class Model:
     a: float = 1.0
     b: float = 0.0
 
-    def raw(self, doc: np.ndarray, feature: np.ndarray, n_docs: int, more: np.ndarray | None = None) -> np.ndarray:
+    def raw(self, doc: np.ndarray, feature: np.ndarray, n_docs: int) -> np.ndarray:
         total = np.bincount(doc, weights=self.weights[feature], minlength=n_docs)
-        count = np.maximum(np.bincount(doc, minlength=n_docs), 1)
-        return SCALE * total / count + self.bias + (more @ self.more if more is not None and len(self.more) else 0)
+        return SCALE * total / np.maximum(np.bincount(doc, minlength=n_docs), 1) + self.bias
 
     def probability(self, *x, **y) -> np.ndarray:
         return sigmoid(self.a * self.raw(*x, **y) + self.b)
@@ -76,26 +75,57 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def train(doc: np.ndarray, feature: np.ndarray, y: np.ndarray, more: np.ndarray | None = None, steps: int = 150, l2: float = 1e-4) -> Model:
+@dataclass
+class Bags:
+    """(document, feature, times) of some texts, and how many n-grams each text has."""
+
+    doc: np.ndarray
+    feature: np.ndarray
+    times: np.ndarray
+    size: np.ndarray
+
+    def rows(self, rows: np.ndarray) -> "Bags":
+        place = np.full(len(self.size), -1)
+        place[rows] = np.arange(len(rows))
+        keep = place[self.doc] >= 0
+        return Bags(place[self.doc[keep]], self.feature[keep], self.times[keep], self.size[rows])
+
+    def raw(self, model: "Model") -> np.ndarray:
+        return SCALE * np.bincount(self.doc, weights=self.times * model.weights[self.feature], minlength=len(self.size)) / np.maximum(self.size, 1) + model.bias
+
+
+def bags(texts: list[str]) -> Bags:
+    """The features of a bounded sample, summed up a megabyte of text at a time."""
+    import pyarrow as pa
+
+    keys, times, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    for i, part in Batch(pa.array(texts, pa.string())).parts(1 << 20):
+        doc, feature = features(part)
+        size.append(np.bincount(doc, minlength=part.n))
+        key, n = np.unique((doc.astype(np.int64) + i) << BITS | feature, return_counts=True)
+        keys.append(key)
+        times.append(n)
+    key = np.concatenate(keys)
+    return Bags((key >> BITS).astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32), np.concatenate(times).astype(np.float32), np.concatenate(size) if size else np.zeros(0, np.int64))
+
+
+def train(bag: Bags, y: np.ndarray, steps: int = 150, l2: float = 1e-4) -> Model:
     """Full-batch Adam on log loss with classes weighted alike; the order of n-grams makes no difference."""
-    n = len(y)
-    more = np.zeros((n, 0)) if more is None else more
-    key, count = np.unique(doc.astype(np.int64) << BITS | feature, return_counts=True)
-    d, f = key >> BITS, key & ((1 << BITS) - 1)
-    value = SCALE * count / np.maximum(np.bincount(doc, minlength=n), 1)[d]
-    used, f = np.unique(f, return_inverse=True)
-    w = np.zeros(len(used) + more.shape[1] + 1)
+    n, d = len(y), bag.doc
+    value = (SCALE * bag.times / np.maximum(bag.size, 1)[d]).astype(np.float32)
+    used, f = np.unique(bag.feature, return_inverse=True)
+    w = np.zeros(len(used) + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     for t in range(1, steps + 1):
-        z = np.bincount(d, weights=value * w[f], minlength=n) + more @ w[len(used) : -1] + w[-1]
+        z = np.bincount(d, weights=value * w[f], minlength=n) + w[-1]
         g = (sigmoid(z) - y) * share
-        grad = np.concatenate([np.bincount(f, weights=value * g[d], minlength=len(used)), more.T @ g, [g.sum()]]) + l2 * np.append(w[:-1], 0)
+        grad = np.append(np.bincount(f, weights=value * g[d], minlength=len(used)), g.sum()) + l2 * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     weights = np.zeros(1 << BITS)
-    weights[used] = w[: len(used)]
-    return Model(weights, w[len(used) : -1], float(w[-1]))
+    weights[used] = w[:-1]
+    return Model(weights, np.zeros(0), float(w[-1]))
 
 
 def calibrate(model: Model, raw: np.ndarray, y: np.ndarray) -> Model:
@@ -112,11 +142,3 @@ def calibrate(model: Model, raw: np.ndarray, y: np.ndarray) -> Model:
         w -= step / max(1.0, np.abs(step).max())
     model.a, model.b = float(w[0]), float(w[1])
     return model
-
-
-def subset(doc: np.ndarray, feature: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of some documents, which are numbered anew in the order of rows."""
-    place = np.full(int(max(doc.max(initial=-1), rows.max(initial=-1))) + 1, -1)
-    place[rows] = np.arange(len(rows))
-    keep = place[doc] >= 0
-    return place[doc[keep]], feature[keep]

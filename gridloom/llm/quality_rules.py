@@ -13,8 +13,8 @@ from .common import Batch, durable, ship_package, window_hashes, words_of
 
 #: Labelled rows that the model is fitted on, at most, of each class; a fifth of them calibrates it.
 SAMPLE_PER_CLASS = 1500
-#: Bytes of a labelled row that are read for fitting (scoring reads whole texts).
-SAMPLE_BYTES = 20_000
+#: Characters of a labelled row that are read for fitting (scoring reads whole texts).
+SAMPLE_BYTES = 8_000
 #: A document is dropped if its calibrated probability of good quality is below this.
 THRESHOLD = 0.2
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -99,16 +99,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> linear.Model | None:
     """The calibrated model of good quality, or None where the labels lack a class."""
-    import pyarrow as pa
-
     texts, y = labelled_sample(docs, labels, "quality")
     if len(set(y.tolist())) < 2:
         return None
-    doc, feature = linear.features(Batch(pa.array(texts, pa.string())))
+    bag = linear.bags(texts)
     held = np.random.default_rng(0).permutation(len(y)) % 5 == 0
-    fit, test = np.flatnonzero(~held), np.flatnonzero(held)
-    model = linear.train(*linear.subset(doc, feature, fit), y[fit])
-    return linear.calibrate(model, model.raw(*linear.subset(doc, feature, test), len(test)), y[test])
+    model = linear.train(bag.rows(np.flatnonzero(~held)), y[~held])
+    return linear.calibrate(model, bag.rows(np.flatnonzero(held)).raw(model), y[held])
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -16,7 +16,7 @@ from .quality_rules import labelled_sample
 #: The chain's categories in order: poor quality, toxic, severely toxic (see severe()).
 CATEGORIES = ("junk", "toxic", "severe")
 #: Labelled rows of each class and characters of each that the chain is fitted on; words that a model may use.
-SAMPLE_PER_CLASS, SAMPLE_BYTES, MAX_WORDS, MIN_DOCS, MIN_CHI2, FOLDS = 1500, 200_000, 200_000, 4, 10.83, 5
+SAMPLE_PER_CLASS, SAMPLE_BYTES, MAX_WORDS, MIN_DOCS, MIN_CHI2, FOLDS = 1500, 30_000, 200_000, 4, 10.83, 5
 THRESHOLD = 0.5
 PREFIXES = (4, 5)
 _LETTER = np.zeros(256, bool)
@@ -128,7 +128,9 @@ def fit_chain(texts: list[str], junk: np.ndarray, toxic: np.ndarray) -> Chain:
     """Fits each category's model with the out-of-fold probabilities of the categories before it."""
     import pyarrow as pa
 
-    doc, h = letter_words(Batch(pa.array(texts, pa.string())))
+    parts = [(i, *letter_words(part)) for i, part in Batch(pa.array(texts, pa.string())).parts(1 << 20)]
+    doc, h = np.concatenate([d + i for i, d, _ in parts]), np.concatenate([x for _, _, x in parts])
+    del parts
     found, count = np.unique(h, return_counts=True)
     often = np.argsort(-count, kind="stable")[:MAX_WORDS]
     vocabulary = np.sort(found[often[count[often] >= MIN_DOCS]])
