@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .language_model import perplexity_quality
 from .line_dedup import drop_boilerplate
 from .minhash import near_duplicates
@@ -47,6 +48,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op4_recurrent_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -72,7 +77,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op5_line_dedup, op6_toxicity_chain, op7_quality_rules, op8_sum_of_squares_packing, op9_kneser_ney_quality, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_sstable_shards, op2_poisson_mixing, op3_minhash_near_dedup, op4_recurrent_block_labeller, op5_line_dedup, op6_toxicity_chain, op7_quality_rules, op8_sum_of_squares_packing, op9_kneser_ney_quality, op10_exact_dedup)}
 
 
 #: The least k whose cumulative Poisson probability reaches u: one for each table entry below it.
