@@ -1 +1,66 @@
-"""To come."""
+"""Leak checks, tagging and text clean-up."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import audit as A
+from .registry import query
+
+_T = "t AS (SELECT o_orderkey, o_totalprice AS target FROM orders WHERE o_orderkey % 100 = 0)"
+_C = "c AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS value FROM lineitem UNION ALL SELECT o_orderkey, 0, o_totalprice FROM orders WHERE o_orderkey % 200 = 0)"
+_KEY = "floor(log10(abs({0}))) AS e{1}, floor(abs({0}) / pow(10.0, floor(log10(abs({0}))) - 3) + 0.5) AS m{1}"
+
+
+@query(f"""WITH {_T}, {_C}, a AS (SELECT *, {_KEY.format('value', '1')} FROM c WHERE value <> 0 AND NOT (value = floor(value) AND abs(value) < 10000)), b AS (SELECT *, {_KEY.format('target', '2')} FROM t WHERE target <> 0)
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_orderkey, value, target, CASE WHEN abs(value - target) <= 1e-12 * greatest(1.0, abs(target)) THEN 'deny' ELSE 'suspect' END AS kind FROM a JOIN b ON e1 = e2 AND m1 = m2 AND sign(value) = sign(target)""")
+def pasted_answers(t):
+    targets = t("orders").where("o_orderkey % 100 = 0").select("o_orderkey", F.col("o_totalprice").alias("target"))
+    cells = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_extendedprice").alias("value"))
+    cells = cells.unionByName(t("orders").where("o_orderkey % 200 = 0").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("long").alias("l_linenumber"), F.col("o_totalprice").alias("value")))
+    return A.leaks(cells, targets)
+
+
+@query("""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9][0-9,]*(?:\\.[0-9]+)?%?')) AS x FROM documents), n AS (SELECT doc_id, CAST(regexp_replace(x, '[,%]', '', 'g') AS DOUBLE) AS v FROM f UNION ALL SELECT doc_id, CAST(regexp_replace(x, '[,%]', '', 'g') AS DOUBLE) / 100 FROM f WHERE x LIKE '%\\%' ESCAPE '\\')
+    SELECT doc_id, count(*) AS n, max(v) AS top FROM n GROUP BY doc_id""")
+def leak_text_numbers(t):
+    return t("documents").select("doc_id", F.explode(A.numbers_in("text")).alias("v")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("top"))
+
+
+_FAMILIES = {"returns": ["return", "irr", "moic"], "debt": ["debt", "loan", "interest"], "licence": ["license", "rights reserved", "copyright"]}
+
+
+@query("""WITH s AS (SELECT doc_id, contains(lower(text), 'return')::INT + contains(lower(text), 'irr')::INT + contains(lower(text), 'moic')::INT AS a, contains(lower(text), 'debt')::INT + contains(lower(text), 'loan')::INT + contains(lower(text), 'interest')::INT AS b,
+    contains(lower(text), 'license')::INT + contains(lower(text), 'rights reserved')::INT + contains(lower(text), 'copyright')::INT AS c FROM documents)
+    SELECT doc_id, CASE WHEN greatest(a, b, c) < 1 THEN NULL WHEN a >= greatest(b, c) THEN 'returns' WHEN b >= c THEN 'debt' ELSE 'licence' END AS family, CAST(greatest(a, b, c) AS BIGINT) AS score FROM s""")
+def family_tagging(t):
+    return A.families(t("documents"), "doc_id", "text", _FAMILIES)
+
+
+@query("""SELECT event_id, CAST(regexp_extract(props, '"([a-z]+)" *: *(-?[0-9]+(?:\\.[0-9]+)?)', 2) AS DOUBLE) AS k, len(regexp_extract_all(props, '"([a-z]+)" *: *(-?[0-9]+(?:\\.[0-9]+)?)')) AS pairs FROM events""")
+def json_salvage(t):
+    m = A.salvaged(F.concat(F.col("props"), F.lit(', "cut": 12')))
+    return t("events").select("event_id", m.alias("m")).select("event_id", F.try_element_at("m", F.lit("k")).alias("k"), F.size("m").cast("long").alias("pairs"))
+
+
+@query("""SELECT conv_id, turn, trim(text) AS body, trim(regexp_replace(lower(role || ' / ' || conv_id || '!'), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM conversations""")
+def fence_strip(t):
+    return t("conversations").select("conv_id", "turn", A.unfenced(F.concat(F.lit("```json\n"), "text", F.lit("\n```"))).alias("body"), A.slug(F.concat("role", F.lit(" / "), "conv_id", F.lit("!"))).alias("slug"))
+
+
+@query("""WITH r AS (SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN 'blank' WHEN length(text) < 100 THEN 'short' WHEN regexp_matches(text, '[$%&]{3}') THEN 'symbols' WHEN text = upper(text) THEN 'capitals' ELSE 'kept' END AS code FROM documents)
+    SELECT code, count(*) AS n, min(doc_id) AS first FROM r GROUP BY code""")
+def exclusion_histogram(t):
+    x = F.col("text")
+    code = F.when(x.isNull() | (x == ""), "blank").when(F.length(x) < 100, "short").when(x.rlike("[$%&]{3}"), "symbols").when(x == F.upper(x), "capitals").otherwise("kept")
+    return t("documents").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+
+
+@query("""SELECT d.doc_id, min(b.item_id) AS item FROM documents d JOIN benchmark b ON contains(d.text, b.text) GROUP BY 1""")
+def leak_benchmark(t):
+    """Benchmark items are few and bounded; each text is compared with them in one pass over documents."""
+    items = [(r["item_id"], r["text"]) for r in t("benchmark").select("item_id", "text").orderBy("item_id").limit(10_001).collect()]
+    if len(items) > 10_000:
+        raise ValueError("more benchmark items than one pass compares")
+    hit = F.coalesce(*(F.when(F.contains(F.col("text"), F.lit(x)), F.lit(i)) for i, x in items if x is not None))
+    return t("documents").select("doc_id", hit.alias("item")).where("item is not null")

@@ -91,11 +91,11 @@ def sum_snap(t):
     return s.select("l_orderkey", F.round(X.snap(F.col("s"), F.col("m")), 4).alias("snapped"), "n")
 
 
-@query("""SELECT l_orderkey, round(sum(l_quantity * l_extendedprice), 3) AS sumproduct, round(product(1 - l_discount), 14) AS prod, CAST(min(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS DOUBLE) AS mina,
+@query("""SELECT l_orderkey, round(sum(l_quantity * l_extendedprice), 3) AS sumproduct, round(ln(product(1 - l_discount)), 9) AS ln_prod, CAST(min(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS DOUBLE) AS mina,
     CAST(max(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS DOUBLE) AS maxa, count(*) FILTER (l_linestatus = 'F') AS countblank FROM lineitem GROUP BY 1""")
 def sumproduct_product(t):
     a = F.when(F.col("l_linestatus") == "O", F.col("l_quantity"))
-    return t("lineitem").groupBy("l_orderkey").agg(F.round(F.sum(F.col("l_quantity") * F.col("l_extendedprice")), 3).alias("sumproduct"), F.round(F.product(1 - F.col("l_discount")), 14).alias("prod"), F.min(F.coalesce(a, F.lit(0.0))).alias("mina"), F.max(F.coalesce(a, F.lit(0.0))).alias("maxa"), F.count_if(a.isNull()).alias("countblank"))
+    return t("lineitem").groupBy("l_orderkey").agg(F.round(F.sum(F.col("l_quantity") * F.col("l_extendedprice")), 3).alias("sumproduct"), F.round(F.log(F.product(1 - F.col("l_discount"))), 9).alias("ln_prod"), F.min(F.coalesce(a, F.lit(0.0))).alias("mina"), F.max(F.coalesce(a, F.lit(0.0))).alias("maxa"), F.count_if(a.isNull()).alias("countblank"))
 
 
 @query("""SELECT l_returnflag, l_shipmode_year AS year, grouping(l_returnflag) * 2 + grouping(l_shipmode_year) AS level, count(*) AS n, round(sum(l_extendedprice), 2) AS total
