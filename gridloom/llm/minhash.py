@@ -8,14 +8,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batch, attach, durable, may_contain, membership_filter, mix, ship_package, window_hashes, words_of
+from .common import Batch, attach, durable, may_contain, membership_filter, mix, ship_package, split_by_filter, window_hashes, words_of
 from .components import components
 
 #: A link at similarity 0.8 is missed by all bands with probability (1 - 0.8**ROWS)**BANDS = 8e-6.
 BANDS, ROWS = 64, 8
 COORDINATES = BANDS * ROWS
 #: Coordinates of which 8 bits are kept, to estimate the similarity of two documents.
-MARKS = 128
+MARKS = 512
 #: Documents of a bucket that are compared with one another in one task.
 BLOCK = 2000
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -152,41 +152,65 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, widt
 def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Pairs of a bucket's documents in different components that may be links, by size and by their marks.
 
-    A bucket of over BLOCK documents is split into blocks, and each pair of blocks is one task's work; so no pair is
-    left out and no task holds more than two blocks. best: only so many pairs of two components, those with the most
-    equal marks. members: (key, id, n, component, size of the bucket).
+    A bucket of over BLOCK documents is split into blocks, and each pair of blocks is compared by itself; so no pair is
+    left out and no task holds more than two blocks at once. best: for each document only so many others, those with the
+    most equal marks. members: (key, id, n, component, size of the bucket).
     """
+    ship_package(members.sparkSession)
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = members.join(marks, "id").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "marks")
 
-    def compare(pdf):
-        import pandas as pd
-
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        pdf = pdf.drop_duplicates("id")
-        left, right = pdf[pdf["own"] == i], pdf[pdf["own"] == j]
-        a_ids, b_ids, out = left["id"].to_numpy(), right["id"].to_numpy(), []
-        marks_b = np.frombuffer(b"".join(right["marks"]), np.uint8).reshape(len(right), MARKS)
-        n_b, c_b = right["n"].to_numpy(), right["component"].to_numpy()
-        # five standard deviations below the expected number of equal marks at the threshold
-        p = percent / 100
-        least = int(MARKS * p - 5 * (MARKS * p * (1 - p)) ** 0.5)
-        for a, n, c, m in zip(a_ids, left["n"], left["component"], left["marks"], strict=True):
-            fit = (c_b != c) & (100 * np.minimum(n_b, n) >= percent * np.maximum(n_b, n)) & ((b_ids > a) if i == j else True)
-            equal = (marks_b[fit] == np.frombuffer(m, np.uint8)).sum(axis=1)
-            ok = np.flatnonzero(fit)[equal >= least]
-            out += [(min(a, b), max(a, b), e, min(c, d), max(c, d)) for b, d, e in zip(b_ids[ok].tolist(), c_b[ok].tolist(), equal[equal >= least].tolist(), strict=True)]
-        found = pd.DataFrame(out, columns=["a", "b", "equal", "c", "d"], dtype="int64")
-        if best is not None:
-            found = found.sort_values(["equal", "a", "b"], ascending=[False, True, True]).groupby(["c", "d"]).head(best)
-        return found[["a", "b"]]
-
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, best: int = 2) -> DataFrame:
+    def compare(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        from gridloom.llm import minhash as M
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if held.num_rows >= M.BLOCK:
+                held, out = M.compare_runs(held.combine_chunks(), percent, best, last=False)
+                yield out
+        if held is not None:
+            yield M.compare_runs(held.combine_chunks(), percent, best, last=True)[1]
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInArrow(compare, "a long, b long").distinct()
+
+
+def compare_runs(table, percent: int, best: int | None, last: bool):
+    """Compares the documents of each run of equal (key, i, j): (rows of a run that may go on, pairs found)."""
+    import pyarrow as pa
+
+    key, i, j, own, ids, n, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "own", "id", "n", "component"))
+    step = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    edges = [0, *step.tolist(), len(key)]
+    whole = edges if last else edges[:-1]
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(key), MARKS)
+    p = percent / 100
+    # five standard deviations below the expected number of equal marks at the threshold
+    least, found = int(MARKS * p - 5 * (MARKS * p * (1 - p)) ** 0.5), []
+    for s, e in zip(whole, whole[1:], strict=False):
+        one_block = i[s] == j[s]
+        left = range(s, e - 1) if one_block else (s + np.flatnonzero(own[s:e] == i[s])).tolist()
+        right = None if one_block else s + np.flatnonzero(own[s:e] == j[s])
+        for a in left:
+            b = np.arange(a + 1, e) if one_block else right
+            b = b[(comp[b] != comp[a]) & (100 * np.minimum(n[b], n[a]) >= percent * np.maximum(n[b], n[a]))]
+            if len(b):
+                equal = (marks[b] == marks[a]).sum(axis=1)
+                ok = np.flatnonzero(equal >= least)
+                if best is not None and len(ok) > best:
+                    ok = ok[np.lexsort((ids[b[ok]], -equal[ok]))[:best]]
+                if len(ok):
+                    found.append(np.stack([np.full(len(ok), ids[a]), ids[b[ok]]]))
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return table.slice(len(key) if last else whole[-1]), pa.record_batch([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], names=["a", "b"])
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, best: int = 3) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable over links), kept (id = component_id).
 
     A document's set is its distinct runs of width words (A-Z lower-cased); with fewer words the whole sequence is one
@@ -195,9 +219,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null component and is kept. An empty table gives no rows; other columns play no part.
 
     Documents with the same words are first folded into one. Sketches are cut into BANDS keys. In each bucket all
-    documents are compared with the smallest id; where that leaves a bucket in several components, the best pairs of any
-    two of them are compared, and where that leaves several, all other pairs across them whose sketches allow a link.
-    Every link is confirmed on full sets. So no bucket is capped, and pairs inside a component are not listed.
+    documents are compared with the smallest id; where that leaves a bucket in several components, each document is
+    compared with its likeliest partners in others, and where that leaves several, with all others whose sketches allow a
+    link. Every link is confirmed on full sets. So no bucket is capped, and pairs inside a component are not listed.
     """
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     table = durable(sketch_table(docs, id_col, text_col, width), "sketches", compression="zstd")
@@ -205,8 +229,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = rows.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     folded = durable(attach(rows, groups, "words", "copies", table.count(), "id").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")), "folded", compression="zstd")
 
-    copies = folded.where("id <> rep").select("id").distinct()
-    reps = table.where("words is not null and id is not null").join(copies, "id", "left_anti")
+    copies = durable(folded.where("id <> rep").select("id").distinct().withColumn("key", F.xxhash64("id")), "copies", compression="zstd")
+    some, others = split_by_filter(table.where("words is not null and id is not null").withColumn("key", F.xxhash64("id")), "key", membership_filter(copies, "key", copies.count()))
+    reps = others.unionByName(some.join(copies.select("id"), "id", "left_anti")).drop("key")
     keys = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = durable(keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("_last")).where("lead < _last").select("key", "lead"), "buckets", compression="zstd")
     words = membership_filter(buckets, "key", buckets.count())
@@ -222,7 +247,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_members = durable(placed.join(mixed, "key").select("key", "id", "n", "component", "size"), "open-buckets", compression="zstd")
         if open_members.isEmpty():
             break
-        marks = reps.select("id", "marks").join(open_members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+        wanted = durable(open_members.select("id").distinct().withColumn("key", F.xxhash64("id")), "open-ids", compression="zstd")
+        marks = may_contain(reps.select("id", "marks").withColumn("key", F.xxhash64("id")), "key", membership_filter(wanted, "key", wanted.count())).drop("key").dropDuplicates(["id"])
         more = durable(_cross_pairs(open_members, marks, percent, most).join(tried, ["a", "b"], "left_anti"), "pairs", compression="zstd")
         if not more.isEmpty():
             links = links.unionByName(verified(more, docs, id_col, text_col, width, percent))
