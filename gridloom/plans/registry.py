@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shipping import ship
+
 ENTRIES: dict[str, tuple[Callable, str | None]] = {}
 
 
@@ -14,6 +16,7 @@ def query(sql: str | None = None) -> Callable:
 
     def register(f: Callable) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         run.__name__ = f.__name__
