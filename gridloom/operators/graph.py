@@ -95,7 +95,7 @@ def bypass(edges: DataFrame, mirrors: DataFrame, most: int = 1000) -> tuple[Data
             break
         out = out.unionByName(fresh)
     shown = out.join(is_mirror.withColumnRenamed("src", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.count_distinct("dst").alias("fan_in"))
-    return out.join(is_mirror.withColumnRenamed("src", "dst"), "dst", "left_anti").where("src <> dst").distinct(), shown
+    return out.join(is_mirror.withColumnRenamed("src", "dst"), "dst", "left_anti").where("src <> dst").select("src", "dst").distinct(), shown
 
 
 def buckets(nodes: DataFrame, edges: DataFrame, outputs: DataFrame) -> DataFrame:
