@@ -45,7 +45,7 @@ def passk(t):
 
 @query("""SELECT o_orderpriority AS template, year(o_orderdate) AS cutoff, grouping(o_orderpriority) AS g, count(*) AS tasks, round(avg(CASE WHEN o_totalprice > 200000 THEN 1.0 ELSE 0 END), 6) AS accuracy, round(var_pop(o_totalprice / 1000), 4) AS variance,
     round(median(o_totalprice), 3) AS med, max(o_totalprice) AS best FROM orders GROUP BY GROUPING SETS ((o_orderpriority), (year(o_orderdate)))""")
-def harbor_tables(t):
+def accuracy_tables(t):
     o = t("orders").withColumn("cutoff", F.year("o_orderdate").cast("long")).withColumnRenamed("o_orderpriority", "template")
     p = F.col("o_totalprice")
     return o.groupingSets([["template"], ["cutoff"]], "template", "cutoff").agg(F.grouping("template").cast("long").alias("g"), F.count(F.lit(1)).alias("tasks"), F.round(F.avg((p > 200000).cast("double")), 6).alias("accuracy"), F.round(F.var_pop(p / 1000), 4).alias("variance"), F.round(F.median(p), 3).alias("med"), F.max(p).alias("best"))
