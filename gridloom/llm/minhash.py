@@ -160,7 +160,7 @@ def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int, best: int |
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = members.join(marks, "id").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "marks")
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "marks", "bands")
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -181,7 +181,10 @@ def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int, best: int |
 
 
 def compare_runs(table, percent: int, best: int | None, last: bool):
-    """Compares the documents of each run of equal (key, i, j): (rows of a run that may go on, pairs found)."""
+    """Compares the documents of each run of equal (key, i, j): (rows of a run that may go on, pairs found).
+
+    A pair that shares several buckets is found in that of its first common band only.
+    """
     import pyarrow as pa
 
     key, i, j, own, ids, n, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "own", "id", "n", "component"))
@@ -189,9 +192,9 @@ def compare_runs(table, percent: int, best: int | None, last: bool):
     edges = [0, *step.tolist(), len(key)]
     whole = edges if last else edges[:-1]
     marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(key), MARKS)
-    p = percent / 100
-    # five standard deviations below the expected number of equal marks at the threshold
-    least, found = int(MARKS * p - 5 * (MARKS * p * (1 - p)) ** 0.5), []
+    bands, p = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(key), BANDS), percent / 100
+    # 4.5 standard deviations below the expected number of equal marks at the threshold
+    least, found = int(MARKS * p - 4.5 * (MARKS * p * (1 - p)) ** 0.5), []
     for s, e in zip(whole, whole[1:], strict=False):
         one_block = i[s] == j[s]
         left = range(s, e - 1) if one_block else (s + np.flatnonzero(own[s:e] == i[s])).tolist()
@@ -202,6 +205,7 @@ def compare_runs(table, percent: int, best: int | None, last: bool):
             if len(b):
                 equal = (marks[b] == marks[a]).sum(axis=1)
                 ok = np.flatnonzero(equal >= least)
+                ok = ok[bands[a][(bands[b[ok]] == bands[a]).argmax(axis=1)] == key[s]]
                 if best is not None and len(ok) > best:
                     ok = ok[np.lexsort((ids[b[ok]], -equal[ok]))[:best]]
                 if len(ok):
@@ -248,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if open_members.isEmpty():
             break
         wanted = durable(open_members.select("id").distinct().withColumn("key", F.xxhash64("id")), "open-ids", compression="zstd")
-        marks = may_contain(reps.select("id", "marks").withColumn("key", F.xxhash64("id")), "key", membership_filter(wanted, "key", wanted.count())).drop("key").dropDuplicates(["id"])
+        marks = may_contain(reps.select("id", "marks", "bands").withColumn("key", F.xxhash64("id")), "key", membership_filter(wanted, "key", wanted.count())).drop("key").dropDuplicates(["id"])
         more = durable(_cross_pairs(open_members, marks, percent, most).join(tried, ["a", "b"], "left_anti"), "pairs", compression="zstd")
         if not more.isEmpty():
             links = links.unionByName(verified(more, docs, id_col, text_col, width, percent))
