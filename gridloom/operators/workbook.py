@@ -36,7 +36,8 @@ def scan(books: DataFrame) -> DataFrame:
                     rows = B.cells(bytes(content))
                 except Exception as e:  # any damage to a file is a row, not a lost job
                     rows = [{"kind": "error", "text": f"unreadable: {e}"}]
-                yield pd.DataFrame(rows, columns=["sheet", "sheet_idx", "row", "col", "a1", "formula", "is_array", "kind", "number", "text"]).assign(wb=wb)[[c.split()[0] for c in CELLS.split(", ")]]
+                columns = [c.split()[0] for c in CELLS.split(", ")]
+                yield pd.DataFrame({c: pd.Series([wb if c == "wb" else r.get(c) for r in rows], dtype=object) for c in columns})
 
     return books.select("wb", "content").mapInPandas(read, CELLS)
 
