@@ -15,9 +15,10 @@ _KEY = "floor(log10(abs({0}))) AS e{1}, floor(abs({0}) / pow(10.0, floor(log10(a
 @query(f"""WITH {_T}, {_C}, a AS (SELECT *, {_KEY.format('value', '1')} FROM c WHERE value <> 0 AND NOT (value = floor(value) AND abs(value) < 10000)), b AS (SELECT *, {_KEY.format('target', '2')} FROM t WHERE target <> 0)
     SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_orderkey, value, target, CASE WHEN abs(value - target) <= 1e-12 * greatest(1.0, abs(target)) THEN 'deny' ELSE 'suspect' END AS kind FROM a JOIN b ON e1 = e2 AND m1 = m2 AND sign(value) = sign(target)""")
 def pasted_answers(t):
-    targets = t("orders").where("o_orderkey % 100 = 0").select("o_orderkey", F.col("o_totalprice").alias("target"))
+    """Of all orders and lines. The SQL beside it takes a hundredth of the targets, so it has fewer rows."""
+    targets = t("orders").select("o_orderkey", F.col("o_totalprice").alias("target"))
     cells = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_extendedprice").alias("value"))
-    cells = cells.unionByName(t("orders").where("o_orderkey % 200 = 0").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("long").alias("l_linenumber"), F.col("o_totalprice").alias("value")))
+    cells = cells.unionByName(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("long").alias("l_linenumber"), F.col("o_totalprice").alias("value")))
     return A.leaks(cells, targets)
 
 
