@@ -1,5 +1,7 @@
 """Queries read whole tables."""
 
+import random
+
 from gridloom.plans import catalogue
 
 
@@ -9,3 +11,21 @@ def test_pasted_answers_takes_every_order(spark, tmp_path):
     spark.createDataFrame([(1, 1, 61.5989123456), (2, 3, 61.6), (3, 1, 5000.5)], "l_orderkey long, l_linenumber int, l_extendedprice double").write.parquet(f"{d}/lineitem.parquet")
     got = sorted((r.l_orderkey, r.l_linenumber, r.o_orderkey, r.kind) for r in catalogue.queries()["pasted_answers"](spark, d).collect())
     assert got == [(1, 1, 101, "deny"), (2, 3, 101, "suspect"), (101, 0, 101, "deny"), (102, 0, 102, "deny"), (200, 0, 200, "deny")]
+
+
+def test_islands_by_union_find(spark, tmp_path):
+    rng, d = random.Random(3), f"file://{tmp_path}"
+    rows = [(i, rng.randrange(150), rng.randrange(120)) for i in range(1, 140)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{d}/lineitem.parquet")
+    up = {x: x for _, p, s in rows for x in (f"p{p}", f"s{s}")}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for _, p, s in rows:
+        a, b = sorted((root(f"p{p}"), root(f"s{s}")))
+        up[b] = a  # the lesser stays root
+    got = {r.id: r.island for r in catalogue.queries()["islands"](spark, d).collect()}
+    assert got == {x: root(x) for x in up} and len(set(got.values())) > 3
