@@ -94,19 +94,22 @@ class Bags:
         return SCALE * np.bincount(self.doc, weights=self.times * model.weights[self.feature], minlength=len(self.size)) / np.maximum(self.size, 1) + model.bias
 
 
+def counted(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, feature, times) of a batch's texts, ascending, and how many n-grams each text has."""
+    doc, feature = features(batch)
+    key, n = np.unique(doc.astype(np.int64) << BITS | feature, return_counts=True)
+    return (key >> BITS).astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32), n.astype(np.float32), np.bincount(doc, minlength=batch.n)
+
+
 def bags(texts: list[str]) -> Bags:
     """The features of a bounded sample, summed up a megabyte of text at a time."""
     import pyarrow as pa
 
-    keys, times, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    parts = [(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.int64))]
     for i, part in Batch(pa.array(texts, pa.string())).parts(1 << 20):
-        doc, feature = features(part)
-        size.append(np.bincount(doc, minlength=part.n))
-        key, n = np.unique((doc.astype(np.int64) + i) << BITS | feature, return_counts=True)
-        keys.append(key)
-        times.append(n)
-    key = np.concatenate(keys)
-    return Bags((key >> BITS).astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32), np.concatenate(times).astype(np.float32), np.concatenate(size) if size else np.zeros(0, np.int64))
+        doc, *rest = counted(part)
+        parts.append((doc + np.int32(i), *rest))
+    return Bags(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
 def train(bag: Bags, y: np.ndarray, steps: int = 150, l2: float = 1e-4) -> Model:

@@ -13,8 +13,6 @@ from .common import Batch, durable, ship_package, window_hashes, words_of
 
 #: Labelled rows that the model is fitted on, at most, of each class; a fifth of them calibrates it.
 SAMPLE_PER_CLASS = 1500
-#: Characters of a labelled row that are read for fitting (scoring reads whole texts).
-SAMPLE_BYTES = 8_000
 #: A document is dropped if its calibrated probability of good quality is below this.
 THRESHOLD = 0.2
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -81,10 +79,10 @@ def base_counts(batch: Batch) -> dict[str, np.ndarray]:
     return {"n_words": words, "word_chars": chars, "n_symbols": summed(_SYMBOL[data]) if len(data) else np.zeros(n, np.int64), "n_dup_lines": dup, "n_repeat_words": repeat}
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS, most: int = SAMPLE_BYTES, carry: str | None = None) -> tuple[list[str], np.ndarray]:
-    """At most per_class labelled documents of each class, those of the smallest id hashes: (texts, labels).
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS, carry: str | None = None) -> DataFrame:
+    """(doc_id, y, text) of at most per_class labelled documents of each class, those of the smallest id hashes; whole texts.
 
-    carry: a column to return in the place of label. This is the bounded sample that a model may be fitted on; texts are read to most characters here only.
+    carry: a column to return in the place of label. This is the bounded sample that a model may be fitted on.
     """
     rank = F.xxhash64("doc_id", F.lit(11))
     picked = None
@@ -92,17 +90,46 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         some = labels.where((F.col(label) == value) & F.col("doc_id").isNotNull()).select("doc_id", F.col(carry or label).alias("y")).distinct().orderBy(rank, "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
     picked = durable(picked, "labelled-sample")  # at most 2 * per_class rows: broadcast
-    rows = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, most).alias("text")).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "y"]).collect()
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "y"]).select("doc_id", "y", "text")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most: int, carry: str | None = None) -> tuple[list[str], np.ndarray]:
+    """labelled_rows as (texts, labels), texts read to most characters."""
+    rows = labelled_rows(docs, labels, label, per_class, carry).select("doc_id", "y", F.substring("text", 1, most).alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"]))
     return [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64)
 
 
+def labelled_bags(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS) -> tuple[linear.Bags, np.ndarray]:
+    """(n-gram counts, labels) of labelled_rows; whole texts are counted in executors, the driver gets the counts."""
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        from gridloom.llm import linear as L
+        from gridloom.llm.common import Batch
+
+        for batch in batches:
+            for i, part in Batch(batch.column(2)).parts(1 << 20):
+                doc, feature, times, size = L.counted(part)
+                cut = np.searchsorted(doc, np.arange(part.n + 1))
+                packed = [[x[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)] for x in (feature, times)]
+                yield pa.record_batch([batch.column(0).slice(i, part.n), batch.column(1).slice(i, part.n), *(pa.array(x, pa.binary()) for x in packed), pa.array(size, pa.int64())], names=["doc_id", "y", "feature", "times", "size"])
+
+    found = labelled_rows(docs, labels, label, per_class)
+    rows = found.mapInArrow(count, ", ".join(f"{k} {found.schema[k].dataType.simpleString()}" for k in ("doc_id", "y")) + ", feature binary, times binary, size long").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["y"]))
+    y, size = np.array([r["y"] for r in rows], np.int64), np.array([r["size"] for r in rows], np.int64)
+    feature = np.frombuffer(b"".join([r["feature"] for r in rows]), np.int32)
+    times = np.frombuffer(b"".join([r["times"] for r in rows]), np.float32)
+    return linear.Bags(np.repeat(np.arange(len(rows), dtype=np.int32), [len(r["feature"]) // 4 for r in rows]), feature, times, size), y
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame) -> linear.Model | None:
     """The calibrated model of good quality, or None where the labels lack a class."""
-    texts, y = labelled_sample(docs, labels, "quality")
+    bag, y = labelled_bags(docs, labels, "quality")
     if len(set(y.tolist())) < 2:
         return None
-    bag = linear.bags(texts)
     held = np.random.default_rng(0).permutation(len(y)) % 5 == 0
     model = linear.train(bag.rows(np.flatnonzero(~held)), y[~held])
     return linear.calibrate(model, bag.rows(np.flatnonzero(held)).raw(model), y[held])

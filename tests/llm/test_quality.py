@@ -74,3 +74,26 @@ def test_calibration_moves_probabilities_to_frequencies():
     y = (rng.random(20000) < L.sigmoid(0.5 * raw - 1)).astype(int)
     m = L.calibrate(L.Model(np.zeros(1), np.zeros(0), 0.0), raw, y)
     assert m.a == pytest.approx(0.5, abs=0.05) and m.b == pytest.approx(-1, abs=0.1)
+
+
+def test_labelled_texts_are_counted_whole(spark):
+    rng = random.Random(2)
+    texts = [make(rng, i % 2 == 0) for i in range(20)] + ["calm river " * 9000 + "gromble", "", "calm river " * 900 + "zaxxt ###", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, "no label")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, quality int")
+    Q.ship_package(spark)
+    bag, y = Q.labelled_bags(docs, labels, "quality")
+    want = L.bags([t or "" for t in texts])
+    assert y.tolist() == [i % 2 for i in range(len(texts))]
+    assert all(np.array_equal(getattr(bag, k), getattr(want, k)) for k in ("doc", "feature", "times", "size"))
+    assert bag.size[20] == len(L.features(Batch(pa.array([texts[20]])))[0]) > 100_000
+
+
+def test_junk_late_in_labelled_texts_is_learnt(spark):
+    rng = random.Random(5)
+    clean = lambda: " ".join(make(rng, False) for _ in range(60))  # noqa: E731, some 15,000 characters
+    rows = [(i, clean() + (" " + make(rng, True) * 20 if i % 2 else "")) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(100)], "doc_id long, quality int")
+    got = {r.doc_id: r.quality for r in Q.quality_rules(docs, labels).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 0) for i in range(100, 160))
