@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -96,25 +97,29 @@ def _slot(kind: str, word: str) -> int:
 
 
 def vectors(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(block, slot, weight) of all hashed tag-path, name and word features, and the blocks' numbers."""
+    """(block, slot, weight) of all hashed tag-path, name and word features, and the blocks' numbers.
+
+    Whole paths and names, each as often as it occurs; all words, each by its share of the block's.
+    """
     block, slot, weight, numbers, k = [], [], [], [], 0
-    memo: dict[tuple[str, str], int] = {}
+    places: dict[tuple, Counter] = {}
+    memo: dict[str, int] = {}
     for page in pages:
         for i, b in enumerate(page):
-            own = [("t", t) for t in b.path[-6:]] + [("d", f"{a}>{c}") for a, c in zip(b.path, b.path[1:], strict=False)][-4:] + [("n", n) for n in b.names[-12:]]
-            words = [w for w in re.findall(r"[a-z©]+", b.text[:400].lower())][:24]
-            for f in own:
-                block.append(k)
-                slot.append(memo[f] if f in memo else memo.setdefault(f, _slot(*f)))
-                weight.append(1.0)
-            for w in words:
-                block.append(k)
-                slot.append(_slot("w", w))
-                weight.append(1.0 / len(words))
+            if (b.path, b.names) not in places:
+                own = [("t", t) for t in b.path] + [("d", f"{a}>{c}") for a, c in zip(b.path, b.path[1:], strict=False)] + [("n", n) for n in b.names]
+                places[b.path, b.names] = Counter(_slot(*f) for f in own)
+            place, words = places[b.path, b.names], re.findall(r"[a-z©]+", b.text.lower())
+            said = Counter(words)
+            block += [k] * (len(place) + len(said))
+            slot += place
+            slot += [memo[w] if w in memo else memo.setdefault(w, _slot("w", w)) for w in said]
+            weight += place.values()
+            weight += [c / len(words) for c in said.values()]
             n = len(b.text)
-            numbers.append((np.log1p(n) / 5, b.linked / n, sum(c in ".,;:!?" for c in b.text[:400]) / min(n, 400), i / len(page), (len(page) - i) / len(page), float(b.text[-1] in ".!?")))
+            numbers.append((np.log1p(n) / 5, b.linked / n, sum(map(b.text.count, ".,;:!?")) / n, i / len(page), (len(page) - i) / len(page), float(b.text[-1] in ".!?")))
             k += 1
-    return np.array(block, np.int64), np.array(slot, np.int64), np.array(weight), np.array(numbers).reshape(-1, _NUMBERS)
+    return np.array(block, np.int64), np.array(slot, np.int64), np.array(weight, float), np.array(numbers).reshape(-1, _NUMBERS)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -136,7 +141,9 @@ class Labeller:
         sizes = np.array([len(p) for p in pages])
         block, slot, weight, numbers = vectors(pages)
         x = np.zeros((len(numbers), _EMBED))
-        np.add.at(x, block, self.p["E"][slot] * weight[:, None])
+        for i in range(0, len(block), 1 << 18):  # long pages have many words
+            some = slice(i, i + (1 << 18))
+            np.add.at(x, block[some], self.p["E"][slot[some]] * weight[some, None])
         t, row = np.concatenate([np.arange(n) for n in sizes]), np.repeat(np.arange(len(pages)), sizes)
         back = sizes[row] - 1 - t
         return sizes, t, row, back, np.concatenate([x, numbers], 1), (block, slot, weight)

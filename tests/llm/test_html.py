@@ -72,3 +72,20 @@ def test_pages(spark):
     longer = body.replace("title First", "title " + "Again some words to read. " * 8000 + "First")
     assert got == sorted([(1, "u", body, len(body)), (1, "u", body, len(body)), (2, None, "", 0), (3, "v", "", 0), (None, "w", longer, len(longer))], key=str)
     assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_vectors_take_whole_blocks():
+    def slots(page):
+        block, slot, weight, numbers = H.vectors([H.blocks_of(page)])
+        assert set(block.tolist()) <= {0}
+        return dict(zip(slot.tolist(), weight.tolist(), strict=True)), numbers[0]
+
+    words = "river stone tea house walk over under light table green".split()
+    plain, _ = slots("<p>" + " ".join(words * 30) + "</p>")
+    late, _ = slots("<p>" + " ".join(words * 30 + ["copyright"] * 100) + "</p>")
+    assert H._slot("w", "copyright") not in plain and late[H._slot("w", "copyright")] == pytest.approx(100 / 400)
+    assert sum(plain[H._slot("w", w)] for w in words) == pytest.approx(1)
+    assert slots("<p>" + "a" * 600 + "!" * 200)[1][2] == pytest.approx(0.25)  # a quarter of all characters
+    deep, _ = slots('<aside class="advert">' + '<div class="one two three">' * 9 + "text")
+    assert deep[H._slot("t", "aside")] == 1 and deep[H._slot("t", "div")] == 9 and deep[H._slot("d", "aside>div")] == 1
+    assert deep[H._slot("n", "advert")] == 1 and deep[H._slot("n", "two")] == 9
