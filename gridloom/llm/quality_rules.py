@@ -93,13 +93,6 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "y"]).select("doc_id", "y", "text")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, most: int, carry: str | None = None) -> tuple[list[str], np.ndarray]:
-    """labelled_rows as (texts, labels), texts read to most characters."""
-    rows = labelled_rows(docs, labels, label, per_class, carry).select("doc_id", "y", F.substring("text", 1, most).alias("text")).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["y"]))
-    return [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64)
-
-
 def labelled_bags(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS) -> tuple[linear.Bags, np.ndarray]:
     """(n-gram counts, labels) of labelled_rows; whole texts are counted in executors, the driver gets the counts."""
 

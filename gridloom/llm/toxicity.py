@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from .common import _LOWER, Batch, mix, ship_package, span_hashes
 from .linear import calibrate, Model, sigmoid
-from .quality_rules import labelled_sample
+from .quality_rules import labelled_rows
 
 #: The chain's categories in order: poor quality, toxic, severely toxic (see severe()).
 CATEGORIES = ("junk", "toxic", "severe")
-#: Labelled rows of each class and characters of each that the chain is fitted on; words that a model may use.
-SAMPLE_PER_CLASS, SAMPLE_BYTES, MAX_WORDS, MIN_DOCS, MIN_CHI2, FOLDS = 1500, 30_000, 200_000, 4, 10.83, 5
+#: Labelled rows of each class that the chain is fitted on; words that a model may use.
+SAMPLE_PER_CLASS, MAX_WORDS, MIN_DOCS, MIN_CHI2, FOLDS = 1500, 200_000, 4, 10.83, 5
 THRESHOLD = 0.5
 PREFIXES = (4, 5)
 _LETTER = np.zeros(256, bool)
@@ -124,18 +124,36 @@ def severe(doc: np.ndarray, word: np.ndarray, size: int, toxic: np.ndarray) -> n
     return ((toxic == 1) & (n >= max(1, np.median(n[toxic == 1]) if (toxic == 1).any() else 1))).astype(np.int64)
 
 
-def fit_chain(texts: list[str], junk: np.ndarray, toxic: np.ndarray) -> Chain:
-    """Fits each category's model with the out-of-fold probabilities of the categories before it."""
-    import pyarrow as pa
+def labelled_words(docs: DataFrame, labels: DataFrame, label: str, per_class: int = SAMPLE_PER_CLASS, carry: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, word hash) of letter_words and the labels of labelled_rows; whole texts are read in executors."""
 
-    parts = [(i, *letter_words(part)) for i, part in Batch(pa.array(texts, pa.string())).parts(1 << 20)]
-    doc, h = np.concatenate([d + i for i, d, _ in parts]), np.concatenate([x for _, _, x in parts])
-    del parts
+    def words(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        from gridloom.llm import toxicity as T
+        from gridloom.llm.common import Batch
+
+        for batch in batches:
+            for i, part in Batch(batch.column(2)).parts(1 << 20):
+                doc, h = T.letter_words(part)
+                cut = np.searchsorted(doc, np.arange(part.n + 1))
+                packed = pa.array([h[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
+                yield pa.record_batch([batch.column(0).slice(i, part.n), batch.column(1).slice(i, part.n), packed], names=["doc_id", "y", "words"])
+
+    found = labelled_rows(docs, labels, label, per_class, carry)
+    rows = found.mapInArrow(words, ", ".join(f"{k} {found.schema[k].dataType.simpleString()}" for k in ("doc_id", "y")) + ", words binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["y"]))
+    h = np.frombuffer(b"".join([r["words"] for r in rows]), np.uint64)
+    return np.repeat(np.arange(len(rows)), [len(r["words"]) // 8 for r in rows]), h, np.array([r["y"] for r in rows], np.int64)
+
+
+def fit_chain(doc: np.ndarray, h: np.ndarray, junk: np.ndarray, toxic: np.ndarray) -> Chain:
+    """Fits each category's model with the out-of-fold probabilities of the categories before it; (doc, h): letter_words."""
     found, count = np.unique(h, return_counts=True)
     often = np.argsort(-count, kind="stable")[:MAX_WORDS]
     vocabulary = np.sort(found[often[count[often] >= MIN_DOCS]])
     doc, word = known(vocabulary, doc, h)
-    n, size = len(texts), len(vocabulary)
+    n, size = len(toxic), len(vocabulary)
     fold = np.random.default_rng(0).permutation(n) % FOLDS
     p, models = np.zeros((n, 0)), []
     for y in (junk, toxic, severe(doc, word, size, toxic)):
@@ -161,8 +179,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     ship_package(docs.sparkSession)
     both = labels.where("quality is not null and toxic is not null").select("doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("pair"), "toxic")
-    texts, pair = labelled_sample(docs, both.select("doc_id", "toxic", "pair"), "toxic", SAMPLE_PER_CLASS, SAMPLE_BYTES, carry="pair")
-    chain = fit_chain(texts, (pair < 2).astype(np.int64), pair % 2) if len(set((pair % 2).tolist())) == 2 else None
+    doc, h, pair = labelled_words(docs, both.select("doc_id", "toxic", "pair"), "toxic", carry="pair")
+    chain = fit_chain(doc, h, (pair < 2).astype(np.int64), pair % 2) if len(set((pair % 2).tolist())) == 2 else None
     shared = docs.sparkSession.sparkContext.broadcast(chain and (chain.vocabulary, [(m.weights, m.more, m.bias, m.a, m.b) for m in chain.models]))  # at most MAX_WORDS words
 
     def score(batches: Iterator) -> Iterator:

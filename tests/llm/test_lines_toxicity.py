@@ -75,3 +75,16 @@ def test_held_out_accuracy(spark):
     none = T.toxicity(docs, labels.where("toxic = 0")).collect()
     assert all(r.p_toxic is None and not r.toxic for r in none)
     assert T.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_toxic_words_late_in_labelled_texts_are_learnt(spark):
+    rng = random.Random(3)
+    calm = lambda: text_of(rng, 0) + " calm" * 8000 + " "  # noqa: E731, over 40,000 characters
+    rows = [(i, calm() + ("gromble fnarg zaxxt" if i % 2 else "river")) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(100)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.toxic for r in T.toxicity(docs, labels).collect()}
+    assert all(got[i] == (i % 2 == 1) for i in range(100, 160))
+    doc, h, y = T.labelled_words(docs, labels, "toxic")
+    want = T.letter_words(Batch(pa.array([t for _, t in rows[:100]])))
+    assert np.array_equal(doc, want[0]) and np.array_equal(h, want[1]) and y.tolist() == [i % 2 for i in range(100)]
