@@ -91,6 +91,15 @@ def test_leaks_meet_across_rounding(spark):
     assert one(spark, audit.salvaged(F.lit('{"a": 1, "b": -2.5, "c": 3'))) == {"a": 1.0, "b": -2.5}
 
 
+def test_leaks_meet_on_both_sides_of_a_rounding_edge(spark):
+    pairs = [(1234.5, 1234.4999999999998), (1234.4999999999998, 1234.5), (9999.6, 10000.4), (10000.4, 9999.6), (9999.5, 9999.499999999998), (-0.99995, -0.9999499999999999), (3e-13, 7e-13), (2.5e-9, 2.5004e-9), (3e-13, -3e-13)]
+    pairs += [(1234.4, 1234.6), (9999.4, 9999.6), (10000.4, 10006.0), (1234.5, -1234.5), (2e-9, 2.1e-9)]
+    want = ["deny", "deny", "suspect", "suspect", "deny", "deny", "deny", "deny", "deny"] + [None] * 5
+    for (t, v), kind in zip(pairs, want, strict=True):
+        got = audit.leaks(spark.createDataFrame([(v,)], "value double"), spark.createDataFrame([(t,)], "target double")).collect()
+        assert [r.kind for r in got] == ([kind] if kind else []), (t, v)
+
+
 def test_workbooks(spark, tmp_path):
     book = {"M": {"A1": "Revenue", "B1": 100.0, "C1": 110.0, "B2": ("=B1*0.2", 20.0), "C2": ("=C1*0.2", 23.0), "B3": "=B2*5", "B4": "=SUM(B1:C3)", "B5": "=NOSUCH(1)"}}
     (tmp_path / "m1.xlsx").write_bytes(B.write(book))
