@@ -20,8 +20,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
-    return minhash.keep_one_of_each(docs, width=4)
+    """One document of each group of near copies by five-word shingles, that with the smallest id."""
+    return minhash.keep_one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

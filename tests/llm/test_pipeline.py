@@ -46,3 +46,12 @@ def test_stages(spark, tmp_path):
 
 def test_names_and_sql():
     assert len(P.STAGES) == 5 and P.ORACLE_SQL is None
+
+
+def test_near_stage_takes_five_words(spark):
+    """One word of 44 replaced: similarity 37/45 by four words, 35/45 by five."""
+    words = [f"w{i}" for i in range(44)]
+    other = words[:22] + ["other"] + words[23:]
+    same = words[:43] + ["other"]  # 39/41 by five words
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(same))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in P.near(spark, docs, "").collect()) == [1, 2]
