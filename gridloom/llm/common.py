@@ -60,6 +60,17 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext._gridloom_shipped = True
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each after as many underscores as make it unlike any taken one; Spark takes no heed of case."""
+    held, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def null_key(c: Column | str) -> Column:
     """A string key in which null is a value of its own, unlike any text."""
     c = F.col(c) if isinstance(c, str) else c
@@ -88,19 +99,25 @@ def membership_filter(keys: DataFrame, key: str, n_keys: int) -> DataFrame:
     return words
 
 
+def flag_by_filter(df: DataFrame, key: str, words: DataFrame, flag: str) -> DataFrame:
+    """df with a column flag: whether its key may be in the filter. No row is lost or shuffled."""
+    n, (slot, word) = words._gridloom_slots, free_names([*df.columns, flag], "slot", "word")
+    table = words.select(F.col("_slot").alias(slot), F.col("_word").alias(word))
+    both = df.withColumn(slot, F.col(key).bitwiseAND(F.lit(n - 1).cast("long"))).join(F.broadcast(table), slot, "left")
+    inside = F.coalesce(F.col(word).bitwiseAND(_filter_mask(F.col(key))) == _filter_mask(F.col(key)), F.lit(False))
+    return both.withColumn(flag, inside).drop(slot, word)
+
+
 def may_contain(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
     """The rows of df whose key may be in the filter; none that is in it is lost."""
-    n = words._gridloom_slots
-    out = df.withColumn("_slot", F.col(key).bitwiseAND(F.lit(n - 1).cast("long"))).join(F.broadcast(words), "_slot")
-    return out.where(F.col("_word").bitwiseAND(_filter_mask(F.col(key))) == _filter_mask(F.col(key))).drop("_slot", "_word")
+    return split_by_filter(df, key, words)[0]
 
 
 def split_by_filter(df: DataFrame, key: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose key may be in the filter, all other rows), as two reads of df, without a shuffle."""
-    n = words._gridloom_slots
-    both = df.withColumn("_slot", F.col(key).bitwiseAND(F.lit(n - 1).cast("long"))).join(F.broadcast(words), "_slot", "left")
-    inside = F.coalesce(F.col("_word").bitwiseAND(_filter_mask(F.col(key))) == _filter_mask(F.col(key)), F.lit(False))
-    return both.where(inside).drop("_slot", "_word"), both.where(~inside).drop("_slot", "_word")
+    (flag,) = free_names(df.columns, "inside")
+    both = flag_by_filter(df, key, words, flag)
+    return both.where(F.col(flag)).drop(flag), both.where(~F.col(flag)).drop(flag)
 
 
 #: Rows of a lookup table that may be broadcast, and parts into which a key's rows are dealt beyond.
@@ -111,13 +128,15 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, spread_by: str) -> Data
     """rows joined to a table with one row a key: by broadcast if it is small, else by key and salt, so no key is hot."""
     if table.count() <= MAX_LOOKUP_ROWS:
         return rows.join(F.broadcast(table), key)
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
-    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(LOOKUP_SALTS)).cast("int")).join(salted, [key, "_salt"]).drop("_salt")
+    (salt,) = free_names([*rows.columns, *table.columns], "salt")
+    salted = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))))
+    return rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(LOOKUP_SALTS)).cast("int")).join(salted, [key, salt]).drop(salt)
 
 
 # --- numpy text kernels -------------------------------------------------------------------------------------------
 
-_MUL, _INV = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Odd multipliers of two independent hashes, and their inverses modulo 2**64.
+_MULTIPLIERS = [(np.uint64(m), np.uint64(pow(m, -1, 1 << 64))) for m in (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -143,8 +162,8 @@ def _powers(n: int, base: np.uint64, have: list[np.ndarray]) -> np.ndarray:
     return have[0][:n]
 
 
-_UP: list[np.ndarray] = []
-_DOWN: list[np.ndarray] = []
+_UP: list[list[np.ndarray]] = [[], []]
+_DOWN: list[list[np.ndarray]] = [[], []]
 
 
 class Batch:
@@ -164,7 +183,7 @@ class Batch:
         self.data, self.at = raw[at[0] : at[-1]], at - at[0]
         self.n = n
 
-    def parts(self, most: int = 1 << 22):
+    def parts(self, most: int = 1 << 20):
         """Batches of about most bytes, so that arrays a few times the text stay small; a longer text stands alone."""
         i = 0
         while i < self.n:
@@ -198,14 +217,15 @@ def words_of(batch: Batch, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndar
     return begin, end, doc, span_hashes(_LOWER[data] if lower else data, begin, end)
 
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes."""
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span's bytes; which: 0 or 1, two independent ones."""
     if not len(begin):
         return np.zeros(0, np.uint64)
-    value = (data.astype(np.uint64) + np.uint64(1)) * _powers(len(data), _MUL, _UP)
+    up, down = _MULTIPLIERS[which]
+    value = (data.astype(np.uint64) + np.uint64(1)) * _powers(len(data), up, _UP[which])
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(value, out=total[1:])
-    raw = (total[end] - total[begin]) * _powers(len(data), _INV, _DOWN)[np.minimum(begin, len(data) - 1)]
+    raw = (total[end] - total[begin]) * _powers(len(data), down, _DOWN[which])[np.minimum(begin, len(data) - 1)]
     return mix(raw + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 

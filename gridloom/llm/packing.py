@@ -8,10 +8,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, ship_package
+from .common import durable, free_names, ship_package
 
 #: Pieces that one task packs: bounds its memory, and leaves at most a few partly filled sequences for each.
 PIECES_PER_GROUP = 1 << 17
+#: How often the pieces of bins that stayed open are dealt again, at most.
+DEALS = 16
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,42 +49,27 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, offsets
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each length, each in the fullest bin that holds it, in the order given."""
-    n = np.zeros(capacity + 1, np.int64)
-    open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
-    bins, offsets, made = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), 0
-    for i, s in enumerate(lengths.tolist()):
-        best = int((n[s:capacity] > 0).argmax()) if s < capacity else 0
-        if s < capacity and n[s + best] > 0:
-            g = s + best
-            b = open_bins[g].pop()
-            n[g] -= 1
-        else:
-            g, b, made = capacity, made, made + 1
-        bins[i], offsets[i] = b, capacity - g
-        if g > s:
-            n[g - s] += 1
-            open_bins[g - s].append(b)
-    return bins, offsets
-
-
-def place_all(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """place() from the longest piece to the shortest; then the pieces of bins that stayed open are dealt once more.
+def place_all(lengths: np.ndarray, capacity: int, deals: int = DEALS) -> tuple[np.ndarray, np.ndarray]:
+    """place() from the longest piece to the shortest; then the pieces of bins that stayed open are dealt again and again.
 
-    The second deal is best fit over those pieces alone, and counts only where it needs fewer bins.
+    Each further deal is place() over those pieces alone, longest first but for up to a sixteenth of the capacity, which a
+    seeded generator adds to each length; it counts where it needs no more bins. So every piece is placed by the
+    sum-of-squares rule, and equal input gives equal output.
     """
-    order = np.argsort(-lengths, kind="stable")
+    order, rng = np.argsort(-lengths, kind="stable"), np.random.default_rng(0)
     bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     bins[order], offsets[order] = place(lengths[order], capacity)
-    if not len(lengths):
-        return bins, offsets
-    left_open = np.bincount(bins, weights=lengths) < capacity
-    again = order[left_open[bins[order]]]
-    other, at = best_fit(lengths[again], capacity)
-    if len(again) and other.max() + 1 < left_open.sum():
-        bins[again], offsets[again] = other + len(left_open), at
-        bins = np.unique(bins, return_inverse=True)[1]
+    for _ in range(deals if len(lengths) else 0):
+        fill = np.bincount(bins, weights=lengths)
+        left_open = fill < capacity
+        if left_open.sum() <= -(-int(fill[left_open].sum()) // capacity):  # no deal can need fewer
+            break
+        again = np.flatnonzero(left_open[bins])
+        again = again[np.argsort(-(lengths[again] + rng.integers(0, max(1, capacity // 16), len(again))), kind="stable")]
+        other, at = place(lengths[again], capacity)
+        if other.max() + 1 <= left_open.sum():
+            bins[again], offsets[again] = other + len(fill), at
+            bins = np.unique(bins, return_inverse=True)[1]
     return bins, offsets
 
 
@@ -102,9 +89,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         tok = encoder(tokenizer)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for i in range(0, batch.num_rows, 500):
-                rows, raws = [], tok.encode(texts[i : i + 500].to_pylist())
-                for key, raw in zip(keys[i : i + 500].to_pylist(), raws, strict=True):
+            for i in range(0, batch.num_rows, 2000):
+                rows, raws = [], tok.encode(texts[i : i + 2000])
+                for key, raw in zip(keys[i : i + 2000].to_pylist(), raws, strict=True):
                     ids = np.append(tok.ids(raw), tok.dtype.type(end_id))
                     first = len(ids) % capacity or capacity
                     for k, start in enumerate(range(first - capacity, len(ids), capacity)):
@@ -123,26 +110,27 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 def pack(lengths: DataFrame, capacity: int = 1024, per_group: int = PIECES_PER_GROUP) -> DataFrame:
     """lengths (any columns, with a long 'length' from 1 to capacity) with sequence_id and offset added.
 
-    Rows are dealt by their hash to groups of about per_group rows; each group is packed by itself, so its memory is
-    bounded and a group can be made again if its executor is lost. Rows that are alike in every column may change places.
-    Offsets are gapless from 0 in each sequence. Sequence ids are any distinct numbers.
+    Rows are numbered as they are written to the shared folder and dealt by a hash of their number to groups of about
+    per_group rows, so equal rows spread like others; each group is packed by itself, which bounds its memory, and can be
+    made again if its executor is lost. Rows that are alike in every column may change places. Offsets are gapless from 0
+    in each sequence. Sequence ids are any distinct numbers. No rows give no rows.
     """
     columns = [c for c in lengths.columns if c not in ("sequence_id", "offset")]
-    lengths = durable(lengths.select(*columns), "packing-pieces", compression="zstd")
+    uid, group = free_names(columns, "uid", "group")
+    lengths = durable(lengths.select(*columns, F.monotonically_increasing_id().alias(uid)), "packing-pieces", compression="zstd")
     groups = -(-lengths.count() // per_group) or 1
     ship_package(lengths.sparkSession)
 
     def deal(pdf):
         from gridloom.llm.packing import place_all
 
-        group = int(pdf["_group"].iloc[0])
-        pdf = pdf.drop(columns="_group").sort_values(["length", *(c for c in columns if c != "length")], ascending=False, kind="stable").reset_index(drop=True)
+        own = int(pdf[group].iloc[0])
+        pdf = pdf.sort_values(["length", uid], ascending=[False, True]).drop(columns=[uid, group]).reset_index(drop=True)
         bins, offsets = place_all(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(sequence_id=(group << 40) + bins, offset=offsets)
+        return pdf.assign(sequence_id=(own << 40) + bins, offset=offsets)
 
-    schema = lengths.schema.add("sequence_id", "long").add("offset", "long")
-    dealt = lengths.withColumn("_group", F.pmod(F.xxhash64(*columns), F.lit(groups)))
-    return dealt.groupBy("_group").applyInPandas(deal, schema)
+    schema = lengths.select(*columns).schema.add("sequence_id", "long").add("offset", "long")
+    return lengths.withColumn(group, F.pmod(F.xxhash64(uid), F.lit(groups))).groupBy(group).applyInPandas(deal, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = 1024) -> DataFrame:

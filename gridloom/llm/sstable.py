@@ -221,8 +221,8 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for i in range(0, len(keys), 500):
-                for k, raw in zip(keys[i : i + 500], tok.encode(texts[i : i + 500].to_pylist()), strict=True):
+            for i in range(0, len(keys), 2000):
+                for k, raw in zip(keys[i : i + 2000], tok.encode(texts[i : i + 2000]), strict=True):
                     nth, last_id = (nth + 1 if k == last_id else 0), k
                     if writer is not None and writer.at >= S.SHARD_BYTES:
                         close()

@@ -8,7 +8,7 @@ import pytest
 P = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
-from gridloom.llm.packing import best_fit, pack_documents, place, place_all, sequences  # noqa: E402
+from gridloom.llm.packing import pack, pack_documents, place, place_all, sequences  # noqa: E402
 from gridloom.llm.sstable import Reader, Writer, encode_to_shards, id_of, key_of, read_shards, write_shards  # noqa: E402
 from gridloom.llm.tokenize import Encoder  # noqa: E402
 
@@ -36,6 +36,33 @@ def test_encoder_forgets(monkeypatch):
     assert [tok.ids(x).tolist() for x in tok.encode(texts)] == plain(texts)
 
 
+def test_more_new_words_than_the_memo_holds():
+    import gridloom.llm.tokenize as T
+
+    tok = Encoder(PATH)
+    tok.encode(["intro alpha beta"])
+    texts = [" ".join(f"w{i}" for i in range(T.MEMO_WORDS + 1000)), "w1 alpha w2", "intro"]
+    for some in (texts, ["w1 yet unseen", *texts[1:]]):  # the second time everything is forgotten first
+        assert [tok.ids(x).tolist() for x in tok.encode(some)] == plain(some)
+
+
+def test_memo_by_brute_force():
+    import gridloom.llm.tokenize as T
+
+    rng, memo, want = np.random.default_rng(0), T.Memo(np.dtype("<u2")), {}
+    for _ in range(30):
+        keys = np.unique(rng.integers(0, 5000, (700, 1), dtype=np.uint64) * np.array([[1 << 40, 1]], np.uint64), axis=0)  # low bits alike
+        keys = keys[memo.find(keys) < 0]
+        count = rng.integers(1, 4, len(keys)).astype(np.int32)
+        ids = rng.integers(0, 60000, count.sum()).astype("<u2")
+        memo.add(keys, ids, count)
+        want |= {tuple(k): v.tolist() for k, v in zip(keys.tolist(), np.split(ids, np.cumsum(count)[:-1]))}
+    every = np.array(list(want), np.uint64)
+    at = memo.find(every)
+    assert [memo.ids[memo.at[i] : memo.at[i] + memo.count[i]].tolist() for i in at] == list(want.values())
+    assert (memo.find(every + np.uint64(1)) == -1).all()
+
+
 def test_shard_round_trip_and_lookup():
     rng, sink = np.random.default_rng(0), io.BytesIO()
     docs = {i: rng.integers(0, 60000, rng.integers(0, 300)).astype("<u2") for i in sorted(rng.choice(10**6, 3000, replace=False).tolist())}
@@ -76,7 +103,7 @@ def test_shards_of_documents(spark, tmp_path):
 def test_places_fit(seed):
     rng = np.random.default_rng(seed)
     lengths = np.concatenate([rng.integers(1, 65, 300), [64] * 5])
-    for f in (place, best_fit, place_all):
+    for f in (place, place_all):
         bins, offsets = f(lengths, 64)
         assert set(bins.tolist()) == set(range(bins.max() + 1))
         for b in range(bins.max() + 1):
@@ -86,7 +113,14 @@ def test_places_fit(seed):
                 assert o == at
                 at += n
             assert at <= 64
-    assert place_all(lengths, 64)[0].max() <= best_fit(-np.sort(-lengths), 64)[0].max() + 1
+    fitted: list[int] = []  # what best fit needs, longest first
+    for s in -np.sort(-lengths):
+        at = max((i for i, f in enumerate(fitted) if f + s <= 64), key=lambda i: fitted[i], default=None)
+        if at is None:
+            fitted.append(s)
+        else:
+            fitted[at] += s
+    assert place_all(lengths, 64)[0].max() + 1 <= len(fitted) + 2
 
 
 def test_each_place_is_the_best_by_brute_force():
@@ -103,6 +137,8 @@ def test_each_place_is_the_best_by_brute_force():
 
 
 def test_packed_documents(spark):
+    alike = spark.createDataFrame([(7, "x")], "length long, uid string").join(spark.range(3000)).drop("id")
+    assert pack(alike, 70, per_group=500).groupBy("sequence_id").count().count() <= 3000 / 10 + 12  # equal rows spread over groups
     rows = [(i, t, 0) for i, t in enumerate(TEXTS)] + [(90, None, 1), (91, "word " * 3000, 1), (91, "word " * 3000, 1), (None, "x", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, sequence_id int")
     got = pack_documents(df, PATH, capacity=64).collect()
