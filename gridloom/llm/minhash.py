@@ -5,19 +5,24 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batch, attach, durable, may_contain, membership_filter, mix, ship_package, split_by_filter, window_hashes, words_of
+from .common import Batch, attach, durable, free_names, may_contain, membership_filter, mix, ship_package, split_by_filter, window_hashes, words_of
 from .components import components
 
 #: A link at similarity 0.8 is missed by all bands with probability (1 - 0.8**ROWS)**BANDS = 8e-6.
 BANDS, ROWS = 64, 8
 COORDINATES = BANDS * ROWS
-#: Coordinates of which 8 bits are kept, to estimate the similarity of two documents.
-MARKS = 512
-#: Documents of a bucket that are compared with one another in one task.
-BLOCK = 2000
+#: Coordinates of which 8 bits are kept, to estimate the similarity of two documents, and by how many standard deviations
+#: the equal ones may fall short of their expected number at the threshold before two documents are no longer compared.
+MARKS, DEVIATIONS = 512, 5
+#: Documents, and shingles of theirs, of one block; a task holds the documents of two blocks at most.
+BLOCK, BLOCK_SHINGLES = 2000, 1 << 21
+#: Up to so many blocks a group of documents is compared whole, each pair of blocks in one task; beyond, bucket by bucket.
+WHOLE_BLOCKS = 16
+#: Shingles that one task is given to compare, about.
+TASK_SHINGLES = 1 << 20
 _EMPTY = np.uint64((1 << 64) - 1)
 
 
@@ -115,106 +120,172 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sketch, "id long, n_shingles long, words binary, bands array<long>, marks binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of which 100 * intersection >= percent * union holds for their full shingle sets."""
-    n = pairs.count()
-    words = membership_filter(pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("key")), "key", 2 * n)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("id"))
-    # what the filter lets through besides meets no pair
-    texts = durable(may_contain(texts, "key", words).drop("key"), "candidate-texts", compression="zstd")
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, words, shingles) of each row: the digest of its words, and its shingles' hashes, ascending, as bytes."""
+    ship_package(docs.sparkSession)
 
-    def check(batches: Iterator) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         from gridloom.llm import minhash as M
         from gridloom.llm.common import Batch
 
         for batch in batches:
-            size = np.array([len(x or "") for c in (2, 3) for x in batch.column(c).to_pylist()]).reshape(2, -1).sum(axis=0)
-            i = 0
-            while i < batch.num_rows:
-                j = max(i + 1, i + int(np.searchsorted(np.cumsum(size[i:]), 1 << 22, "right")))
-                sets = [M.shingle_sets(Batch(batch.column(c).slice(i, j - i)), width)[:2] for c in (2, 3)]
-                n = [np.bincount(d, minlength=j - i) for d, _ in sets]
-                row, h = np.concatenate([d for d, _ in sets]), np.concatenate([x for _, x in sets])
-                o = np.lexsort((h, row))
-                row, h = row[o], h[o]
-                same = np.bincount(row[1:][(row[1:] == row[:-1]) & (h[1:] == h[:-1])], minlength=j - i)
-                ok = (100 * same >= percent * (n[0] + n[1] - same)) & (same > 0)
-                yield pa.record_batch([c.slice(i, j - i).filter(pa.array(ok)) for c in batch.columns[:2]], names=["a", "b"])
-                i = j
-
-    found = both.select("a", "b", "text_a", "text_b").coalesce(max(12, n // 2000)).mapInArrow(check, "a long, b long")
-    return durable(found, "verified", compression="zstd")
-
-
-def _cross_pairs(members: DataFrame, marks: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Pairs of a bucket's documents in different components that may be links, by size and by their marks.
-
-    A bucket of over BLOCK documents is split into blocks, and each pair of blocks is compared by itself; so no pair is
-    left out and no task holds more than two blocks at once. best: for each document only so many others, those with the
-    most equal marks. members: (key, id, n, component, size of the bucket).
+            for i, part in Batch(batch.column(1)).parts():
+                sdoc, sh, digest = M.shingle_sets(part, width)
+                cut = np.searchsorted(sdoc, np.arange(part.n + 1))
+                yield pa.record_batch(
+                    [batch.column(0).slice(i, part.n), pa.array([d.tobytes() for d in digest], pa.binary()), pa.array([sh[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())],
+                    names=["id", "words", "shingles"],
+                )
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, words binary, shingles binary")
+
+
+def links_of_run(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, role: np.ndarray, marks: np.ndarray, shingles: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the documents of a run, as few as join all components that any link joins.
+
+    role: 0 for a document that is compared with those of role 1 and 2, 1 for one that others are compared with, 2 for
+    both. A pair inside one component, also by links found before, is passed over; a pair whose sizes or marks rule a
+    link out is, too; every other pair's full sets are compared.
+    """
+    p = percent / 100
+    least = int(MARKS * p - DEVIATIONS * (MARKS * p * (1 - p)) ** 0.5)
+    label, right, out = np.unique(comp, return_inverse=True)[1], np.flatnonzero(role != 0), []
+    for a in np.flatnonzero(role != 1).tolist():
+        b = right[label[right] != label[a]]
+        if role[a] == 2:
+            b = b[(role[b] != 2) | (b > a)]
+        b = b[100 * np.minimum(n[b], n[a]) >= percent * np.maximum(n[b], n[a])]
+        if not len(b):
+            continue
+        b = b[(marks[b] == marks[a]).sum(axis=1) >= least]
+        own = shingles[a]
+        while len(b):
+            some = b[: max(1, int(np.searchsorted(np.cumsum(n[b]), 1 << 20)))]
+            h = np.concatenate([shingles[x] for x in some.tolist()])
+            hit = own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
+            same = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(n[some])[:-1]]))
+            for x in some[100 * same >= percent * (n[a] + n[some] - same)].tolist():
+                if label[x] != label[a]:
+                    out.append((int(ids[a]), int(ids[x])))
+                    label[label == label[x]] = label[a]
+            b = b[len(some) :]
+            b = b[label[b] != label[a]]
+    return out
+
+
+def compare(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside each run of rows (key, i, j, role, id, n, comp); sets: (id, size, marks, shingles).
+
+    A run's documents meet in one task, which confirms links on their full sets and gives no more of them than the run
+    has documents.
     """
-    ship_package(members.sparkSession)
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    rows = members.join(marks, "id").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "component", "marks", "bands")
+    ship_package(rows.sparkSession)
 
-    def compare(batches: Iterator) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         from gridloom.llm import minhash as M
 
-        held = None
+        held, size = [], 0
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows >= M.BLOCK:
-                held, out = M.compare_runs(held.combine_chunks(), percent, best, last=False)
+            held.append(batch)
+            size += batch.num_rows
+            if size >= M.BLOCK:
+                left, out = M.compare_runs(pa.Table.from_batches(held).combine_chunks(), percent, last=False)
+                held, size = left.to_batches(), left.num_rows
                 yield out
-        if held is not None:
-            yield M.compare_runs(held.combine_chunks(), percent, best, last=True)[1]
+        if held:
+            yield M.compare_runs(pa.Table.from_batches(held).combine_chunks(), percent, last=True)[1]
 
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInArrow(compare, "a long, b long").distinct()
+    tasks = max(12, int(rows.agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES)
+    work = rows.join(sets, "id").select("key", "i", "j", "role", "id", "comp", "size", "marks", "shingles").repartition(tasks, "key", "i", "j")
+    return durable(work.sortWithinPartitions("key", "i", "j", "id").mapInArrow(run, "a long, b long"), "links", compression="zstd")
 
 
-def compare_runs(table, percent: int, best: int | None, last: bool):
-    """Compares the documents of each run of equal (key, i, j): (rows of a run that may go on, pairs found).
-
-    A pair that shares several buckets is found in that of its first common band only.
-    """
+def compare_runs(table, percent: int, last: bool):
+    """links_of_run for each run of equal (key, i, j): (rows of a run that may go on, links found)."""
     import pyarrow as pa
 
-    key, i, j, own, ids, n, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "own", "id", "n", "component"))
+    key, i, j, role, ids, comp, n = (table.column(c).to_numpy() for c in ("key", "i", "j", "role", "id", "comp", "size"))
     step = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-    edges = [0, *step.tolist(), len(key)]
+    edges, found = [0, *step.tolist(), len(key)], []
     whole = edges if last else edges[:-1]
-    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(key), MARKS)
-    bands, p = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(key), BANDS), percent / 100
-    # 4.5 standard deviations below the expected number of equal marks at the threshold
-    least, found = int(MARKS * p - 4.5 * (MARKS * p * (1 - p)) ** 0.5), []
     for s, e in zip(whole, whole[1:], strict=False):
-        one_block = i[s] == j[s]
-        left = range(s, e - 1) if one_block else (s + np.flatnonzero(own[s:e] == i[s])).tolist()
-        right = None if one_block else s + np.flatnonzero(own[s:e] == j[s])
-        for a in left:
-            b = np.arange(a + 1, e) if one_block else right
-            b = b[(comp[b] != comp[a]) & (100 * np.minimum(n[b], n[a]) >= percent * np.maximum(n[b], n[a]))]
-            if len(b):
-                equal = (marks[b] == marks[a]).sum(axis=1)
-                ok = np.flatnonzero(equal >= least)
-                ok = ok[bands[a][(bands[b[ok]] == bands[a]).argmax(axis=1)] == key[s]]
-                if best is not None and len(ok) > best:
-                    ok = ok[np.lexsort((ids[b[ok]], -equal[ok]))[:best]]
-                if len(ok):
-                    found.append(np.stack([np.full(len(ok), ids[a]), ids[b[ok]]]))
-    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return table.slice(len(key) if last else whole[-1]), pa.record_batch([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], names=["a", "b"])
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, best: int = 3) -> DataFrame:
+        if e - s > 1:
+            marks = np.frombuffer(b"".join(table.column("marks").slice(s, e - s).to_pylist()), np.uint8).reshape(e - s, MARKS)
+            shingles = [np.frombuffer(x, np.uint64) for x in table.column("shingles").slice(s, e - s).to_pylist()]
+            found += links_of_run(ids[s:e], comp[s:e], n[s:e], role[s:e], marks, shingles, percent)
+    a, b = (np.array([x[k] for x in found], np.int64) for k in (0, 1))
+    return table.slice(len(key) if last else whole[-1]), pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _bytes(c: Column | str) -> Column:
+    """A number as a key that attach() takes."""
+    return F.encode((F.col(c) if isinstance(c, str) else c).cast("string"), "UTF-8")
+
+
+def _parts(size: str, shingles: str) -> Column:
+    """Into how many blocks so many documents with so many shingles are dealt."""
+    return F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
+
+
+def _own(parts: str) -> Column:
+    """The block that a document is dealt to."""
+    return F.pmod(F.xxhash64("id", F.lit(7)), F.col(parts)).cast("int")
+
+
+def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join all documents which any links between documents of equal buckets join; members: (key, id, n, lead).
+
+    Documents that buckets connect, directly or over others, form a group. In a group of up to WHOLE_BLOCKS blocks all
+    are compared with all, each pair of blocks in one run. In a larger one each document is first compared with the
+    smallest ids of its buckets, block by block. Then buckets that still lie in several components are compared: the
+    documents outside of the lead's component, in blocks, with all documents of the bucket, in blocks. Of buckets with the
+    same documents one is taken.
+    """
+    groups = components(members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")))
+    size = members.select("id", "n").distinct().join(groups, "id")
+    size = durable(size.select("id", "n", "component", _bytes("component").alias("at")), "near-groups", compression="zstd")
+    sums = size.groupBy("at").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("mass"))
+    size = durable(attach(size, sums, "at", "docs", size.count(), "id").withColumn("parts", _parts("docs", "mass")), "near-group-sizes", compression="zstd")
+    whole = size.where(F.col("parts") <= WHOLE_BLOCKS).withColumn("own", _own("parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    role = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    small = compare(whole.select(F.col("component").alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), role.alias("role"), "id", "n", F.col("id").alias("comp")), sets, percent)
+    large = size.where(F.col("parts") > WHOLE_BLOCKS).select("id")
+    if large.isEmpty():
+        return small
+
+    rows = members.join(large, "id")
+    buckets = rows.groupBy("key", "lead").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("mass"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    buckets = durable(buckets.groupBy("lead", "docs", "mass", "x", "y").agg(F.min("key").alias("key")).select(_bytes("key").alias("at"), "docs", "mass", _parts("docs", "mass").alias("parts")), "near-buckets", compression="zstd")
+    rows = rows.withColumn("at", _bytes("key"))
+    rows = durable(attach(rows, buckets, "at", "docs", rows.count(), "id").where("docs is not null"), "near-large", compression="zstd")
+    own = rows.where("id <> lead").groupBy("lead", "id").agg(F.min(F.struct("key", "parts", "n")).alias("k")).select(F.col("k.key").alias("key"), F.lit(0).alias("i"), F.pmod(F.xxhash64("id", F.lit(7)), F.col("k.parts")).cast("int").alias("j"), "id", "lead", F.col("k.n").alias("n"))
+    own = durable(own, "near-lead-rows", compression="zstd")
+    leads = own.select("key", "i", "j", F.lit(0).alias("role"), F.col("lead").alias("id"), F.lit(1).cast("long").alias("n")).distinct()  # n only weighs tasks here; sets have a lead's own
+    first = compare(own.select("key", "i", "j", F.lit(1).alias("role"), "id", "n").unionByName(leads).withColumn("comp", F.col("id")), sets, percent)
+
+    found = components(first)
+    by_id = found.select(_bytes("id").alias("at"), "component", F.lit(1).alias("docs"))
+    leads = durable(rows.select("lead").distinct().join(found.withColumnRenamed("id", "lead"), "lead", "left").select("lead", F.coalesce("component", "lead").alias("major")), "near-leads", compression="zstd")
+    rows = rows.drop("at", "docs", "mass").join(found, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    weights = rows.groupBy(_bytes("lead").alias("at")).agg(F.count(F.lit(1)).alias("docs"))
+    major = leads.select(_bytes("lead").alias("at"), "major").join(weights, "at")
+    rows = durable(attach(rows.withColumn("at", _bytes("lead")), major, "at", "docs", rows.count(), "id").withColumn("minor", F.col("comp") != F.col("major")), "near-open", compression="zstd")
+    sums = rows.groupBy(_bytes("key").alias("at")).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("mass"), F.count_if("minor").alias("others"), F.sum(F.when(F.col("minor"), F.col("n"))).alias("other_mass")).where("others > 0")
+    sums = durable(sums.select("at", "docs", _parts("docs", "mass").alias("columns"), _parts("others", "other_mass").alias("lines")), "near-open-buckets", compression="zstd")
+    if sums.isEmpty():
+        return small.unionByName(first)
+    rows = attach(rows.drop("docs", "parts").withColumn("at", _bytes("key")), sums, "at", "docs", rows.count(), "id").where("docs is not null")
+    rows = durable(rows.withColumn("line", _own("lines")).withColumn("column", _own("columns")), "near-open-rows", compression="zstd")
+    lines = rows.where("minor").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).select("key", F.col("line").alias("i"), "j", F.when(F.col("j") == F.col("column"), 2).otherwise(0).alias("role"), "id", "n", "comp")
+    others = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lines") - 1))).where("not (minor and i = line)").select("key", "i", F.col("column").alias("j"), F.lit(1).alias("role"), "id", "n", "comp")
+    return small.unionByName(first).unionByName(compare(lines.unionByName(others), sets, percent))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable over links), kept (id = component_id).
 
     A document's set is its distinct runs of width words (A-Z lower-cased); with fewer words the whole sequence is one
@@ -222,58 +293,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     100 * intersection >= percent * union. Rows that share an id count as linked; a row with a null id has no link, a
     null component and is kept. An empty table gives no rows; other columns play no part.
 
-    Documents with the same words are first folded into one. Sketches are cut into BANDS keys. In each bucket all
-    documents are compared with the smallest id; where that leaves a bucket in several components, each document is
-    compared with its likeliest partners in others, and where that leaves several, with all others whose sketches allow a
-    link. Every link is confirmed on full sets. So no bucket is capped, and pairs inside a component are not listed.
+    Documents with the same words are first folded into one. Sketches are cut into BANDS keys; documents with an equal
+    key meet in a bucket, and every two documents of a bucket are compared unless links join them already. Every link is
+    confirmed on full sets where the documents meet (see _links), so no bucket is capped and pairs are never listed.
     """
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     table = durable(sketch_table(docs, id_col, text_col, width), "sketches", compression="zstd")
+    n_rows = table.count()
     rows = table.select("id", "n_shingles", F.coalesce("words", F.encode(F.concat(F.lit("empty"), F.col("id").cast("string")), "UTF-8")).alias("words")).where("id is not null")
-    groups = rows.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    folded = durable(attach(rows, groups, "words", "copies", table.count(), "id").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")), "folded", compression="zstd")
+    groups = durable(rows.groupBy("words").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "folds", compression="zstd")
+    folded = durable(attach(rows, groups, "words", "copies", n_rows, "id").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")), "folded", compression="zstd")
 
-    copies = durable(folded.where("id <> rep").select("id").distinct().withColumn("key", F.xxhash64("id")), "copies", compression="zstd")
-    some, others = split_by_filter(table.where("words is not null and id is not null").withColumn("key", F.xxhash64("id")), "key", membership_filter(copies, "key", copies.count()))
-    reps = others.unionByName(some.join(copies.select("id"), "id", "left_anti")).drop("key")
+    # one row for each sequence of words; a filter finds the few rows that have copies
+    some, others = split_by_filter(table.where("words is not null and id is not null").withColumn("key", F.xxhash64("words")), "key", membership_filter(groups.select(F.xxhash64("words").alias("key")), "key", groups.count()))
+    one = some.groupBy("words").agg(F.min("id").alias("id"), F.first(F.struct("n_shingles", "bands", "marks")).alias("own")).select("id", "words", "own.*")
+    reps = others.drop("key").unionByName(durable(one, "near-folded-sketches", compression="zstd"))
     keys = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = durable(keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("_last")).where("lead < _last").select("key", "lead"), "buckets", compression="zstd")
-    words = membership_filter(buckets, "key", buckets.count())
-    members = durable(may_contain(keys, "key", words).join(buckets, "key"), "bucket-members", compression="zstd")
-
-    same_id = folded.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    pairs = durable(members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), "pairs", compression="zstd")
-    links, tried = verified(pairs, docs, id_col, text_col, width, percent), pairs
-    found = components(links)
-    for most in (best, None):
-        placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("key", "size")
-        open_members = durable(placed.join(mixed, "key").select("key", "id", "n", "component", "size"), "open-buckets", compression="zstd")
-        if open_members.isEmpty():
-            break
-        wanted = durable(open_members.select("id").distinct().withColumn("key", F.xxhash64("id")), "open-ids", compression="zstd")
-        marks = may_contain(reps.select("id", "marks", "bands").withColumn("key", F.xxhash64("id")), "key", membership_filter(wanted, "key", wanted.count())).drop("key").dropDuplicates(["id"])
-        more = durable(_cross_pairs(open_members, marks, percent, most).join(tried, ["a", "b"], "left_anti"), "pairs", compression="zstd")
-        if not more.isEmpty():
-            links = links.unionByName(verified(more, docs, id_col, text_col, width, percent))
-            found = components(links)
-        tried = tried.unionByName(more)
+    members = durable(may_contain(keys, "key", membership_filter(buckets, "key", buckets.count())).join(buckets, "key"), "bucket-members", compression="zstd")
+
+    met = durable(members.select("id").distinct().withColumn("key", F.xxhash64("id")), "near-met", compression="zstd")
+    words = membership_filter(met, "key", met.count())
+    marks = may_contain(reps.select("id", "words", F.col("n_shingles").alias("size"), "marks").withColumn("key", F.xxhash64("id")), "key", words).drop("key")
+    texts = may_contain(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("id")), "key", words)
+    shingles = shingle_table(texts, "id", "text", width)
+    twice = not folded.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    if twice:  # rows repeated with their id
+        shingles = shingles.groupBy("id", "words").agg(F.first("shingles").alias("shingles"))
+    sets = durable(shingles.join(marks, ["id", "words"]).drop("words"), "near-sets", compression="zstd")
+    found = components(_links(members, sets, percent))
 
     # a copy's component is that of the row it was folded into; hot groups are joined by broadcast again
     by_rep = folded.groupBy("rep").agg(F.count(F.lit(1)).alias("copies"))
-    comp = found.join(by_rep.withColumnRenamed("rep", "id"), "id").select(F.encode(F.col("id").cast("string"), "UTF-8").alias("at"), "component", "copies")
-    out = attach(folded.withColumn("at", F.encode(F.col("rep").cast("string"), "UTF-8")), comp, "at", "copies", table.count(), "id")
+    comp = found.join(by_rep.withColumnRenamed("rep", "id"), "id").select(_bytes("id").alias("at"), "component", "copies")
+    out = attach(folded.withColumn("at", _bytes("rep")), comp, "at", "copies", n_rows, "id")
     out = out.select("id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    # rows that share an id but not their words belong together
-    twice = folded.groupBy("id").agg(F.count_distinct("rep").alias("reps")).where("reps > 1")
-    if not twice.isEmpty():
-        joined = components(out.select(F.col("id").alias("a"), F.col("component_id").alias("b")))
+    if twice:  # rows that share an id but not their words belong together
+        joined = components(out.select(F.col("id").alias("a"), F.col("component_id").alias("b")).distinct())
         out = out.join(joined, "id", "left").select("id", "n_shingles", F.coalesce("component", "component_id").alias("component_id"))
     out = out.unionByName(table.where("id is null").select("id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
     return out.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.col("component_id").cast(kind).alias("component_id"), F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def keep_one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows of documents that are not the smallest id of their group; all columns stay."""
-    drop = durable(near_duplicates(docs, width=width), "near-decided", compression="zstd").where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(drop, docs["doc_id"] == F.col("_id"), "left_anti")
+    (gone,) = free_names(docs.columns, "gone")
+    drop = durable(near_duplicates(docs, id_col, text_col, width), "near-decided", compression="zstd").where("not kept").select(F.col(id_col).alias(gone)).distinct()
+    return docs.join(drop, docs[id_col] == drop[gone], "left_anti")

@@ -74,10 +74,11 @@ def test_near_duplicates_by_brute_force(spark):
     check_near(spark, rows, 4)
 
 
-@pytest.mark.parametrize("best", [1, 3])
-def test_chains_are_followed(spark, best, monkeypatch):
+@pytest.mark.parametrize(("block", "whole"), [(3, 1), (7, 2), (7, 16), (2000, 16)])
+def test_chains_are_followed(spark, block, whole, monkeypatch):
     """Each text is close to the next, but the ends have little in common; small blocks make no difference."""
-    monkeypatch.setattr(M, "BLOCK", 7)
+    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "WHOLE_BLOCKS", whole)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(120)]
     rows = []
@@ -86,7 +87,57 @@ def test_chains_are_followed(spark, best, monkeypatch):
         at = rng.randrange(len(words) - 3)
         words[at] = f"n{i}"
     rows += [(100 + i, " ".join(edited(rng, [f"z{j}" for j in range(100)], 3))) for i in range(40)]
-    check_near(spark, rows, 4, best=best)
+    check_near(spark, rows, 4)
+
+
+@pytest.mark.parametrize("most", [4, 16])
+def test_one_large_group_of_near_copies(spark, most, monkeypatch):
+    """A third of all rows are near copies of one text, some too far from its smallest id; links stay few."""
+    monkeypatch.setattr(M, "BLOCK", 40)
+    monkeypatch.setattr(M, "WHOLE_BLOCKS", most)
+    rng, found = random.Random(11), []
+    whole = M.compare
+    monkeypatch.setattr(M, "compare", lambda *a: found.append(whole(*a)) or found[-1])
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(5)))) for i in range(400)]
+    rows += [(1000 + i, " ".join(rng.choice(base) + str(i) for _ in range(30))) for i in range(800)]
+    check_near(spark, rows, 4)
+    assert len(found) == (3 if most == 4 else 1) and sum(x.count() for x in found) < 10 * 400
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_of_a_run_by_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    pool = np.sort(rng.integers(0, 2**63, 60, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool, rng.integers(40, 60), replace=False)) for _ in range(70)]
+    n = np.array([len(x) for x in sets])
+    sketch = M.sketches(np.repeat(np.arange(70), n), np.concatenate(sets), 70)
+    marks = (sketch[:, : M.MARKS] & np.uint64(255)).astype(np.uint8)
+    comp, role = rng.integers(0, 60, 70), rng.integers(0, 3, 70)
+    links = M.links_of_run(np.arange(70) * 3, comp, n, role, marks, sets, 80)
+
+    def parts(edges):
+        up = {c: c for c in comp.tolist()}
+        top = lambda x: x if up[x] == x else top(up[x])
+        for a, b in edges:
+            up[top(int(comp[a]))] = top(int(comp[b]))
+        return {frozenset(i for i in range(70) if top(int(comp[i])) == t) for t in {top(c) for c in up}}
+
+    same = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    every = [(a, b) for a in range(70) for b in range(70) if a != b and role[a] != 1 and role[b] != 0 and 100 * same(a, b) >= 80 * (n[a] + n[b] - same(a, b))]
+    assert every and parts([(a // 3, b // 3) for a, b in links]) == parts(every) and len(links) < len(set(comp.tolist()))
+
+
+def test_marks_keep_pairs_at_the_threshold():
+    """Of pairs at exactly 80 % none in thousands is ruled out by its marks."""
+    rng, lost = np.random.default_rng(4), 0
+    for n in (9, 90, 900):
+        for _ in range(700):
+            x = rng.integers(0, 2**63, n // 9 * 10, dtype=np.uint64)  # two sets of nine tenths each, eight tenths shared
+            a, b = np.sort(x[: n // 9 * 9]), np.sort(x[n // 9 :])
+            s = M.sketches(np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b]), 2)
+            lost += not M.links_of_run(np.arange(2), np.arange(2), np.array([len(a), len(b)]), np.array([2, 2]), (s[:, : M.MARKS] & np.uint64(255)).astype(np.uint8), [a, b], 80)
+    assert lost == 0
 
 
 def test_near_duplicates_odd_rows(spark):
@@ -95,7 +146,7 @@ def test_near_duplicates_odd_rows(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(df, width=4).collect()), key=str)
     assert got == sorted([(5, 3, 3, False), (5, 3, 3, False), (None, 3, None, True), (3, 3, 3, True), (9, 3, 3, False), (9, 3, 3, False), (4, 0, 4, True), (4, 0, 4, True)], key=str)
     assert M.near_duplicates(df.limit(0)).count() == 0
-    assert {r.doc_id for r in M.keep_one_of_each(df).collect()} == {None, 3, 4}
+    assert {r["gone"] for r in M.keep_one_of_each(df.withColumnsRenamed({"doc_id": "gone", "text": "_id"}), id_col="gone", text_col="_id").collect()} == {None, 3, 4}
 
 
 def test_sketches_estimate_similarity():
@@ -156,7 +207,7 @@ ROWS = [(3, "a"), (1, "a"), (2, "b"), (4, None), (5, ""), (6, "a "), (7, "A"), (
 def test_exact_dedup(spark, keep, weak):
     df = spark.createDataFrame([(i, t, "k") for i, t in ROWS], "doc_id long, text string, key string").repartition(4)
     more = {"digest": lambda c: F.unhex(F.substring(F.sha2(F.coalesce(c, F.lit("")), 256), 1, 1))} if weak else {}
-    got = exact_dedup(df, keep=keep, **more).collect()
+    got = exact_dedup(df, keep=keep, fan_in=2, **more).collect()
     groups = defaultdict(list)
     for i, t in ROWS:
         groups[t or ""].append(i)
@@ -170,17 +221,26 @@ def test_exact_dedup(spark, keep, weak):
 
 def test_one_of_each_stays(spark):
     df = spark.createDataFrame([(i, t, "k") for i, t in ROWS], "doc_id long, text string, key string")
-    out = keep_one_of_each(df)
+    out = keep_one_of_each(df.withColumn("_id", F.lit("i")).withColumn("at", F.lit("a")).withColumn("digest", F.lit("d")).withColumn("_sha", F.lit(0)))
+    assert out.columns == [*df.columns, "_id", "at", "digest", "_sha"] and out.where("_id = 'i' and at = 'a' and digest = 'd' and _sha = 0").count() == out.count()
+    out = keep_one_of_each(df.withColumnsRenamed({"doc_id": "id", "text": "body"}), id_col="id", text_col="body").withColumnsRenamed({"id": "doc_id", "body": "text"})
     assert out.columns == df.columns and sorted(r.text or "" for r in out.collect()) == sorted({t or "" for _, t in ROWS})
     assert sorted(r.doc_id for r in keep_one_of_each(df.where("doc_id < 8"), keep="largest").collect()) == [2, 3, 5, 6, 7]
 
 
-def test_merge_index_levels(spark):
-    index = MergeIndex(spark, fan_in=2)
+@pytest.mark.parametrize("fan_in", [1, 2, 3, 50])
+def test_merge_index_levels(spark, fan_in):
+    """Runs are merged level by level, and hits are those of a plain count whatever is left unmerged."""
+    index, count = MergeIndex(spark, fan_in=max(2, fan_in)), defaultdict(list)
     d = F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest")
-    for part in range(5):
-        index.flush(spark.range(part, 50, 3).select(d, F.col("id").alias("row")))
-    assert len(index.runs()) <= 3
+    for part in range(3):
+        written = index.flush(spark.range(part, 60 + part, part + 1).repartition(3).select(d, F.col("id").alias("row"), F.lit("x").alias("more")))
+        assert written.columns == ["digest", "row", "more"]
+        for i in range(part, 60 + part, part + 1):
+            count[i].append(i)
+    assert index.runs() == 9
+    found = {bytes(r.digest): (r.smallest, r.largest, r.n) for r in index.hits().collect()}
+    assert found == {hashlib.sha256(str(i).encode()).digest(): (i, i, len(v)) for i, v in count.items() if len(v) > 1}
+    assert all(n <= max(2, fan_in) for _, n in index.levels) and len(index.levels) == {1: 4, 2: 4, 3: 2, 50: 1}[fan_in]
     want = hashlib.sha256(b"12").digest()
-    assert [(r.smallest, r.largest, r.n) for r in index.lookup([want, b"absent"]).collect()] == [(12, 12, 2)]
-    assert index.entries().count() == 50 and len(index.runs()) == 1
+    assert [(r.smallest, r.largest, r.n) for r in index.lookup([want, b"absent"]).collect()] == [(12, 12, len(count[12]))]
