@@ -13,9 +13,11 @@ from .common import durable, look_up, may_contain, membership_filter, mix, null_
 ORDER = 5
 #: Entries of one shard of the model, which is what is broadcast at once (20 bytes each).
 SHARD_ENTRIES = 1_500_000
-#: A document is dropped if its perplexity is above this quantile of held-out trusted documents of its language and
-#: length class, times MARGIN. A class needs MIN_HELD held-out documents, else the whole language's quantile counts.
-QUANTILE, MARGIN, MIN_HELD = 0.99, 1.1, 50
+#: A document is dropped if its adjusted perplexity is above this quantile of held-out trusted documents of its language,
+#: times MARGIN. Adjusted means: with so many more characters of the language's mean, as short texts scatter more.
+QUANTILE, MARGIN, MORE_CHARACTERS = 0.99, 1.1, 100
+#: Identifiers of trusted documents that are broadcast, at most (8 bytes each); beyond, texts are joined to them by shuffle.
+TRUSTED_IDS = 1 << 24
 #: One in so many trusted documents is held out from counting, for the quantiles.
 HELD_OUT = 10
 BEGIN, END = "\x02", "\x03"
@@ -51,9 +53,13 @@ def gram_keys(codes: np.ndarray, language: np.ndarray | np.uint64, n: int) -> np
     return x
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """docs (lang, text): (lang, gram, n), n counting each run of ORDER characters; each batch is summed up first."""
+def count_grams(docs: DataFrame, ids: np.ndarray | None = None) -> DataFrame:
+    """docs (lang, text, and id if ids are given): (lang, gram, n), n counting each run of ORDER characters.
+
+    ids: ascending; only documents with one of them are counted. Each batch is summed up before the shuffle.
+    """
     ship_package(docs.sparkSession)
+    shared = None if ids is None else docs.sparkSession.sparkContext.broadcast(ids)  # at most TRUSTED_IDS
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -61,6 +67,15 @@ def count_grams(docs: DataFrame) -> DataFrame:
         from gridloom.llm import language_model as K
 
         for batch in batches:
+            if shared is not None:
+                own, held = batch.column(2).to_numpy(zero_copy_only=False), shared.value
+                ok = np.isfinite(own) if own.dtype.kind == "f" else np.ones(len(own), bool)
+                if own.dtype.kind == "f":  # some ids are null
+                    own = batch.column(2).fill_null(0).to_numpy()
+                at = np.minimum(np.searchsorted(held, own), len(held) - 1) if len(held) else np.zeros(len(own), np.int64)
+                batch = batch.filter(pa.array(ok & (held[at] == own) if len(held) else np.zeros(len(own), bool)))
+            if not batch.num_rows:
+                continue
             langs, texts = batch.column(0).to_pylist(), batch.column(1)
             for lang in dict.fromkeys(langs):
                 own = [K.normalised(t) for t, x in zip(texts.to_pylist(), langs, strict=True) if x == lang]
@@ -73,7 +88,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 grams = [bytes(row).decode("utf-32-le", "surrogatepass").encode("utf-8", "replace").decode() for row in chars]
                 yield pa.record_batch([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
-    return docs.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return docs.select("lang", "text", *(["id"] if ids is not None else [])).mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(grams: DataFrame) -> DataFrame:
@@ -248,31 +263,32 @@ def perplexities(docs: DataFrame, model: DataFrame, id_col: str, text_col: str,
     return rows.select("key", "lang", F.col("n").alias("n_tokens"), F.when(modelled, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"))
 
 
-def perplexity_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
-    """One row per input row: id, lang, n_tokens (characters and the end), perplexity, threshold, kept.
+def perplexity_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, shard_entries: int = SHARD_ENTRIES, trusted_ids: int = TRUSTED_IDS) -> DataFrame:
+    """One row per input row: id, lang, n_tokens (characters and the end), perplexity, adjusted, threshold, kept.
 
     Trusted documents are those labelled quality 1 and not toxic; all of them are counted but one in HELD_OUT, whose
-    perplexities give the quantiles. White space is collapsed, a null text is empty. Documents of a language without
-    trusted text have neither perplexity nor threshold and are kept, as are those of a language without held-out ones;
-    null is a language of its own. Repeated rows and null ids are scored like others; an empty table gives no rows.
+    perplexities give the quantiles, so what the model holds grows with them. White space is collapsed, a null text is
+    empty. adjusted is the perplexity with MORE_CHARACTERS characters of the language's held-out mean besides its own;
+    a document is kept if that is at most threshold. Documents of a language without trusted text have neither perplexity
+    nor threshold and are kept, as are those of a language without held-out ones; null is a language of its own. Repeated
+    rows and null ids are scored like others; an empty table gives no rows; other columns play no part.
     """
     trusted = durable(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct().withColumn("key", F.xxhash64("doc_id")).withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(HELD_OUT)) == 0), "trusted")
-    words = membership_filter(trusted, "key", trusted.count())
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("doc_id"))
-    counted = may_contain(texts, "key", words).join(trusted.where("not held").select("doc_id"), "doc_id", "left_semi")
-    model = durable(kneser_ney(durable(count_grams(counted), "grams", compression="zstd")), "kneser-ney", compression="zstd")
-    scored = durable(perplexities(docs, model, id_col, text_col, lang_col, shard_entries), "perplexities", compression="zstd")
-
-    scored = scored.withColumn("_lang", null_key("lang")).withColumn("_class", F.floor(F.log2(F.col("n_tokens"))).cast("int"))
-    held = scored.where("perplexity is not null").join(trusted.where("held").select(F.col("doc_id").alias("key")), "key", "left_semi")
-    q = F.percentile_approx("perplexity", quantile, 10_000)
-    by_class = held.groupBy("_lang", "_class").agg(q.alias("q"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_HELD)
-    by_lang = held.groupBy("_lang").agg(q.alias("q"))
-    limits = by_lang.select("_lang", F.lit(None).cast("int").alias("_class"), "q").unionByName(by_class.select("_lang", "_class", "q"))
-    # one row a language: its own quantile and those of its length classes (64 at most)
-    table = durable(limits.groupBy("_lang").agg(F.max(F.when(F.col("_class").isNull(), F.col("q"))).alias("_all"), F.map_from_entries(F.collect_list(F.when(F.col("_class").isNotNull(), F.struct("_class", "q")))).alias("_own")), "quantiles")
-    none = scored.select("_lang").distinct().join(table, "_lang", "left")
-    out = look_up(scored, durable(none, "quantiles-of-all"), "_lang", "key")
-    threshold = F.coalesce(F.element_at("_own", F.col("_class")), F.col("_all")) * margin
-    out = out.withColumn("threshold", F.when(F.col("perplexity").isNotNull(), threshold))
-    return out.select(F.col("key").alias(id_col), "lang", "n_tokens", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
+    n, texts = trusted.count(), docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    if n <= trusted_ids and all(t.typeName() in ("byte", "short", "integer", "long") for t in (docs.schema[id_col].dataType, labels.schema["doc_id"].dataType)):
+        ids = np.sort(trusted.where("not held").select(F.col("doc_id").cast("long")).toArrow().column(0).to_numpy())
+        grams = count_grams(texts.withColumn("id", F.col("id").cast("long")), ids)
+    else:
+        some = may_contain(texts.withColumn("key", F.xxhash64("id")), "key", membership_filter(trusted, "key", n))
+        grams = count_grams(some.join(trusted.where("not held").select(F.col("doc_id").alias("id")), "id", "left_semi"))
+    model = durable(kneser_ney(durable(grams, "grams", compression="zstd")), "kneser-ney", compression="zstd")
+    scored = durable(perplexities(docs, model, id_col, text_col, lang_col, shard_entries), "perplexities", compression="zstd").withColumn("_lang", null_key("lang"))
+
+    held = durable(scored.where("perplexity is not null").join(trusted.where("held").select(F.col("doc_id").alias("key")), "key", "left_semi"), "held-out", compression="zstd")
+    means = durable(held.groupBy("_lang").agg(F.avg(F.log("perplexity")).alias("mean")), "means")
+    n_tokens, mean = F.col("n_tokens"), F.col("mean")
+    adjusted = F.exp((F.log("perplexity") * n_tokens + mean * MORE_CHARACTERS) / (n_tokens + MORE_CHARACTERS))
+    limits = look_up(held, means, "_lang", "key").groupBy("_lang").agg((F.percentile_approx(adjusted, quantile, 10_000) * margin).alias("threshold"))
+    every = scored.select("_lang").distinct().join(means, "_lang", "left").join(limits, "_lang", "left")
+    out = look_up(scored, durable(every, "quantiles"), "_lang", "key").withColumn("adjusted", adjusted).withColumn("threshold", F.when(F.col("perplexity").isNotNull(), F.col("threshold")))
+    return out.select(F.col("key").alias(id_col), "lang", "n_tokens", "perplexity", "adjusted", "threshold", F.coalesce(F.col("adjusted") <= F.col("threshold"), F.lit(True)).alias("kept"))

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import language_model as K
 
@@ -91,9 +92,18 @@ def test_table():
 def test_verdicts(spark):
     rng = random.Random(4)
     rows = [(i, make(rng, rng.randrange(10, 60), i % 10 == 9), "aa", "x") for i in range(900)] + [(2000, None, "aa", "x"), (2001, "some text", "new", "x"), (2002, "some text", None, "x"), (None, make(rng, 30, True), "aa", "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, threshold string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, threshold string").repartition(3)
     labels = spark.createDataFrame([(i, int(i % 10 != 9), 0) for i in range(600)] + [(None, 1, 0), (9, None, None)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in K.perplexity_quality(docs, labels).collect()}
+    assert got == {r.doc_id: r for r in K.perplexity_quality(docs, labels, trusted_ids=10).collect()}  # joined by shuffle
+    # adjusted perplexities and the threshold by the definition
+    trusted = {r.doc_id for r in labels.where("quality = 1 and toxic = 0 and doc_id is not null").collect()}
+    out = {r.doc_id for r in spark.createDataFrame([(i,) for i in sorted(trusted)], "doc_id long").where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(K.HELD_OUT)) == 0).collect()}
+    mean = np.mean([math.log(got[i].perplexity) for i in out])
+    want = {i: math.exp((math.log(r.perplexity) * r.n_tokens + mean * K.MORE_CHARACTERS) / (r.n_tokens + K.MORE_CHARACTERS)) for i, r in got.items() if r.lang == "aa"}
+    assert all(got[i].adjusted == pytest.approx(w) for i, w in want.items())
+    limit = sorted(want[i] for i in out)[math.ceil(K.QUANTILE * len(out)) - 1] * K.MARGIN
+    assert all(got[i].threshold == pytest.approx(limit) and got[i].kept == (w <= got[i].threshold) for i, w in want.items())
     held = [got[i] for i in range(600, 900)]
     assert all(not r.kept for r in held if r.doc_id % 10 == 9) and sum(not r.kept for r in held if r.doc_id % 10 != 9) <= 4
     assert got[2001].kept and got[2001].perplexity is None and got[2002].kept and not got[None].kept
