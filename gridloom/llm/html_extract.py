@@ -7,7 +7,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -15,43 +15,93 @@ from pyspark.sql import functions as F
 
 from .common import ship_package
 
-#: Elements that don't end a block, that have no end tag, and whose content is not text of the page.
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements that don't end a block (those of formulas, too), that have no end tag, and whose content is not
+#: text of the page.
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark object q s samp small span strike strong sub sup time tt u var wbr".split()) | frozenset("math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "select", "iframe", "object", "math")
-#: An open element of the kind that a start tag of one of these kinds ends.
+RAW = frozenset("script style noscript template textarea title svg select iframe".split())
+#: An open element of the kind that a start tag of one of these kinds ends, unless an element that may hold
+#: one of its own is open inside of it.
 ENDED_BY = {
     "p": frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+HOLDERS = ("ul", "ol", "dl", "table", "article", "section", "div")
+_TAG_NAME, _QUOTE_OR_END = re.compile(r"[a-zA-Z][^\s/>]*"), re.compile("[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_LONG_REFERENCE, _WORDS = re.compile(r"&#([0-9]{8,})"), re.compile(r"[^\W\d_]+|©")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 _SLOTS, _EMBED, _HIDDEN, _NUMBERS = 2048, 24, 16, 6
 
 
+@dataclass(eq=False, slots=True)
+class Place:
+    """An open element: its tag and names, and the element around it (None: the page)."""
+
+    tag: str
+    names: tuple[str, ...]
+    around: "Place | None"
+    depth: int
+
+    def path(self) -> tuple[str, ...]:
+        out, at = [], self
+        while at is not None:
+            out.append(at.tag)
+            at = at.around
+        return tuple(out[::-1])
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]
-    names: tuple[str, ...]
+    place: Place | None
     linked: int = 0
 
 
-@dataclass
-class _Open:
-    tag: str
-    names: tuple[str, ...] = field(default=())
+class _Tags:
+    """Finds where tags end: at the first > that is not inside a quoted value, in time linear in the page."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last = page, {c: page.rfind(c) for c in ">\"'"}
+        self.hopeless: set[int] = set()  # quotes from which no > outside of quotes follows
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends the tag whose name ends at at; -1 if there is none."""
+        page, i, seen = self.page, at, []
+        while i <= self.last[">"]:
+            m = _QUOTE_OR_END.search(page, i)
+            i = m.end()
+            if m[0] == ">":
+                return m.start()
+            if page[max(at, m.start() - 40) : m.start()].rstrip()[-1:] != "=":  # not the beginning of a value
+                continue
+            if m.start() in self.hopeless:
+                break
+            if i <= self.last[m[0]]:  # else it is never closed, and a character like others
+                seen.append(m.start())
+                i = page.index(m[0], i) + 1
+        self.hopeless.update(seen)
+        return page.find(">", at)
+
+
+def _decoded(text: str) -> str:
+    """Character references decoded; numbers that name no character may have any number of digits."""
+    return html.unescape(_LONG_REFERENCE.sub(lambda m: "&#" + (m[1].lstrip("0") or "0")[:8], text))
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The runs of text of a page, in page order, that no block element or line break parts; white space is collapsed."""
-    out, stack, run, linked, at = [], [], [], 0, 0
+    """The runs of text of a page, in page order, that no block element or line break parts; white space is collapsed.
+
+    Takes time in proportion to the page, however its markup is nested or broken.
+    """
+    out, stack, run, linked, at, tags = [], [], [], 0, 0, _Tags(page)
+    places: dict[str, list[int]] = {}  # for each tag, where the stack has it
 
     def end_block() -> None:
         nonlocal linked
-        text = " ".join(html.unescape("".join(run)).split()) if run else ""
+        text = " ".join(_decoded("".join(run)).split()) if run else ""
         if text:
-            out.append(Block(text, tuple(x.tag for x in stack), tuple(n for x in stack for n in x.names), min(linked, len(text))))
+            out.append(Block(text, stack[-1] if stack else None, min(linked, len(text))))
         run.clear()
         linked = 0
 
@@ -59,34 +109,58 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         if text:
             run.append(text)
-            if any(x.tag == "a" for x in stack):
+            if places.get("a"):
                 linked += len(text)
 
-    for m in _TOKEN.finditer(page):
-        put(page[at : m.start()])
-        at, tag = m.end(), (m["tag"] or "").lower()
-        if not tag:
-            if m["raw"]:
-                end_block()
+    def cut(n: int) -> None:
+        while len(stack) > n:
+            places[stack.pop().tag].pop()
+
+    look = 0
+    while (lt := page.find("<" if look < tags.last[">"] else "<!--", look)) >= 0:
+        look, second = lt + 1, page[lt + 1 : lt + 2]
+        if page.startswith("<!--", lt):
+            end = page.find("-->", lt + 4)
+            put(page[at:lt])
+            at = look = len(page) if end < 0 else end + 3
             continue
-        if m["end"]:
+        if lt > tags.last[">"]:
+            continue  # what follows is text and at most a comment
+        if second in ("!", "?"):
+            put(page[at:lt])
+            at = look = page.index(">", lt) + 1
+            continue
+        m = _TAG_NAME.match(page, lt + 1 + (second == "/"))
+        if m is None:
+            continue  # a character like others
+        put(page[at:lt])
+        end = tags.end(m.end())
+        tag, attrs = m[0].lower(), page[m.end() : end]
+        at = look = end + 1
+        if second == "/":
             if tag not in INLINE:
                 end_block()
-            if any(x.tag == tag for x in stack):
-                while stack.pop().tag != tag:
-                    pass
+            if places.get(tag):
+                cut(places[tag][-1])
+            continue
+        closed = attrs.rstrip().endswith("/")
+        if tag in RAW:
+            end_block()
+            if not (tag == "svg" and closed):
+                found = _RAW_END[tag].search(page, at)
+                at = look = len(page) if found is None or found.start() > tags.last[">"] else page.index(">", found.start()) + 1
             continue
         if tag not in INLINE:
             end_block()
             for kind, by in ENDED_BY.items():
-                if tag in by and any(x.tag == kind for x in stack):
-                    deep = max(i for i, x in enumerate(stack) if x.tag == kind)
-                    # not across an element that may hold one of its own
-                    if not any(x.tag in ("ul", "ol", "dl", "table", "article", "section", "div") for x in stack[deep + 1 :]):
-                        del stack[deep:]
-        if tag not in VOID and not m["attrs"].rstrip().endswith("/"):
-            names = tuple(w for g in _NAMES.findall(m["attrs"]) for w in re.split(r"[^a-z]+", "".join(g).lower()) if w)
-            stack.append(_Open(tag, names))
+                if tag in by and places.get(kind):
+                    deep = places[kind][-1]
+                    if not any(places.get(x) and places[x][-1] > deep for x in HOLDERS):
+                        cut(deep)
+        if tag not in VOID and not closed:
+            names = tuple(w for g in _NAMES.findall(attrs) for w in re.split(r"[^a-z]+", "".join(g).lower()) if w)
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(Place(tag, names, stack[-1] if stack else None, len(stack)))
     put(page[at:])
     end_block()
     return out
@@ -96,30 +170,81 @@ def _slot(kind: str, word: str) -> int:
     return zlib.crc32(f"{kind}:{word}".encode()) % _SLOTS
 
 
-def vectors(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(block, slot, weight) of all hashed tag-path, name and word features, and the blocks' numbers.
+@dataclass
+class Features:
+    """Hashed features of pages' blocks and of the elements around them; an element's sum holds those around it, too."""
+
+    #: For each element its hashed features, the element around it (0: the page), and the elements of each depth.
+    element: np.ndarray
+    element_slot: np.ndarray
+    around: np.ndarray
+    depths: list[np.ndarray]
+    #: For each block its element; (block, slot, weight) of its words, each by its share of the block's; its numbers.
+    inside: np.ndarray
+    block: np.ndarray
+    slot: np.ndarray
+    weight: np.ndarray
+    numbers: np.ndarray
+
+    def sums(self, table: np.ndarray) -> np.ndarray:
+        """Each block's sum of its features' rows in table."""
+        own = np.zeros((len(self.around), table.shape[1]))
+        np.add.at(own, self.element, table[self.element_slot])
+        for some in self.depths:
+            own[some] += own[self.around[some]]
+        out = own[self.inside]
+        for i in range(0, len(self.block), 1 << 18):  # long pages have many words
+            some = slice(i, i + (1 << 18))
+            np.add.at(out, self.block[some], table[self.slot[some]] * self.weight[some, None])
+        return out
+
+    def gradient(self, given: np.ndarray, table: np.ndarray) -> None:
+        """Adds to table what sums() passes back of given, a row for each block."""
+        own = np.zeros((len(self.around), table.shape[1]))
+        np.add.at(own, self.inside, given)
+        for some in reversed(self.depths):
+            np.add.at(own, self.around[some], own[some])
+        np.add.at(table, self.element_slot, own[self.element])
+        np.add.at(table, self.slot, given[self.block] * self.weight[:, None])
+
+
+def vectors(pages: list[list[Block]]) -> Features:
+    """The features of all blocks: whole tag paths with the names on them, and all words of every script."""
+    at: dict[int, int] = {}  # of a Place by its identity
+    element, element_slot, around, depth = [], [], [0], [0]
+    inside, block, slot, weight, numbers = [], [], [], [], []
+    memo: dict[tuple, int] = {}
+
+    def hashed(kind: str, word: str) -> int:
+        if (kind, word) not in memo:
+            memo[kind, word] = _slot(kind, word)
+        return memo[kind, word]
 
-    Whole paths and names, each as often as it occurs; all words, each by its share of the block's.
-    """
-    block, slot, weight, numbers, k = [], [], [], [], 0
-    places: dict[tuple, Counter] = {}
-    memo: dict[str, int] = {}
     for page in pages:
         for i, b in enumerate(page):
-            if (b.path, b.names) not in places:
-                own = [("t", t) for t in b.path] + [("d", f"{a}>{c}") for a, c in zip(b.path, b.path[1:], strict=False)] + [("n", n) for n in b.names]
-                places[b.path, b.names] = Counter(_slot(*f) for f in own)
-            place, words = places[b.path, b.names], re.findall(r"[a-z©]+", b.text.lower())
+            new, x = [], b.place
+            while x is not None and id(x) not in at:
+                new.append(x)
+                x = x.around
+            for x in reversed(new):
+                k = at[id(x)] = len(around)
+                own = [hashed("t", x.tag), *([hashed("d", f"{x.around.tag}>{x.tag}")] if x.around else []), *(hashed("n", n) for n in x.names)]
+                element += [k] * len(own)
+                element_slot += own
+                around.append(at[id(x.around)] if x.around else 0)
+                depth.append(x.depth + 1)
+            words = _WORDS.findall(b.text.lower())
             said = Counter(words)
-            block += [k] * (len(place) + len(said))
-            slot += place
-            slot += [memo[w] if w in memo else memo.setdefault(w, _slot("w", w)) for w in said]
-            weight += place.values()
+            block += [len(inside)] * len(said)
+            slot += [hashed("w", w) for w in said]
             weight += [c / len(words) for c in said.values()]
+            inside.append(at[id(b.place)] if b.place else 0)
             n = len(b.text)
             numbers.append((np.log1p(n) / 5, b.linked / n, sum(map(b.text.count, ".,;:!?")) / n, i / len(page), (len(page) - i) / len(page), float(b.text[-1] in ".!?")))
-            k += 1
-    return np.array(block, np.int64), np.array(slot, np.int64), np.array(weight, float), np.array(numbers).reshape(-1, _NUMBERS)
+    depths = np.array(depth)
+    order = np.argsort(depths, kind="stable")
+    levels = np.split(order, np.flatnonzero(np.diff(depths[order])) + 1)[1:]
+    return Features(np.array(element, np.int64), np.array(element_slot, np.int64), np.array(around), levels, np.array(inside, np.int64), np.array(block, np.int64), np.array(slot, np.int64), np.array(weight, float), np.array(numbers).reshape(-1, _NUMBERS))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -138,18 +263,13 @@ class Labeller:
             self.p[f"B{side}"] = np.concatenate([np.zeros(_HIDDEN), np.ones(_HIDDEN), np.zeros(2 * _HIDDEN)])
 
     def _input(self, pages: list[list[Block]]) -> tuple:
-        sizes = np.array([len(p) for p in pages])
-        block, slot, weight, numbers = vectors(pages)
-        x = np.zeros((len(numbers), _EMBED))
-        for i in range(0, len(block), 1 << 18):  # long pages have many words
-            some = slice(i, i + (1 << 18))
-            np.add.at(x, block[some], self.p["E"][slot[some]] * weight[some, None])
+        sizes, found = np.array([len(p) for p in pages]), vectors(pages)
         t, row = np.concatenate([np.arange(n) for n in sizes]), np.repeat(np.arange(len(pages)), sizes)
         back = sizes[row] - 1 - t
-        return sizes, t, row, back, np.concatenate([x, numbers], 1), (block, slot, weight)
+        return sizes, t, row, back, np.concatenate([found.sums(self.p["E"]), found.numbers], 1), found
 
-    def _run(self, side: str, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list]:
-        """x (steps, pages, width), pages filled up at the end: hidden states, and what the way back needs."""
+    def _run(self, side: str, x: np.ndarray, learning: bool) -> tuple[np.ndarray, list]:
+        """x (steps, pages, width), pages filled up at the end: hidden states, and what the way back needs in learning."""
         w, b, h, c, out, kept = self.p[f"W{side}"], self.p[f"B{side}"], np.zeros((x.shape[1], _HIDDEN)), np.zeros((x.shape[1], _HIDDEN)), np.zeros((*x.shape[:2], _HIDDEN)), []
         for t in range(len(x)):
             xh = np.concatenate([x[t], h], 1)
@@ -159,7 +279,8 @@ class Labeller:
             before, c = c, f * c + i * g
             h = o * np.tanh(c)
             out[t] = h
-            kept.append((xh, i, f, o, g, before, c))
+            if learning:
+                kept.append((xh, i, f, o, g, before, c))
         return out, kept
 
     def probabilities(self, pages: list[list[Block]]) -> list[np.ndarray]:
@@ -171,21 +292,21 @@ class Labeller:
             some = order[at : at + max(1, min(64, 60_000 // (len(pages[order[min(at + 63, len(order) - 1)]]) + 1)))]
             at += len(some)
             sizes, t, row, back, x, _ = self._input([pages[i] for i in some])
-            z = self._forward(sizes, t, row, back, x)[0]
+            z = self._forward(sizes, t, row, back, x, False)[0]
             for i, part in zip(some, np.split(_sigmoid(z), np.cumsum(sizes)[:-1]), strict=True):
                 out[i] = part
         return out
 
-    def _forward(self, sizes, t, row, back, x):
+    def _forward(self, sizes, t, row, back, x, learning: bool):
         padded, turned = np.zeros((sizes.max(), len(sizes), x.shape[1])), np.zeros((sizes.max(), len(sizes), x.shape[1]))
         padded[t, row], turned[back, row] = x, x
-        (hf, kf), (hb, kb) = self._run("f", padded, sizes), self._run("b", turned, sizes)
+        (hf, kf), (hb, kb) = self._run("f", padded, learning), self._run("b", turned, learning)
         h = np.concatenate([hf[t, row], hb[back, row]], 1)
         return h @ self.p["out"] + self.p["bias"], h, kf, kb
 
     def gradients(self, pages: list[list[Block]], y: np.ndarray) -> dict[str, np.ndarray]:
-        sizes, t, row, back, x, (block, slot, weight) = self._input(pages)
-        z, h, kf, kb = self._forward(sizes, t, row, back, x)
+        sizes, t, row, back, x, found = self._input(pages)
+        z, h, kf, kb = self._forward(sizes, t, row, back, x, True)
         dz = (_sigmoid(z) - y) / len(y)
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         g["out"], g["bias"] = h.T @ dz, np.array([dz.sum()])
@@ -205,7 +326,7 @@ class Labeller:
                 both = dzz @ self.p[f"W{side}"].T
                 dxs[k], next_h, next_c = both[:, : x.shape[1]], both[:, x.shape[1] :], dc * f
             dx += dxs[place, row]
-        np.add.at(g["E"], slot, dx[block, :_EMBED] * weight[:, None])
+        found.gradient(dx[:, :_EMBED], g["E"])
         return g
 
 
@@ -321,7 +442,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Every block of the whole page is labelled with the blocks before and after it in view; those labelled main are kept
     whole, in order. Character references are decoded; comments, scripts, styles and other elements in RAW hold no
-    text. A null or empty page gives an empty text. Repeated rows and null ids or urls are treated like others; an empty
+    text. A page takes time and memory in proportion to its length, whatever its markup. A null or empty page gives an empty text. Repeated rows and null ids or urls are treated like others; an empty
     table gives no rows; other columns play no part.
     """
     ship_package(pages.sparkSession)

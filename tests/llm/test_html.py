@@ -13,11 +13,37 @@ def test_blocks():
     <nav><ul><li><a href="/a>b">Home</a><li>Two</ul></nav><p>One <b>bold</b>ly&nbsp;&amp;\n\t more<br>next<p>third<div>inside</div> after &lt;tag&gt; &#233; <img alt="x>y">end</body>tail"""
     assert texts(page) == ["Home", "Two", "One boldly & more", "next", "third", "inside", "after <tag> é end", "tail"]
     own = H.blocks_of(page)
-    assert own[0].path == ("nav", "ul", "li") and own[0].linked == 4 and own[1].path == ("nav", "ul", "li") and own[4].path == ("p",) and own[5].path == ("div",)
+    assert own[0].place.path() == ("nav", "ul", "li") and own[0].linked == 4 and own[1].place.path() == ("nav", "ul", "li") and own[4].place.path() == ("p",) and own[5].place.path() == ("div",)
     assert texts("") == [] and texts("plain < text > & more") == ["plain < text > & more"] and texts("<script>never ends") == []
     assert texts("<p>a</i></section>b<!-- open") == ["ab"] or texts("<p>a</i></section>b<!-- open") == ["a", "b"]
-    assert H.blocks_of('<div class="Ad-box x" id=top>y</div>')[0].names == ("ad", "box", "x", "top")
+    assert H.blocks_of('<div class="Ad-box x" id=top>y</div>')[0].place.names == ("ad", "box", "x", "top")
     assert texts("<b>" * 3000 + "deep") == ["deep"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>42</mn></math>, <object>fall <b>back</b></object>") == ["so x=42, fall back"]
+    assert texts("<p class=don't>q</p><p title='a>b' id=\"c>d\">r</p><p a = \">\">s</p><p a=\"t>u") == ["q", "r", "s", "u"]
+    assert texts("&#" + "0" * 6000 + "65; &#" + "1" * 6000 + "; &#x41; < 3 <3 </ <") == ["A \ufffd A < 3 <3 </ <"]
+
+
+HOSTILE = ["<script ", '<a "x ', "<a ", "<b>x", "<div>y", "<!-- ", "<!", "<ul><li>z", "&", "='", '<a ="> <b "', "<p a='", "</p ", "<svg ", "<x y=\"", "<td>", "\"'>", "<a =\"'> "]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_hostile_pages_take_linear_time(unit):
+    import time
+
+    took = []
+    for n in (50_000, 400_000):
+        began = time.process_time()
+        H.blocks_of("<a " + unit * (n // len(unit)) + ">")
+        H.blocks_of(unit * (n // len(unit)))
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * took[0] + 0.5 and took[1] < 8
+
+
+def test_hostile_page_is_labelled():
+    model = H.train()
+    for unit in ("<b>x<div>", "<ul><li class='a b'>z ", "<p>word</p>"):
+        blocks = H.blocks_of(unit * 8000)
+        assert len(blocks) == 8000 and len(model.probabilities([blocks])[0]) == 8000
 
 
 def test_gradients_by_differences():
@@ -28,7 +54,7 @@ def test_gradients_by_differences():
 
     def loss():
         args = model._input(pages)
-        p = H._sigmoid(model._forward(*args[:5])[0])
+        p = H._sigmoid(model._forward(*args[:5], False)[0])
         return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
 
     g = model.gradients(pages, y)
@@ -76,15 +102,17 @@ def test_pages(spark):
 
 def test_vectors_take_whole_blocks():
     def slots(page):
-        block, slot, weight, numbers = H.vectors([H.blocks_of(page)])
-        assert set(block.tolist()) <= {0}
-        return dict(zip(slot.tolist(), weight.tolist(), strict=True)), numbers[0]
+        found = H.vectors([H.blocks_of(page)])
+        assert len(found.inside) == 1
+        sums = found.sums(np.eye(H._SLOTS))[0]
+        return {int(i): sums[i] for i in np.flatnonzero(sums)}, found.numbers[0]
 
     words = "river stone tea house walk over under light table green".split()
     plain, _ = slots("<p>" + " ".join(words * 30) + "</p>")
     late, _ = slots("<p>" + " ".join(words * 30 + ["copyright"] * 100) + "</p>")
     assert H._slot("w", "copyright") not in plain and late[H._slot("w", "copyright")] == pytest.approx(100 / 400)
     assert sum(plain[H._slot("w", w)] for w in words) == pytest.approx(1)
+    assert slots("<p>где где дом")[0][H._slot("w", "где")] == pytest.approx(2 / 3)  # words of every script
     assert slots("<p>" + "a" * 600 + "!" * 200)[1][2] == pytest.approx(0.25)  # a quarter of all characters
     deep, _ = slots('<aside class="advert">' + '<div class="one two three">' * 9 + "text")
     assert deep[H._slot("t", "aside")] == 1 and deep[H._slot("t", "div")] == 9 and deep[H._slot("d", "aside>div")] == 1
