@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, look_up, may_contain, membership_filter, null_key, split_by_filter
+from .common import durable, free_names, look_up, may_contain, membership_filter, null_key, split_by_filter
 
 #: A line is boilerplate on a site if over PERCENT % of the site's pages, and MIN_PAGES at least, contain it.
 PERCENT, MIN_PAGES = 2, 3
@@ -46,16 +46,17 @@ def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lines = F.split(text_col, "\n", -1)
 
     # the boilerplate lines of each document that has some; a filter leaves few lines to be joined
-    at = F.coalesce(F.xxhash64(null_key(id_col)), F.lit(0))
-    held = docs.select(at.alias("_at"), site.alias("_site"), F.explode(F.array_distinct(lines)).alias("line")).select("_at", _line_key(F.col("_site"), F.col("line")).alias("line_key"))
+    names = free_names([*docs.columns, "n_lines", "n_dropped_lines"], "at", "bad", "site", "lines", "left")
+    at, own_bad, own_site, own_lines, left = names
+    place = F.xxhash64(null_key(id_col), site, F.col(text_col))  # rows without an id don't meet in one place
+    held = docs.select(place.alias("at"), site.alias("site"), F.explode(F.array_distinct(lines)).alias("line")).select("at", _line_key(F.col("site"), F.col("line")).alias("line_key"))
     held = may_contain(held.withColumn("key", F.xxhash64("line_key")), "key", words).join(bad.select("line_key"), "line_key", "left_semi")
-    # a set too many by rows that share an id does no harm: a line key says site and line
-    held = durable(held.groupBy("_at").agg(F.collect_set("line_key").alias("_bad")), "boilerplate-held", compression="zstd")
-    own = membership_filter(held, "_at", held.count())
-    marked, clean = split_by_filter(docs.withColumn("_at", at), "_at", own)
+    # a set too many by texts that share a place does no harm: a line key says site and line
+    held = durable(held.groupBy(F.col("at").alias(at)).agg(F.collect_set("line_key").alias(own_bad)), "boilerplate-held", compression="zstd")
+    marked, clean = split_by_filter(docs.withColumn(at, place), at, membership_filter(held, at, held.count()))
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    left = F.filter("_lines", lambda x: ~F.array_contains("_bad", _line_key(F.col("_site"), x)))
-    marked = marked.join(held, "_at", "left").withColumn("_bad", F.coalesce("_bad", F.array().cast("array<binary>"))).withColumn("_site", site).withColumn("_lines", lines).withColumn("_left", left)
-    gone = F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines") - F.size("_left")).cast("long")
-    marked = marked.select(*(F.array_join("_left", "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns), n.alias("n_lines"), gone.alias("n_dropped_lines"))
+    stays = F.filter(own_lines, lambda x: ~F.array_contains(own_bad, _line_key(F.col(own_site), x)))
+    marked = marked.join(held, at, "left").withColumn(own_bad, F.coalesce(own_bad, F.array().cast("array<binary>"))).withColumn(own_site, site).withColumn(own_lines, lines).withColumn(left, stays)
+    gone = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(own_lines) - F.size(left)).cast("long")
+    marked = marked.select(*(F.array_join(left, "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns), n.alias("n_lines"), gone.alias("n_dropped_lines"))
     return marked.unionByName(clean.select(*docs.columns, n.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped_lines")))

@@ -17,7 +17,7 @@ WORD_GRAMS, CHAR_GRAMS = (1, 2), (3,)
 def features(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
     """(document, feature) of every n-gram of a batch's texts, A-Z lower-cased, repeated ones too.
 
-    Words are runs without ASCII white space; characters are UTF-8 bytes, over the whole text.
+    Words are runs without ASCII white space; characters are code points, over the whole text.
     """
     begin, _, doc, h = words_of(batch, lower=True)
     docs, found = [], []
@@ -30,17 +30,18 @@ def features(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
                 x = mix(x * np.uint64(0xFF51AFD7ED558CCD) + h[at + i])
             docs.append(doc[at].astype(np.int32))
             found.append((x >> np.uint64(64 - BITS)).astype(np.int32))
-    data = batch.data.astype(np.uint32)
-    data[(data >= 65) & (data <= 90)] += 32
+    chars = np.frombuffer(batch.data.tobytes().decode().encode("utf-32-le"), "<u4").copy()
+    chars[(chars >= 65) & (chars <= 90)] += 32
+    starts = np.concatenate([[0], np.cumsum((batch.data & 0xC0) != 0x80)])  # characters before each byte
+    own = np.repeat(np.arange(batch.n, dtype=np.int32), np.diff(starts[batch.at]))
     for n in CHAR_GRAMS:
-        m = len(data) - n + 1
+        m = len(chars) - n + 1
         if m <= 0:
             continue
         x = np.zeros(m, np.uint32)
         for i in range(n):
-            x = x * np.uint32(16777619) + data[i : i + m] + np.uint32(1)
+            x = x * np.uint32(16777619) + chars[i : i + m] + np.uint32(1)
         x = (x * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-        own = np.repeat(np.arange(batch.n, dtype=np.int32), np.diff(batch.at))
         same = own[:m] == own[n - 1 :]
         docs.append(own[:m][same])
         found.append(x[same].astype(np.int32))

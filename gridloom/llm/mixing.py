@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, look_up, null_key
+from .common import durable, free_names, look_up, null_key
 
+#: Rows of one task after the shuffle, about.
+ROWS_A_TASK = 20_000
 _DIGITS = 13  # of a hexadecimal digest: 52 bits, exact in a double
 
 
@@ -35,8 +37,9 @@ def poisson_table(rate: Column) -> Column:
 def source_rates(docs: DataFrame, weights: dict[str | None, float] | None, power: float, epochs: float, source_col: str) -> DataFrame:
     """(key, source, size, rate) for each source: rate is the mean number of copies that gives the source its weight.
 
-    weights: target share by source, 0 where absent; weights of sources without rows play no part. None: shares in proportion to size ** power. All rows together
-    give epochs times their number on average. Sizes are counted over all rows.
+    weights: target share by source, 0 where absent; weights of sources without rows play no part. None: shares in
+    proportion to size ** power. All rows together give epochs times their number on average. Sizes are counted over all
+    rows.
     """
     sizes = docs.groupBy(null_key(source_col).alias("key"), F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("size"))
     if weights is None:
@@ -62,11 +65,16 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     """
     if clash := {copy_col, order_col} & set(docs.columns):
         raise ValueError(f"columns of docs: {sorted(clash)}")
-    rates = durable(source_rates(docs, weights, power, epochs, source_col).withColumn("_table", F.when(F.col("rate") > 0, poisson_table(F.col("rate")))).select(F.col("key").alias("_key"), "_table"), "mixing-rates")
-    rows = look_up(docs.withColumn("_key", null_key(source_col)), rates, "_key", id_col)
-    u = uniform(f"{seed}:count", F.col(id_col))
+    key, table, u, n = free_names([*docs.columns, copy_col, order_col], "key", "table", "u", "n")
+    rates = durable(source_rates(docs, weights, power, epochs, source_col).select(F.col("key").alias(key), "size", F.when(F.col("rate") > 0, poisson_table(F.col("rate"))).alias(table)), "mixing-rates")
+    total, rates = rates.agg(F.sum("size")).first()[0] or 0, rates.select(key, table)
+    rows = look_up(docs.withColumn(key, null_key(source_col)), rates, key, id_col).withColumn(u, uniform(f"{seed}:count", F.col(id_col)))
     # a table ends where what is left is below the step of u: one more copy at most
-    rows = rows.withColumn("_u", u).withColumn("_n", F.when(F.col("_table").isNull(), 0).otherwise(F.size(F.filter("_table", lambda c: c < F.col("_u")))))
-    rows = rows.where("_n > 0").withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    rows = rows.withColumn(n, F.when(F.col(table).isNull(), 0).otherwise(F.size(F.filter(table, lambda c: c < F.col(u)))))
+    rows = rows.where(F.col(n) > 0).withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     rows = rows.withColumn(order_col, F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(copy_col).cast("string"))), 1, _DIGITS), 16, 10).cast("long"))
-    return rows.select(*docs.columns, copy_col, order_col).repartitionByRange(order_col, id_col, copy_col).sortWithinPartitions(order_col, id_col, copy_col)
+    # the hash is uniform, so ranges of equal width hold equal shares and no sample of the rows is needed
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total * epochs) // ROWS_A_TASK + 1)
+    (task,) = free_names(rows.columns, "task")
+    rows = rows.select(*docs.columns, copy_col, order_col, F.floor(F.col(order_col) / float(1 << (4 * _DIGITS)) * tasks).cast("int").alias(task))
+    return rows.repartitionById(tasks, task).drop(task).sortWithinPartitions(order_col, id_col, copy_col)

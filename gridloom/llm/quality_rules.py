@@ -134,11 +134,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     Words are runs without ASCII white space of the whole text (null: none). base_failed: under MIN_WORDS words, or over
     MAX_REPEAT_PERCENT % of the words in WINDOW-word runs that the text holds twice or more. kept: not base_failed and
     the model's calibrated probability of good quality (quality) is at least threshold. The model is fitted on a bounded
-    sample of labelled rows; where labels lack one class, quality is null and the base rules alone decide. Repeated rows
+    sample of labelled rows (labels: doc_id, quality); where labels lack one class, quality is null and the base rules alone decide. Repeated rows
     and null ids are scored like others; an empty table gives no rows.
     """
     ship_package(docs.sparkSession)
-    model = fit_quality(docs, labels)
+    model = fit_quality(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels)
     shared = docs.sparkSession.sparkContext.broadcast(model and (model.weights.astype(np.float32), model.bias, model.a, model.b))  # 2**BITS numbers
 
     def score(batches: Iterator) -> Iterator:

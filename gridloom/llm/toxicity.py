@@ -13,7 +13,8 @@ from .common import _LOWER, Batch, mix, ship_package, span_hashes
 from .linear import calibrate, Model, sigmoid
 from .quality_rules import labelled_rows
 
-#: The chain's categories in order: poor quality, toxic, severely toxic (see severe()).
+#: The chain's categories in order: poor quality and toxic, as labelled, and severely toxic, which no label says: severe()
+#: derives it from the toxic rows of the sample.
 CATEGORIES = ("junk", "toxic", "severe")
 #: Labelled rows of each class that the chain is fitted on; words that a model may use.
 SAMPLE_PER_CLASS, MAX_WORDS, MIN_DOCS, MIN_CHI2, FOLDS = 1500, 200_000, 4, 10.83, 5
@@ -171,15 +172,15 @@ def fit_chain(doc: np.ndarray, h: np.ndarray, junk: np.ndarray, toxic: np.ndarra
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: id, p_junk, p_toxic, p_severe, toxic (p_toxic >= threshold).
+    """One row per input row: id, p_junk, p_toxic, p_severe_derived, toxic (p_toxic >= threshold).
 
-    Whole texts are scored (null: none) in Arrow batches. The chain is fitted on a bounded sample of labelled rows;
+    p_severe_derived is of a category that severe() derives. Whole texts are scored (null: none) in Arrow batches. The chain is fitted on a bounded sample of labelled rows;
     where labels hold no toxic or no other row, probabilities are null and toxic is false. Repeated rows and null ids are
     scored like others; an empty table gives no rows; other columns play no part.
     """
     ship_package(docs.sparkSession)
     both = labels.where("quality is not null and toxic is not null").select("doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("pair"), "toxic")
-    doc, h, pair = labelled_words(docs, both.select("doc_id", "toxic", "pair"), "toxic", carry="pair")
+    doc, h, pair = labelled_words(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), both.select("doc_id", "toxic", "pair"), "toxic", carry="pair")
     chain = fit_chain(doc, h, (pair < 2).astype(np.int64), pair % 2) if len(set((pair % 2).tolist())) == 2 else None
     shared = docs.sparkSession.sparkContext.broadcast(chain and (chain.vocabulary, [(m.weights, m.more, m.bias, m.a, m.b) for m in chain.models]))  # at most MAX_WORDS words
 
@@ -195,7 +196,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             for i, part in Batch(batch.column(1)).parts():
                 p = own.probabilities(part) if own else np.full((part.n, 3), np.nan)
                 flag = p[:, 1] >= threshold if own else np.zeros(part.n, bool)
-                yield pa.record_batch([batch.column(0).slice(i, part.n), *(pa.array(p[:, k], pa.float64(), mask=np.isnan(p[:, k])) for k in range(3)), pa.array(flag)], names=["key", "p_junk", "p_toxic", "p_severe", "toxic"])
+                yield pa.record_batch([batch.column(0).slice(i, part.n), *(pa.array(p[:, k], pa.float64(), mask=np.isnan(p[:, k])) for k in range(3)), pa.array(flag)], names=["key", "p_junk", "p_toxic", "p_severe_derived", "toxic"])
 
-    schema = f"key {docs.schema[id_col].dataType.simpleString()}, p_junk double, p_toxic double, p_severe double, toxic boolean"
+    schema = f"key {docs.schema[id_col].dataType.simpleString()}, p_junk double, p_toxic double, p_severe_derived double, toxic boolean"
     return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(score, schema).withColumnRenamed("key", id_col)

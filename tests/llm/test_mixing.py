@@ -3,6 +3,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import common, mixing
 
@@ -21,16 +22,20 @@ def expected(doc_id, rate, seed=0):
 def test_counts_by_brute_force(spark, many, monkeypatch):
     if many:
         monkeypatch.setattr(common, "MAX_LOOKUP_ROWS", 1)
-    rows = [(i, f"t{i}", ["a", "a", "a", "b", None, ""][i % 6], i) for i in range(1200)] + [(3, "again", "b", 0), (None, None, "a", None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long")
+    rows = [(i, f"t{i}", ["a", "a", "a", "b", None, ""][i % 6], i, "k") for i in range(1200)] + [(3, "again", "b", 0, "k"), (None, None, "a", None, "k")]
+    names = ["_key", "size", "_u", "_n", "_table", "_salt", "key", "task"]  # like those of the operator's own columns
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, _key string")
+    for name in names[2:]:
+        df = df.withColumn(name, F.lit("own"))
     weights = {"a": 1.0, "b": 2.0, None: 0.5, "absent": 9.0}
     got = mixing.mix(df, weights).collect()
     size = Counter(r[2] for r in rows)
     rate = {s: weights.get(s, 0) / 3.5 * len(rows) / n for s, n in size.items()}
     want = Counter()
-    for i, t, s, _ in rows:
+    for i, t, s, _, _ in rows:
         want[(i, t, s)] += expected("null" if i is None else i, rate[s]) if rate[s] else 0
     assert Counter((r.doc_id, r.text, r.source) for r in got) == +want
+    assert all(r["_key"] == "k" and r[c] == "own" for r in got for c in names[2:])
     assert all(0 <= r.copy < want[(r.doc_id, r.text, r.source)] for r in got)
 
 

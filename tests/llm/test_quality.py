@@ -38,6 +38,8 @@ def test_features_do_not_cross_texts():
     for i, t in enumerate(texts):
         alone = L.features(Batch(pa.array([t])))
         assert sorted(whole[1][whole[0] == i].tolist()) == sorted(alone[1].tolist())
+    grams = [len(L.features(Batch(pa.array([t])))[1]) for t in ("日本語", "éñ", "日本語日本語", "a b")]
+    assert grams == [2, 1, 5, 4]  # words, pairs of words and runs of three code points
     upper = L.features(Batch(pa.array(["ALPHA BETA"])))
     assert sorted(upper[1].tolist()) == sorted(L.features(Batch(pa.array(["alpha beta"])))[1].tolist())
 
