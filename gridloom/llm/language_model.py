@@ -229,17 +229,17 @@ def perplexities(docs: DataFrame, model: DataFrame, id_col: str, text_col: str,
                 value = batch.column(column).to_numpy(zero_copy_only=False)
                 yield pa.record_batch([pa.array(x[some]) for x in (key.astype(np.int64), shard, value if column == 2 else np.full(len(value), np.nan), value if column == 3 else np.full(len(value), np.nan))], names=["key", "shard", "logp", "logbow"])
 
-    table = durable(model.where("gram <> ''").mapInArrow(keyed, "key long, shard long, logp double, logbow double"), "model", compression="zstd")
+    entries = model.where("gram <> ''").mapInArrow(keyed, "key long, shard long, logp double, logbow double")
+    best = [F.max(F.nanvl(c, F.lit(None))).cast("float").alias(c) for c in ("logp", "logbow")]  # a gram has one row for each
+    table = durable(entries.groupBy("shard", "key").agg(*best), "model", compression="zstd")
     unknown = {r["lang"]: r["logbow"] for r in model.where("gram = ''").collect()}  # one number a language
     rows = docs.select(F.col(id_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.lit(0.0).alias("logp"), F.lit(0).cast("long").alias("n"))
     for k in range(shards):
-        part = table.where(F.col("shard").isin(k, -1)).toArrow()
-        keys, column = part.column(0).to_numpy().astype(np.uint64), np.stack([part.column(2).to_numpy(), part.column(3).to_numpy()], 1)
-        keys, at = np.unique(keys, return_inverse=True)
-        values = np.full((len(keys), 2), -np.inf)
-        np.maximum.at(values, at, np.nan_to_num(column, nan=-np.inf))
-        values[np.isinf(values)] = np.nan
-        shared = spark.sparkContext.broadcast((keys, values.astype(np.float32), unknown, k))
+        # at most shard_entries of 16 bytes, and single characters; a key may be in both with a value in each
+        part = table.where(F.col("shard").isin(k, -1)).groupBy("key").agg(F.max("logp").alias("logp"), F.max("logbow").alias("logbow")).toArrow()
+        keys, values = part.column(0).to_numpy().view(np.uint64), np.stack([part.column(c).to_numpy() for c in (1, 2)], 1)
+        shared = spark.sparkContext.broadcast((keys, values, unknown, k))
+        del part, keys, values
 
         def score(batches: Iterator, shared=shared) -> Iterator:
             import pyarrow as pa
