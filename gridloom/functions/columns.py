@@ -223,17 +223,21 @@ def edate(x, months) -> Column:
 
 
 def days360(start, end, european: bool = False) -> Column:
-    a, b = date_of(start), date_of(end)
-    d1, d2 = F.dayofmonth(a), F.dayofmonth(b)
+    """Days between dates in a year of twelve months of 30 days, by the published 30/360 rules.
+
+    Both rules hold a 31st back to the 30th; the US rule does so at the end only where the start is a 30th or later, and
+    takes a start on February's last day for a 30th, and an end on it, too, if the start is on it.
+    """
+    parts = lambda d: F.struct(F.year(d).alias("y"), F.month(d).alias("m"), F.dayofmonth(d).alias("d"), (F.when(F.month(d) == 2, d == F.last_day(d)).otherwise(False)).alias("closes"))
+    p, q = parts(date_of(start)), parts(date_of(end))
+    thirty = lambda x: F.least(x["d"], F.lit(30))
     if european:
-        d1, d2 = F.least(d1, F.lit(30)), F.least(d2, F.lit(30))
+        first, last = thirty(p), thirty(q)
     else:
-        feb = lambda d: (F.month(d) == 2) & (d == F.last_day(d))
-        d2 = F.when(feb(a) & feb(b), 30).otherwise(d2)
-        d1 = F.when(feb(a), 30).otherwise(d1)
-        d2 = F.when((d2 == 31) & (d1 >= 30), 30).otherwise(d2)
-        d1 = F.when(d1 == 31, 30).otherwise(d1)
-    return ((F.year(b) - F.year(a)) * 360 + (F.month(b) - F.month(a)) * 30 + (d2 - d1)).cast("double")
+        first = F.when(p["closes"], 30).otherwise(thirty(p))
+        last = F.when(p["closes"] & q["closes"], 30).when(first == 30, thirty(q)).otherwise(q["d"])
+    months = (q["y"] * 12 + q["m"]) - (p["y"] * 12 + p["m"])
+    return (months * 30 + last - first).cast("double")
 
 
 def yearfrac(start, end, basis: int = 0) -> Column:

@@ -3,7 +3,7 @@ import math
 import pytest
 
 from gridloom.functions import interpreter as I
-from gridloom.functions.formula import FormulaError, column_letters, column_number, parse, pattern, precedents, role, shifted
+from gridloom.functions.formula import FormulaError, column_letters, column_number, parse, pattern, precedents, rendered, role, shifted
 from gridloom.sources import workbook as B
 
 
@@ -71,7 +71,14 @@ def test_parser():
             parse(bad)
     assert precedents(parse("=A1+Sheet2!B1:B3+A1"), "S") == [("S", 1, 1, 1, 1), ("Sheet2", 1, 2, 3, 2)]
     tree = parse("=IF(A1,B1,C1)")
-    assert [role(tree, i, 3) for i in range(3)] == ["condition", "branch", "branch"] and role(None, 0, 0) == "identity"
+    assert [role(tree, i) for i in range(3)] == ["condition", "then", "else"] and role(None, 0) == "identity"
+    roles = lambda text: [role(parse(text), i) for i in range(len(parse(text).args))]
+    assert roles("=SUMIFS(A1:A9,B1:B9,1,C1:C9,2)") == ["summand", "range", "criteria", "range", "criteria"] and roles("=COUNTIFS(A1:A9,1,B1:B9,2)") == ["range", "criteria"] * 2
+    assert roles("=CHOOSE(A1,1,2,3)") == ["index", "choice", "choice", "choice"] and roles("=SWITCH(A1,1,2,3,4)") == ["value", "criteria", "then", "criteria", "then"]
+    assert roles("=A1-B1") == ["lhs", "rhs"] and roles("=-A1") == ["operand"] and roles("=SUM(A1,2)") == ["summand"] * 2 and roles("=AND(A1,B1)") == ["condition"] * 2 and roles("=LEN(A1)") == ["arg"]
+    assert [role(None, 0, parse(f)) for f in ("=A1", "=5", "=A1+1")] == ["identity", "constant", "result"]
+    for f in ("=IF(A1>0,-SUM(B:B)%,\"a\"\"b\")", "='My Sheet'!$A$1&{1,2;3,4}", "=(A1,B2)", "=VLOOKUP(TRUE,Data!A1:B9,,#N/A)"):
+        assert rendered(parse("=" + rendered(parse(f)))) == rendered(parse(f))
 
 
 def test_patterns_and_fills():
