@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,47 @@ def numbers_in(text: str | Column) -> Column:
     return F.filter(F.concat(plain, shares), lambda x: x.isNotNull())
 
 
+#: Characters of the phrases that one pass looks for: what is broadcast at once stays bounded.
+PASS_CHARACTERS = 4_000_000
+
+
+def contained(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame, phrase_id: str, phrase_col: str, pass_characters: int = PASS_CHARACTERS) -> DataFrame:
+    """(id, found): for each text that contains a phrase the least id of those it contains; whole texts, whole phrases.
+
+    Phrases are dealt by their hash to as many shards as their length asks for; each shard becomes one automaton, which
+    reads a text once whatever the number of phrases. A null phrase is in no text, an empty one in every text that isn't
+    null. No phrases or no texts give no rows.
+    """
+    some = phrases.select(F.col(phrase_id).alias("i"), F.col(phrase_col).alias("x")).where("x is not null and i is not null").groupBy("x").agg(F.min("i").alias("i"))
+    total = some.agg(F.sum(F.length("x"))).first()[0] or 0
+    shards, out = int(total) // pass_characters + 1, None
+    kind = phrases.schema[phrase_id].dataType.simpleString()
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, found {kind}"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    for k in range(shards):
+        shard = [(r["x"], r["i"]) for r in some.where(F.pmod(F.xxhash64("x"), F.lit(shards)) == k).collect()]
+        shared = docs.sparkSession.sparkContext.broadcast(shard)
+
+        def look(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            import ahocorasick
+
+            automaton, anywhere = ahocorasick.Automaton(), [i for x, i in shared.value if x == ""]
+            for x, i in shared.value:
+                if x:
+                    automaton.add_word(x, i)
+            if len(automaton):
+                automaton.make_automaton()
+            for pdf in batches:
+                hits = [min([*anywhere, *({i for _, i in automaton.iter(x)} if len(automaton) else ())], default=None) for x in pdf["text"]]
+                keep = [h is not None for h in hits]
+                yield pd.DataFrame({"id": pdf["id"][keep], "found": [h for h in hits if h is not None]})
+
+        part = rows.mapInPandas(look, schema)
+        out = part if out is None else out.unionByName(part)
+    out = out if shards == 1 else out.groupBy("id").agg(F.min("found").alias("found"))
+    return out.withColumnRenamed("id", id_col)
+
+
 def families(docs: DataFrame, id_col: str, text_col: str, keywords: dict[str, list[str]], least: int = 1) -> DataFrame:
     """(id, family, score): how many of a family's keywords the lower-cased text contains, the best first by name."""
     low = F.lower(F.coalesce(F.col(text_col), F.lit("")))

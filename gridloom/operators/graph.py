@@ -1,26 +1,45 @@
 """Operators on a directed graph given as edges (src, dst): closure, depth, islands, cones, condensation of views, buckets.
 
-Loops run joins on the frontier only; each step's rows are written to the folder in spark.checkpoint.dir, so that lineage
-stays short and lost executors cost one step.
+Loops run joins on the frontier only; each step's rows are written as Parquet to the folder in spark.checkpoint.dir, so
+that lineage stays short and lost executors cost one step.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df by checkpoint(), in the session's folder; a local one only where Spark is local and none is set."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        given = df.sparkSession.conf.get("spark.checkpoint.dir", "")
-        if not given and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+    """df, written to the session's shared folder and read back; a local one only where Spark is local and none is set."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    given = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get("spark.checkpoint.dir", "") or sc.getCheckpointDir()
+    if not given:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="gridloom-"))
-    return df.checkpoint()
+        given = sc._gridloom_steps = getattr(sc, "_gridloom_steps", None) or "file://" + tempfile.mkdtemp(prefix="gridloom-")
+    path = f"{given.rstrip('/')}/gridloom-step-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def reach(edges: DataFrame, seeds: DataFrame, backward: bool = False, most: int = 10_000) -> DataFrame:
+    """(id): all that the seeds (id) reach together, themselves included; a row a node, however many seeds reach it."""
+    step = edges.select(F.col("dst" if backward else "src").alias("id"), F.col("src" if backward else "dst").alias("_to")).distinct()
+    found = new = settled(seeds.select("id").distinct())
+    for k in range(1, most):
+        new = settled(step.join(new, "id", "left_semi").select(F.col("_to").alias("id")).distinct().join(found, "id", "left_anti"))
+        if new.isEmpty():
+            return found
+        found = settled(found.unionByName(new)) if k % 8 == 0 else found.unionByName(new)
+    raise RuntimeError("reach did not end")
 
 
 def closure(edges: DataFrame, seeds: DataFrame, backward: bool = False, most: int = 10_000) -> DataFrame:
@@ -60,19 +79,44 @@ def depths(edges: DataFrame, most: int = 10_000) -> DataFrame:
     raise RuntimeError("depths did not end")
 
 
-def islands(edges: DataFrame, most: int = 1000) -> DataFrame:
-    """(id, island): weak components by the least id, which spreads over edges and then jumps along itself."""
-    both = settled(edges.select("src", "dst").union(edges.select("dst", "src")).where("src <> dst").distinct())
-    label = settled(edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct().withColumn("island", F.col("id")))
-    for _ in range(most):
-        near = both.join(label, F.col("src") == F.col("id")).groupBy("dst").agg(F.min("island").alias("_m"))
-        pulled = label.join(near, F.col("id") == F.col("dst"), "left").select("id", F.least("island", F.coalesce("_m", "island")).alias("island"), F.col("island").alias("_old"))
-        top = pulled.select(F.col("id").alias("_i"), F.col("island").alias("_up"))
-        now = settled(pulled.join(top, F.col("island") == F.col("_i")).select("id", F.least("island", "_up").alias("island"), "_old"))
-        label = now.select("id", "island")
-        if now.where("island <> _old").isEmpty():
-            return label
-    raise RuntimeError("islands did not settle")
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each batch's edges (a, b) as stars (id, least id) of the same components."""
+    for pdf in batches:
+        if len(pdf):
+            code, ids = pd.factorize(np.concatenate([pdf["a"], pdf["b"]]), sort=True)
+            x, y, up = code[: len(pdf)], code[len(pdf) :], np.arange(len(ids))
+            while (up[x] != up[y]).any():
+                np.minimum.at(up, np.maximum(up[x], up[y]), np.minimum(up[x], up[y]))
+                while (up[up] != up).any():
+                    up = up[up]
+            own = np.flatnonzero(up != np.arange(len(ids)))
+            yield pd.DataFrame({"a": ids[own], "b": ids[up[own]]})
+
+
+def islands(edges: DataFrame, most: int = 100) -> DataFrame:
+    """(id, island): weak components, named by their least id.
+
+    Batches of edges are first folded into stars. Rounds then join each node's neighbours to the least of them, once from
+    above and once from below, until the stars stay as they are; only minima are gathered.
+    """
+    kind = edges.schema["src"].dataType.simpleString()
+    nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    fold = lambda e: e.mapInPandas(_stars, f"a {kind}, b {kind}")  # noqa: E731  a is the greater
+    state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
+    now = settled(fold(edges.where("src <> dst").select(F.col("src").alias("a"), F.col("dst").alias("b"))).distinct())
+    before = state(now)
+    for _ in range(most if before[0] else 0):
+        both = now.union(now.select("b", "a"))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        upper = both.join(low, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        upper = upper.union(low.where("a <> m")).distinct()
+        low = upper.groupBy("a").agg(F.min("b").alias("m"))
+        lower = upper.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("x"), F.col("m").alias("y")), F.struct(F.col("a").alias("x"), F.col("m").alias("y")))).alias("e"))
+        now = settled(lower.where("e.x <> e.y").select(F.greatest("e.x", "e.y").alias("a"), F.least("e.x", "e.y").alias("b")).distinct())
+        if (after := state(now)) == before:
+            break
+        before = after
+    return nodes.join(now.select(F.col("a").alias("id"), F.col("b").alias("island")), "id", "left").select("id", F.coalesce("island", "id").alias("island"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -102,15 +146,17 @@ def buckets(nodes: DataFrame, edges: DataFrame, outputs: DataFrame) -> DataFrame
     """(id, bucket): output, input (a source of an output's cone), middle (else in a cone), or scaffolding: unused_input
     (a source outside), dead (behind an input), detached."""
     edges = settled(edges.select("src", "dst").where("src <> dst").distinct())
-    cone = settled(closure(edges, outputs.select(F.col("id").alias("seed")), backward=True).select("id").distinct())
     fed = edges.select(F.col("dst").alias("id")).distinct()
-    inputs = settled(cone.join(fed, "id", "left_anti"))
-    behind = closure(edges, inputs.select(F.col("id").alias("seed"))).select("id").distinct()
-    flag = lambda df, name: df.select("id").distinct().withColumn(name, F.lit(True))
-    marked = nodes.select("id").distinct()
-    for df, name in ((outputs, "_o"), (cone, "_c"), (fed, "_f"), (behind, "_b")):
-        marked = marked.join(flag(df, name), "id", "left")
-    return marked.select("id", F.when(F.col("_o"), "output").when(F.col("_c") & F.col("_f").isNull(), "input").when(F.col("_c"), "middle").when(F.col("_f").isNull(), "unused_input").when(F.col("_b"), "dead").otherwise("detached").alias("bucket"))
+    cone = settled(reach(edges, outputs, backward=True))
+    behind = reach(edges, cone.join(fed, "id", "left_anti"))
+    # all marks of a node meet in one aggregation
+    marks = None
+    for mark, some in (("node", nodes), ("output", outputs), ("cone", cone), ("fed", fed), ("behind", behind)):
+        rows = some.select("id", F.lit(mark).alias("mark"))
+        marks = rows if marks is None else marks.unionByName(rows)
+    has = lambda m: F.bool_or(F.col("mark") == m)
+    marked = marks.groupBy("id").agg(has("node").alias("_n"), has("output").alias("_o"), has("cone").alias("_c"), has("fed").alias("_f"), has("behind").alias("_b")).where("_n")
+    return marked.select("id", F.when(F.col("_o"), "output").when(F.col("_c") & ~F.col("_f"), "input").when(F.col("_c"), "middle").when(~F.col("_f"), "unused_input").when(F.col("_b"), "dead").otherwise("detached").alias("bucket"))
 
 
 def score(features: DataFrame) -> DataFrame:

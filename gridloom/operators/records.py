@@ -27,7 +27,11 @@ def search(docs: DataFrame, text: str, id_col: str, title_col: str, content_col:
     import re
 
     wanted = re.findall("[a-z0-9.]+", text.lower())
-    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(content_col, F.lit("")).alias("content"), X.tokens(title_col).alias("_t"), F.array_distinct(X.tokens(content_col)).alias("_c"))
+    # texts without any of the words, which one pass over them shows, are not split
+    maybe = F.lit(False)
+    for w in dict.fromkeys(wanted):
+        maybe = maybe | F.contains(F.lower(F.coalesce(F.col(title_col), F.lit(""))), F.lit(w)) | F.contains(F.lower(F.coalesce(F.col(content_col), F.lit(""))), F.lit(w))
+    docs = docs.where(maybe).select(F.col(id_col).alias("id"), F.coalesce(content_col, F.lit("")).alias("content"), X.tokens(title_col).alias("_t"), F.array_distinct(X.tokens(content_col)).alias("_c"))
     hits = F.lit(0.0)
     for w in wanted:
         hits = hits + F.when(F.array_contains("_t", w), 4.0).otherwise(0.0) + F.when(F.array_contains("_c", w), 1.0).otherwise(0.0)
@@ -37,9 +41,9 @@ def search(docs: DataFrame, text: str, id_col: str, title_col: str, content_col:
 
 def page(df: DataFrame, by: list[str], order: list[str], cursor: int, size: int = 5) -> DataFrame:
     """Of each group the rows from cursor on, size at most, with total and next_cursor (null on the last page)."""
-    k = W.partitionBy(*by)
-    numbered = df.withColumn("_i", F.row_number().over(k.orderBy(*order)) - 1).withColumn("total", F.count(F.lit(1)).over(k))
-    some = numbered.where((F.col("_i") >= cursor) & (F.col("_i") < cursor + size))
+    # a task keeps the first cursor + size rows of a group before the shuffle; totals are counted apart
+    first = df.withColumn("_i", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_i") <= cursor + size).where(F.col("_i") > cursor)
+    some = first.join(df.groupBy(*by).agg(F.count(F.lit(1)).alias("total")), by)
     return some.withColumn("next_cursor", F.when(F.col("total") > cursor + size, F.lit(cursor + size).cast("long"))).drop("_i")
 
 

@@ -35,3 +35,34 @@ def driver(df: DataFrame, by: list[str], part: str, period: str, value: str) ->
     delta = F.col(value) - F.lag(value).over(W.partitionBy(*by, part).orderBy(period))
     best = df.withColumn("delta", delta).where("delta is not null").groupBy(*by, period).agg(F.min(F.struct((-F.abs("delta")).alias("_a"), F.col(part), F.col("delta"))).alias("_x"))
     return best.select(*by, period, f"_x.{part}", "_x.delta")
+
+
+def quantiles(df: DataFrame, by: str, value: str, at: dict[str, float], buckets: int = 1000) -> DataFrame:
+    """(by, n, and a column for each of at: name -> share): exact quantiles between the nearest ranks, as spreadsheets do.
+
+    Values are counted in equal ranges between a group's least and greatest value; only values in the few ranges that
+    hold a wanted rank are counted one by one. So no task holds a group, and each step is summed up before its shuffle.
+    """
+    v = F.col(value).cast("double")
+    rows = df.select(F.col(by), v.alias("v")).where("v is not null")
+    span = rows.groupBy(by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    cut = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))).otherwise(0).cast("int")
+    placed = rows.join(span, by).select(by, "v", "n", cut.alias("bucket"))
+    upto = W.partitionBy(by).orderBy("bucket")
+    counted = placed.groupBy(by, "n", "bucket").agg(F.count(F.lit(1)).alias("k")).withColumn("end", F.sum("k").over(upto)).withColumn("start", F.col("end") - F.col("k"))
+    wanted = F.array(*(F.struct(F.lit(name).alias("name"), (F.col("n") - 1).cast("double").__mul__(share).alias("rank")) for name, share in at.items()))
+    ranks = counted.withColumn("w", F.explode(wanted)).select(by, "bucket", "start", "end", F.col("w.name").alias("name"), F.col("w.rank").alias("rank"))
+    ranks = ranks.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("at", F.when(F.col("side") == 0, F.floor("rank")).otherwise(F.ceil("rank"))).where("at >= start and at < end")
+    few = placed.join(ranks.select(by, "bucket", "start").distinct(), [by, "bucket"]).groupBy(by, "bucket", "start", "v").agg(F.count(F.lit(1)).alias("k"))
+    inside = W.partitionBy(by, "bucket").orderBy("v")
+    few = few.withColumn("to", F.col("start") + F.sum("k").over(inside)).withColumn("from", F.col("to") - F.col("k"))
+    hit = ranks.join(few.select(by, "bucket", "v", "from", "to"), [by, "bucket"]).where("at >= `from` and at < `to`")
+    each = hit.groupBy(by, "name").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("v"))).alias("b"), F.max(F.col("rank") - F.floor("rank")).alias("part"))
+    q = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
+    return each.groupBy(by).agg(*(F.max(F.when(F.col("name") == name, q)).alias(name) for name in at))
+
+
+def nth(df: DataFrame, by: str, value: str, k: int, largest: bool = False) -> DataFrame:
+    """(by, value) of the k-th smallest or largest value of each group; a task keeps k rows a group before the shuffle."""
+    order = F.col(value).desc() if largest else F.col(value)
+    return df.select(by, value).withColumn("_i", F.row_number().over(W.partitionBy(by).orderBy(order))).where(F.col("_i") <= k).groupBy(by).agg(F.max(F.when(F.col("_i") == k, F.col(value))).alias(value))

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from ..operators import audit as A
 from .registry import query
 
-_T = "t AS (SELECT o_orderkey, o_totalprice AS target FROM orders WHERE o_orderkey % 100 = 0)"
-_C = "c AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS value FROM lineitem UNION ALL SELECT o_orderkey, 0, o_totalprice FROM orders WHERE o_orderkey % 200 = 0)"
-_KEY = "floor(log10(abs({0}))) AS e{1}, floor(abs({0}) / pow(10.0, floor(log10(abs({0}))) - 3) + 0.5) AS m{1}"
+_T = "t AS (SELECT o_orderkey, o_totalprice AS target FROM orders)"
+_C = "c AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS value FROM lineitem UNION ALL SELECT o_orderkey, 0, o_totalprice FROM orders)"
+#: A number's place among all of four significant digits, so 9999.6 and 10000.4 share one; its sign.
+_KEY = "CAST(floor(log10(abs({0}))) * 9000 + floor(abs({0}) / pow(10.0, floor(log10(abs({0}))) - 3) + 0.5) AS BIGINT) AS k{1}, sign({0}) AS s{1}"
 
 
 @query(f"""WITH {_T}, {_C}, a AS (SELECT *, {_KEY.format('value', '1')} FROM c WHERE value <> 0 AND NOT (value = floor(value) AND abs(value) < 10000)), b AS (SELECT *, {_KEY.format('target', '2')} FROM t WHERE target <> 0)
-    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_orderkey, value, target, CASE WHEN abs(value - target) <= 1e-12 * greatest(1.0, abs(target)) THEN 'deny' ELSE 'suspect' END AS kind FROM a JOIN b ON e1 = e2 AND m1 = m2 AND sign(value) = sign(target)""")
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_orderkey, value, target, CASE WHEN abs(value - target) <= 1e-12 * greatest(1.0, abs(target)) THEN 'deny' ELSE 'suspect' END AS kind FROM a JOIN b ON k1 = k2 AND s1 = s2""")
 def pasted_answers(t):
-    """Of all orders and lines. The SQL beside it takes a hundredth of the targets, so it has fewer rows."""
     targets = t("orders").select("o_orderkey", F.col("o_totalprice").alias("target"))
     cells = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_extendedprice").alias("value"))
     cells = cells.unionByName(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("long").alias("l_linenumber"), F.col("o_totalprice").alias("value")))
@@ -59,9 +59,5 @@ def exclusion_histogram(t):
 
 @query("""SELECT d.doc_id, min(b.item_id) AS item FROM documents d JOIN benchmark b ON contains(d.text, b.text) GROUP BY 1""")
 def leak_benchmark(t):
-    """Benchmark items are few and bounded; each text is compared with them in one pass over documents."""
-    items = [(r["item_id"], r["text"]) for r in t("benchmark").select("item_id", "text").orderBy("item_id").limit(10_001).collect()]
-    if len(items) > 10_000:
-        raise ValueError("more benchmark items than one pass compares")
-    hit = F.coalesce(*(F.when(F.contains(F.col("text"), F.lit(x)), F.lit(i)) for i, x in items if x is not None))
-    return t("documents").select("doc_id", hit.alias("item")).where("item is not null")
+    """The least benchmark item that each text contains."""
+    return A.contained(t("documents"), "doc_id", "text", t("benchmark"), "item_id", "text").withColumnRenamed("found", "item")

@@ -35,16 +35,15 @@ def longest_path_depth(t):
     return G.depths(tree(t))
 
 
-_PS = "e AS (SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem WHERE l_orderkey % 150 = 0)"
+_PS = "e AS (SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem)"
 
 
 def parts_suppliers(t):
-    """Edges of all of lineitem; the SQL of islands takes one order in 150."""
     return t("lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
 
 
-@query(f"""WITH RECURSIVE {_PS}, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r AS (SELECT src AS id, src AS o FROM b UNION SELECT dst, o FROM r JOIN b ON id = src)
-    SELECT id, min(o) AS island FROM r GROUP BY id""")
+@query(f"""WITH RECURSIVE {_PS}, n AS (SELECT DISTINCT a.dst AS x, b.dst AS y FROM e a JOIN e b ON a.src = b.src), r AS (SELECT x, y FROM n UNION SELECT r.x, n.y FROM r JOIN n ON r.y = n.x),
+    c AS (SELECT r.x AS s, min(least(e.src, e.dst)) AS island FROM r JOIN e ON e.dst = r.y GROUP BY 1) SELECT s AS id, island FROM c UNION SELECT e.src, island FROM e JOIN c ON c.s = e.dst""")
 def islands(t):
     return G.islands(parts_suppliers(t))
 

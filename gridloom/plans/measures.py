@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as X
+from ..operators import series as S
 from .registry import query
 
 
@@ -33,11 +33,10 @@ def subtotal_codes(t):
 @query("""SELECT p_brand, round(quantile_cont(p_retailprice, 0.25), 4) AS q1, round(quantile_cont(p_retailprice, 0.75), 4) AS q3, round(median(p_retailprice), 4) AS med,
     list_sort(list(p_retailprice))[2] AS small2, list_reverse_sort(list(p_retailprice))[3] AS large3 FROM part GROUP BY 1""")
 def quartile_small_large(t):
-    k = W.partitionBy("p_brand")
-    price = F.col("p_retailprice")
-    ranked = t("part").withColumn("up", F.row_number().over(k.orderBy(price))).withColumn("down", F.row_number().over(k.orderBy(price.desc())))
-    pick = lambda c, n: F.max(F.when(F.col(c) == n, price))
-    return ranked.groupBy("p_brand").agg(F.round(F.percentile(price, 0.25), 4).alias("q1"), F.round(F.percentile(price, 0.75), 4).alias("q3"), F.round(F.median(price), 4).alias("med"), pick("up", 2).alias("small2"), pick("down", 3).alias("large3"))
+    p = t("part")
+    q = S.quantiles(p, "p_brand", "p_retailprice", {"q1": 0.25, "q3": 0.75, "med": 0.5})
+    ends = S.nth(p, "p_brand", "p_retailprice", 2).withColumnRenamed("p_retailprice", "small2").join(S.nth(p, "p_brand", "p_retailprice", 3, True).withColumnRenamed("p_retailprice", "large3"), "p_brand")
+    return q.join(ends, "p_brand").select("p_brand", *(F.round(c, 4).alias(c) for c in ("q1", "q3", "med")), "small2", "large3")
 
 
 @query("""WITH a AS (SELECT c_nationkey, avg(c_acctbal) AS m FROM customer GROUP BY 1) SELECT c.c_nationkey, round(avg(abs(c_acctbal - m)), 4) AS avedev, round(median(c_acctbal), 4) AS med,
@@ -45,7 +44,8 @@ def quartile_small_large(t):
 def avedev_median(t):
     c = t("customer")
     mean = c.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("m"))
-    return c.join(mean, "c_nationkey").groupBy("c_nationkey").agg(F.round(F.avg(F.abs(F.col("c_acctbal") - F.col("m"))), 4).alias("avedev"), F.round(F.median("c_acctbal"), 4).alias("med"), F.count_if(F.col("c_acctbal") < 0).alias("negatives"))
+    away = c.join(mean, "c_nationkey").groupBy("c_nationkey").agg(F.round(F.avg(F.abs(F.col("c_acctbal") - F.col("m"))), 4).alias("avedev"), F.count_if(F.col("c_acctbal") < 0).alias("negatives"))
+    return away.join(S.quantiles(c, "c_nationkey", "c_acctbal", {"med": 0.5}), "c_nationkey").select("c_nationkey", "avedev", F.round("med", 4).alias("med"), "negatives")
 
 
 @query("""SELECT l_returnflag, l_linestatus, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_r2(l_extendedprice, l_quantity), 8) AS rsq,
@@ -105,9 +105,9 @@ def grouped_stats(t):
     return l.groupingSets([["l_returnflag"], ["year"], []], "l_returnflag", "year").agg(F.grouping_id().alias("level"), F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total")).select("l_returnflag", "year", "level", "n", "total")
 
 
-@query("""WITH v AS (SELECT l_suppkey, l_extendedprice AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS i, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem)
+@query("""WITH v AS (SELECT l_suppkey, l_extendedprice AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS i, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem)
     SELECT l_suppkey, count(*) AS n, count(DISTINCT x) AS kinds, min(x) AS low, max(x) AS high, max(x) FILTER (i = 1) AS first1, max(x) FILTER (i = n) AS last1 FROM v GROUP BY 1""")
 def value_summary(t):
-    at = F.struct("l_orderkey", "l_linenumber")
+    at = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")  # a line's number may occur twice in an order
     x = F.col("l_extendedprice")
     return t("lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(x).alias("kinds"), F.min(x).alias("low"), F.max(x).alias("high"), F.min_by(x, at).alias("first1"), F.max_by(x, at).alias("last1"))

@@ -134,3 +134,50 @@ def test_streams(spark, tmp_path):
         q.awaitTermination(120)
     assert {r.k: r.rec for r in spark.table("cur").collect()} == {1: 11, 2: 12}
     assert sorted((r.attempts, r.passed) for r in spark.table("win").collect()) == [(1, 0), (1, 1), (2, 2)]
+
+
+def test_contained_by_brute_force(spark):
+    import random
+
+    rng = random.Random(2)
+    phrases = [(i, "".join(rng.choice("ab c") for _ in range(rng.randrange(1, 6)))) for i in range(40)] + [(90, None), (None, "a")]
+    texts = [(i, "".join(rng.choice("ab c") for _ in range(rng.randrange(12)))) for i in range(200)] + [(900, None), (None, "abab")]
+    docs, few = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(phrases, "item_id long, text string")
+    want = sorted(((i, min(p for p, x in phrases if x is not None and p is not None and x in t)) for i, t in texts if t is not None and any(x is not None and p is not None and x in t for p, x in phrases)), key=str)
+    for most in (10**6, 30):
+        assert sorted(map(tuple, audit.contained(docs, "doc_id", "text", few, "item_id", "text", most).collect()), key=str) == want
+    assert audit.contained(docs, "doc_id", "text", few.limit(0), "item_id", "text").count() == 0
+    assert audit.contained(docs.limit(0), "doc_id", "text", few, "item_id", "text").count() == 0
+
+
+def test_quantiles_by_numpy(spark):
+    import random
+
+    import numpy as np
+    from gridloom.operators import series
+
+    rng = random.Random(4)
+    rows = [(g, float(rng.choice([rng.randrange(5), rng.random() * 1000]))) for g in "abc" for _ in range(rng.choice([1, 2, 7, 300]))] + [("d", 3.0)] * 40 + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for buckets in (1, 3, 1000):
+        got = {r.g: r for r in series.quantiles(df, "g", "v", {"q1": 0.25, "med": 0.5, "top": 1.0}, buckets).collect()}
+        for g in "abcd":
+            own = [v for k, v in rows if k == g and v is not None]
+            assert [got[g].q1, got[g].med, got[g].top] == pytest.approx([np.percentile(own, 25), np.median(own), max(own)])
+
+
+def test_reach(spark):
+    e = edges(spark, [("a", "b"), ("b", "c"), ("c", "b"), ("c", "d"), ("x", "y")])
+    seeds = spark.createDataFrame([("b",), ("x",)], "id string")
+    assert {r.id for r in graph.reach(e, seeds).collect()} == {"b", "c", "d", "x", "y"}
+    assert {r.id for r in graph.reach(e, seeds, backward=True).collect()} == {"a", "b", "c", "x"}
+
+
+def test_answers_as_text(spark):
+    g = {r.x: grading for r in spark.range(1).select(F.lit(1).alias("x")).collect()}[1]
+    values = ["1,234.5", " 12 %", "true", "nan", "inf", "abc", "-3", None]
+    got = [r.n for r in spark.createDataFrame([(v,) for v in values], "v string").select(g.as_number("v").alias("n")).collect()]
+    assert got == [1234.5, 12.0, None, None, None, None, -3.0, None]
+    targets = spark.createDataFrame([("t", "A1", "1,000"), ("t", "A2", "Yes"), ("u", "B1", "5"), ("v", "C1", "x")], "task string, ref string, expected string")
+    answers = spark.createDataFrame([("t", "A1", "1000.0000001"), ("t", "A2", " Yes "), ("u", "answer", "5")], "task string, ref string, given string")
+    assert sorted(map(tuple, g.grade_text(targets, answers, 1e-6, 1e-6).collect())) == [("t", "A1", False, True), ("t", "A2", True, True), ("u", "B1", False, True), ("v", "C1", True, False)]
