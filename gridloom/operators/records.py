@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as X
+from .graph import settled
 
 
 def with_tokens(df: DataFrame, **filters: str) -> DataFrame:
@@ -60,6 +61,52 @@ def chain_faults(releases: DataFrame, by: list[str], id_col: str) -> DataFrame:
     return out.where("current <> 1 or dangling > 0")
 
 
+def chain_ends(links: DataFrame, id_col: str, next_col: str, most: int = 64) -> DataFrame:
+    """(id, end, steps, ends): where each record's chain of successors ends and after how many steps; ends is false for a
+    chain that goes round in a circle or leaves the records.
+
+    Every round doubles the steps that a pointer makes, so a chain of n records takes about log2(n) joins by id.
+    """
+    at = settled(links.select(F.col(id_col).alias("id"), F.col(next_col).alias("next"), F.col(next_col).isNotNull().cast("long").alias("steps")))
+    end = settled(at.select("id", F.coalesce("next", "id").alias("end"), "steps", F.col("next").isNull().alias("done"), F.lit(False).alias("gone")))
+    n = end.count()
+    for k in range(most):
+        if end.where("not done and not gone").isEmpty() or 2**k > 2 * n:
+            break
+        there = end.select(F.col("id").alias("end"), F.col("end").alias("_end"), F.col("steps").alias("_steps"), F.col("done").alias("_done"), F.col("gone").alias("_gone"))
+        j = end.join(there, "end", "left")
+        on = ~F.col("done") & F.col("_end").isNotNull()
+        end = settled(j.select("id", F.when(on, F.col("_end")).otherwise(F.col("end")).alias("end"), F.when(on, F.col("steps") + F.col("_steps")).otherwise(F.col("steps")).alias("steps"), (F.col("done") | (on & F.col("_done"))).alias("done"), (F.col("gone") | (~F.col("done") & F.col("_end").isNull()) | (on & F.col("_gone"))).alias("gone")))
+    return end.select("id", F.when(F.col("done"), F.col("end")).alias("end"), F.when(F.col("done"), F.col("steps")).alias("steps"), F.col("done").alias("ends"))
+
+
+def pages(df: DataFrame, by: list[str], order: list[str], size: int = 5) -> DataFrame:
+    """All pages of all groups: df with cursor (where its page begins), total and next_cursor."""
+    k = W.partitionBy(*by)
+    numbered = df.withColumn("_i", F.row_number().over(k.orderBy(*order)) - 1).withColumn("total", F.count(F.lit(1)).over(k))
+    cursor = (F.floor(F.col("_i") / size) * size).cast("long")
+    return numbered.withColumn("cursor", cursor).withColumn("next_cursor", F.when(F.col("cursor") + size < F.col("total"), F.col("cursor") + size)).drop("_i")
+
+
+def drain_faults(paged: DataFrame, by: list[str], id_col: str, size: int = 5) -> DataFrame:
+    """Groups whose pages don't add up: an id twice, another number of rows than total, a page too long, or other than one
+    last page."""
+    one = paged.groupBy(*by, "cursor").agg(F.count(F.lit(1)).alias("_rows"), F.min("next_cursor").alias("_next"))
+    shape = one.groupBy(*by).agg(F.max("_rows").alias("longest"), F.count_if(F.col("_next").isNull()).alias("last_pages"))
+    rows = paged.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(id_col).alias("ids"), F.max("total").alias("total"))
+    return rows.join(shape, by).where((F.col("rows") != F.col("ids")) | (F.col("rows") != F.col("total")) | (F.col("longest") > size) | (F.col("last_pages") != 1))
+
+
+def orphans(df: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key no row of parents has."""
+    return df.join(parents.select(key).distinct(), key, "left_anti")
+
+
+def guarded(distractors: DataFrame, answers: DataFrame, value: str, key: list[str]) -> DataFrame:
+    """Distractors without those that repeat an answer of their key: no made-up record may be right by chance."""
+    return distractors.join(answers.select(*key, value).distinct(), [*key, value], "left_anti")
+
+
 def conflicts(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """(by, kinds): groups in which the value differs."""
     return df.groupBy(*by).agg(F.count_distinct(value).alias("kinds")).where("kinds >= 2")

@@ -42,6 +42,56 @@ def scan(books: DataFrame) -> DataFrame:
     return books.select("wb", "content").mapInPandas(read, CELLS)
 
 
+def _parts(books: DataFrame, schema: str, read) -> DataFrame:
+    columns = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for wb, content in zip(pdf["wb"], pdf["content"], strict=True):
+                try:
+                    out += [(wb, *row) for row in read(bytes(content))]
+                except Exception:  # scan() gives the row that says so
+                    continue
+            yield pd.DataFrame(out, columns=columns)
+
+    return books.select("wb", "content").mapInPandas(run, schema)
+
+
+def names(books: DataFrame) -> DataFrame:
+    """(wb, sheet, name, target): the defined names; sheet is null for those of the whole book."""
+
+    def read(content: bytes) -> list:
+        from gridloom.sources import workbook as B
+
+        return B.names(content)
+
+    return _parts(books, "wb string, sheet string, name string, target string", read)
+
+
+def sheets(books: DataFrame) -> DataFrame:
+    """(wb, sheet, part): the sheets and where the file has them."""
+
+    def read(content: bytes) -> list:
+        from gridloom.sources import workbook as B
+
+        return B.sheets(content)
+
+    return _parts(books, "wb string, sheet string, part string", read)
+
+
+def settings(books: DataFrame) -> DataFrame:
+    """(wb, iterate, count, delta): how a book says that its circles are calculated."""
+
+    def read(content: bytes) -> list:
+        from gridloom.sources import workbook as B
+
+        c = B.calculation(content)
+        return [(c["iterate"], c["count"], c["delta"])]
+
+    return _parts(books, "wb string, iterate boolean, count int, delta double", read)
+
+
 def pack(cells: DataFrame) -> DataFrame:
     """cells: (wb, content), each book written anew."""
 
@@ -110,17 +160,30 @@ def bands(cells: DataFrame) -> DataFrame:
     return out.select("wb", "sheet", "row", "col_lo", "col_hi", "kind", "pattern", "width")
 
 
-def evaluate(cells: DataFrame, today: float = 45000.0, iterate: bool = True) -> DataFrame:
-    """The value of every formula cell: kind num, text, bool, blank, error (text: its code) or unknown (text: why)."""
+def evaluate(cells: DataFrame, today: float = 45000.0, iterate: bool = True, names: DataFrame | None = None, settings: DataFrame | None = None) -> DataFrame:
+    """The value of every formula cell: kind num, text, bool, blank, error (text: its code) or unknown (text: why).
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    names: names(); a sheet's own come before the book's. settings: settings(); a book without any takes iterate.
+    """
+    spark = cells.sparkSession
+    given = names if names is not None else spark.createDataFrame([], "wb string, sheet string, name string, target string")
+    if settings is not None:
+        cells = cells.join(settings.select("wb", F.col("iterate").alias("_iterate"), F.col("count").alias("_count"), F.col("delta").alias("_delta")), "wb", "left")
+
+    def run(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         from gridloom.functions import interpreter as I
 
+        if not len(pdf):
+            return pd.DataFrame(columns=[c.split()[0] for c in VALUES.split(", ")])
         book = {}
         for c in pdf.itertuples(index=False):
             v = c.formula if isinstance(c.formula, str) else c.text if c.kind == "text" else I.Error(c.text) if c.kind == "error" else bool(c.number) if c.kind == "bool" else None if pd.isna(c.number) else float(c.number)
             book[c.sheet, int(c.row), int(c.col)] = v
-        w = I.Workbook(book, today=today, iterate=iterate)
+        own = {f"{s}!{n}" if isinstance(s, str) else n: t for s, n, t in zip(known["sheet"], known["name"], known["target"], strict=True)}
+        more = {"iterate": iterate}
+        if "_iterate" in pdf and not pd.isna(pdf["_iterate"].iloc[0]):
+            more = {"iterate": bool(pdf["_iterate"].iloc[0]), "count": int(pdf["_count"].iloc[0]), "delta": float(pdf["_delta"].iloc[0])}
+        w = I.Workbook(book, names=own, today=today, **more)
         values, out = w.evaluate(), []
         for s, r, c in [*w.trees, *w.broken]:
             v = values[s, r, c]
@@ -128,7 +191,7 @@ def evaluate(cells: DataFrame, today: float = 45000.0, iterate: bool = True) ->
             out.append((pdf["wb"].iloc[0], s, r, c, kind, float(v) if isinstance(v, int | float) else None, v if isinstance(v, str) else getattr(v, "code", getattr(v, "why", None))))
         return pd.DataFrame(out, columns=[c.split()[0] for c in VALUES.split(", ")])
 
-    return cells.groupBy("wb").applyInPandas(run, VALUES)
+    return cells.groupBy("wb").cogroup(given.select(F.col("wb").alias("_wb"), "sheet", "name", "target").groupBy("_wb")).applyInPandas(run, VALUES)
 
 
 def verify(cells: DataFrame, values: DataFrame, tolerance: float = 1e-6) -> DataFrame:
@@ -152,3 +215,16 @@ def masked(books: DataFrame, keep: DataFrame) -> DataFrame:
             yield pd.DataFrame({"wb": pdf["wb"], "content": [B.masked(bytes(c), lambda *k, own=own: k in own) for c, own in zip(pdf["content"], kept, strict=True)]})
 
     return books.join(sets, "wb", "left").mapInPandas(run, "wb string, content binary")
+
+
+def mask_faults(before: DataFrame, after: DataFrame, keep: DataFrame) -> DataFrame:
+    """(wb, sheet, row, col, fault) of a masked book's cells: a formula that is left, leaked (not to be kept), lost (to be
+    kept, with a value, but gone) or changed (another value than before)."""
+    key = ["wb", "sheet", "row", "col"]
+    side = lambda df, n: df.select(*key, F.struct("formula", "kind", "number", "text").alias(n))
+    kept = keep.select(*key).distinct().withColumn("_keep", F.lit(True))
+    j = side(before, "b").join(side(after, "a"), key, "full").join(kept, key, "left").withColumn("_keep", F.coalesce("_keep", F.lit(False)))
+    there, same = F.col("a").isNotNull(), F.col("a.number").eqNullSafe(F.col("b.number")) & F.col("a.text").eqNullSafe(F.col("b.text"))
+    valued = F.col("b.number").isNotNull() | F.col("b.text").isNotNull()
+    fault = F.when(there & F.col("a.formula").isNotNull(), "formula").when(there & ~F.col("_keep"), "leaked").when(~there & F.col("_keep") & valued, "lost").when(there & ~same, "changed")
+    return j.select(*key, fault.alias("fault")).where("fault is not null")

@@ -181,3 +181,30 @@ def test_answers_as_text(spark):
     targets = spark.createDataFrame([("t", "A1", "1,000"), ("t", "A2", "Yes"), ("u", "B1", "5"), ("v", "C1", "x")], "task string, ref string, expected string")
     answers = spark.createDataFrame([("t", "A1", "1000.0000001"), ("t", "A2", " Yes "), ("u", "answer", "5")], "task string, ref string, given string")
     assert sorted(map(tuple, g.grade_text(targets, answers, 1e-6, 1e-6).collect())) == [("t", "A1", False, True), ("t", "A2", True, True), ("u", "B1", False, True), ("v", "C1", True, False)]
+
+
+def test_chains_that_end_and_circles(spark):
+    links = [(1, 2), (2, 3), (3, None), (4, 5), (5, 4), (6, 4), (7, 99), (8, None), (9, 9)] + [(100 + i, 101 + i if i < 40 else None) for i in range(41)]
+    got = {r.id: (r.end, r.steps, r.ends) for r in records.chain_ends(spark.createDataFrame(links, "id long, nxt long"), "id", "nxt").collect()}
+    assert [got[i] for i in (1, 2, 3, 8, 100)] == [(3, 2, True), (3, 1, True), (3, 0, True), (8, 0, True), (140, 40, True)]
+    assert all(got[i] == (None, None, False) for i in (4, 5, 6, 7, 9))
+
+
+def test_names_and_settings_reach_the_evaluator(spark):
+    content = bytearray(B.write({"S": {"A1": 4.0, "B1": "=Rate*2", "B2": "=B3+1", "B3": "=B2*0.5"}}, {"Rate": "S!$A$1"}))
+    books = spark.createDataFrame([("w", content)], "wb string, content binary")
+    cells = W.scan(books)
+    assert [tuple(r) for r in W.names(books).collect()] == [("w", None, "RATE", "S!$A$1")] and [r.sheet for r in W.sheets(books).collect()] == ["S"]
+    assert [(r.iterate, r["count"], r.delta) for r in W.settings(books).collect()] == [(False, 100, 0.001)]
+    got = {(r.row, r.col): (r.kind, r.number, r.text) for r in W.evaluate(cells, names=W.names(books), settings=W.settings(books)).collect()}
+    assert got[1, 2] == ("num", 8.0, None) and got[2, 2] == ("unknown", None, "circular-reference")
+    got = {(r.row, r.col): r.kind for r in W.evaluate(cells).collect()}
+    assert got[1, 2] != "num" and got[2, 2] == "num"
+
+
+def test_long_chains_of_cells_are_evaluated():
+    n = 30_000
+    cells = {("S", 1, 1): 1.0} | {("S", r, 1): f"=A{r - 1}+1" for r in range(2, n)} | {("S", 1, 2): f"=A{n - 1}"}
+    assert I.Workbook(dict(reversed(cells.items()))).evaluate()["S", 1, 2] == n - 1
+    own = I.Workbook({("S", 1, 1): 1.0, ("S", 2, 1): 2.0, ("S", 1, 2): "=N", ("T", 1, 1): "=N"}, names={"N": "S!A1", "T!N": "S!A2"}).evaluate()
+    assert own["S", 1, 2] == 1.0 and own["T", 1, 1] == 2.0
