@@ -166,6 +166,35 @@ _UP: list[list[np.ndarray]] = [[], []]
 _DOWN: list[list[np.ndarray]] = [[], []]
 
 
+def tidied(run):
+    """run, a worker's function from batches to batches, that gives memory back to the machine when a task ends.
+
+    Idle workers stay for the next tasks; what the allocators keep of a task's arrays would add up over them.
+    """
+
+    def tidy(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        from gridloom.llm import common as C
+
+        try:
+            yield from run(batches)
+        finally:
+            for have in (*C._UP, *C._DOWN):
+                have.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return tidy
+
+
 class Batch:
     """Texts of an Arrow array (null: empty) as bytes: data, and where each begins and ends."""
 

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, tidied
 
 #: Elements that don't end a block (those of formulas, too), that have no end tag, and whose content is not
 #: text of the page.
@@ -464,4 +464,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     schema = f"key {pages.schema[id_col].dataType.simpleString()}, url string, text string, n_chars long"
     rows = pages.select(F.col(id_col).alias("key"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("key", id_col)
+    return rows.mapInArrow(tidied(run), schema).withColumnRenamed("key", id_col)

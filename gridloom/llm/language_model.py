@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, look_up, may_contain, membership_filter, mix, null_key, ship_package
+from .common import durable, look_up, may_contain, membership_filter, mix, null_key, ship_package, tidied
 
 ORDER = 5
 #: Entries of one shard of the model, which is what is broadcast at once (20 bytes each).
@@ -88,7 +88,7 @@ def count_grams(docs: DataFrame, ids: np.ndarray | None = None) -> DataFrame:
                 grams = [bytes(row).decode("utf-32-le", "surrogatepass").encode("utf-8", "replace").decode() for row in chars]
                 yield pa.record_batch([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
-    return docs.select("lang", "text", *(["id"] if ids is not None else [])).mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return docs.select("lang", "text", *(["id"] if ids is not None else [])).mapInArrow(tidied(count), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(grams: DataFrame) -> DataFrame:
@@ -258,7 +258,7 @@ def perplexities(docs: DataFrame, model: DataFrame, id_col: str, text_col: str,
                     i = j
                 yield pa.record_batch([*batch.columns[:3], pa.array(batch.column(3).to_numpy() + logp), pa.array(batch.column(4).to_numpy() + n)], names=["key", "lang", "text", "logp", "n"])
 
-        rows = rows.mapInArrow(score, rows.schema)
+        rows = rows.mapInArrow(tidied(score), rows.schema)
     modelled = F.coalesce(F.col("lang"), F.lit("\0")).isin([k if k is not None else "\0" for k in unknown] or ["\1"])
     return rows.select("key", "lang", F.col("n").alias("n_tokens"), F.when(modelled, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"))
 

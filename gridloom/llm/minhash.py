@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batch, attach, durable, free_names, may_contain, membership_filter, mix, ship_package, split_by_filter, window_hashes, words_of
+from .common import attach, Batch, durable, free_names, may_contain, membership_filter, mix, ship_package, split_by_filter, tidied, window_hashes, words_of
 from .components import components
 
 #: A link at similarity 0.8 is missed by all bands with probability (1 - 0.8**ROWS)**BANDS = 8e-6.
@@ -117,7 +117,7 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
                     names=["id", "n_shingles", "words", "bands", "marks"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(sketch, "id long, n_shingles long, words binary, bands array<long>, marks binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidied(sketch), "id long, n_shingles long, words binary, bands array<long>, marks binary")
 
 
 def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -139,7 +139,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Da
                     names=["id", "words", "shingles"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, words binary, shingles binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidied(run), "id long, words binary, shingles binary")
 
 
 def links_of_run(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, role: np.ndarray, marks: np.ndarray, shingles: list[np.ndarray], percent: int) -> list[tuple[int, int]]:

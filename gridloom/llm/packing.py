@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, free_names, ship_package
+from .common import durable, free_names, ship_package, tidied
 
 #: Pieces that one task packs: bounds its memory, and leaves at most a few partly filled sequences for each.
 PIECES_PER_GROUP = 1 << 17
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(cut, schema).withColumnRenamed("key", id_col)
+    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(tidied(cut), schema).withColumnRenamed("key", id_col)
 
 
 def pack(lengths: DataFrame, capacity: int = 1024, per_group: int = PIECES_PER_GROUP) -> DataFrame:

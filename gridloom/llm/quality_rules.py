@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import linear
-from .common import Batch, durable, ship_package, window_hashes, words_of
+from .common import Batch, durable, ship_package, tidied, window_hashes, words_of
 
 #: Labelled rows that the model is fitted on, at most, of each class; a fifth of them calibrates it.
 SAMPLE_PER_CLASS = 1500
@@ -110,7 +110,7 @@ def labelled_bags(docs: DataFrame, labels: DataFrame, label: str, per_class: int
                 yield pa.record_batch([batch.column(0).slice(i, part.n), batch.column(1).slice(i, part.n), *(pa.array(x, pa.binary()) for x in packed), pa.array(size, pa.int64())], names=["doc_id", "y", "feature", "times", "size"])
 
     found = labelled_rows(docs, labels, label, per_class)
-    rows = found.mapInArrow(count, ", ".join(f"{k} {found.schema[k].dataType.simpleString()}" for k in ("doc_id", "y")) + ", feature binary, times binary, size long").collect()
+    rows = found.mapInArrow(tidied(count), ", ".join(f"{k} {found.schema[k].dataType.simpleString()}" for k in ("doc_id", "y")) + ", feature binary, times binary, size long").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"]))
     y, size = np.array([r["y"] for r in rows], np.int64), np.array([r["size"] for r in rows], np.int64)
     feature = np.frombuffer(b"".join([r["feature"] for r in rows]), np.int32)
@@ -158,7 +158,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 yield pa.record_batch([batch.column(0).slice(i, part.n), *(pa.array(c[k], pa.int64()) for k in COUNTS), pa.array(p, pa.float64(), mask=np.isnan(p)), pa.array(failed), pa.array(keep)], names=["key", *COUNTS, "quality", "base_failed", "kept"])
 
     schema = f"key {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{k} long" for k in COUNTS) + ", quality double, base_failed boolean, kept boolean"
-    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(score, schema).withColumnRenamed("key", id_col)
+    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(tidied(score), schema).withColumnRenamed("key", id_col)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -190,4 +190,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                     keep &= own.probability(*L.features(part), part.n) >= threshold
                 yield batch.slice(i, part.n).filter(pa.array(keep))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(tidied(good), docs.schema)

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, new_dir, ship_package
+from .common import durable, new_dir, ship_package, tidied
 
 RESTART, BLOCK_BYTES, SHARD_BYTES, BITS_A_KEY, MAGIC = 16, 1 << 16, 1 << 27, 10, b"GLSST001"
 FOOTER = struct.Struct("<QQQQIQQI8s")
@@ -238,7 +238,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*done, strict=True), kinds, strict=True)], names=names)
 
     ranged = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")).repartitionByRange("key").sortWithinPartitions("key", "text")
-    return durable(ranged.mapInArrow(write, "path string, first_key binary, last_key binary, n_docs long, n_tokens long"), "shards-manifest")
+    return durable(ranged.mapInArrow(tidied(write), "path string, first_key binary, last_key binary, n_docs long, n_tokens long"), "shards-manifest")
 
 
 def read_shards(spark: SparkSession, manifest: DataFrame, id_name: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -279,7 +279,7 @@ def read_shards(spark: SparkSession, manifest: DataFrame, id_name: str = "doc_id
                     yield batch_of(rows)
 
     schema = "key long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return tasks.mapInArrow(read, schema).withColumnRenamed("key", id_name)
+    return tasks.mapInArrow(tidied(read), schema).withColumnRenamed("key", id_name)
 
 
 def encode_to_shards(docs: DataFrame, tokenizer: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:

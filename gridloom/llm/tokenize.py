@@ -10,7 +10,7 @@ import numpy as np
 from .common import Batch, mix, span_hashes
 
 #: Words that one worker remembers; when a chunk of texts begins with more, all are forgotten. Only speed depends on it.
-MEMO_WORDS = 2_000_000
+MEMO_WORDS = 400_000
 #: Bytes of text that are looked up together, and words that the tokenizer gets in one string.
 CHUNK_BYTES, WORDS_AT_ONCE = 1 << 20, 500
 #: Lead bytes of white space beyond ASCII in UTF-8, and what may follow each (fixed values of Unicode; U+180E was one).

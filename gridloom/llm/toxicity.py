@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, Batch, mix, ship_package, span_hashes
+from .common import Batch, _LOWER, mix, ship_package, span_hashes, tidied
 from .linear import calibrate, Model, sigmoid
 from .quality_rules import labelled_rows
 
@@ -142,7 +142,7 @@ def labelled_words(docs: DataFrame, labels: DataFrame, label: str, per_class: in
                 yield pa.record_batch([batch.column(0).slice(i, part.n), batch.column(1).slice(i, part.n), packed], names=["doc_id", "y", "words"])
 
     found = labelled_rows(docs, labels, label, per_class, carry)
-    rows = found.mapInArrow(words, ", ".join(f"{k} {found.schema[k].dataType.simpleString()}" for k in ("doc_id", "y")) + ", words binary").collect()
+    rows = found.mapInArrow(tidied(words), ", ".join(f"{k} {found.schema[k].dataType.simpleString()}" for k in ("doc_id", "y")) + ", words binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"]))
     h = np.frombuffer(b"".join([r["words"] for r in rows]), np.uint64)
     return np.repeat(np.arange(len(rows)), [len(r["words"]) // 8 for r in rows]), h, np.array([r["y"] for r in rows], np.int64)
@@ -199,4 +199,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 yield pa.record_batch([batch.column(0).slice(i, part.n), *(pa.array(p[:, k], pa.float64(), mask=np.isnan(p[:, k])) for k in range(3)), pa.array(flag)], names=["key", "p_junk", "p_toxic", "p_severe_derived", "toxic"])
 
     schema = f"key {docs.schema[id_col].dataType.simpleString()}, p_junk double, p_toxic double, p_severe_derived double, toxic boolean"
-    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(score, schema).withColumnRenamed("key", id_col)
+    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(tidied(score), schema).withColumnRenamed("key", id_col)
