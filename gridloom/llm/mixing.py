@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import durable, free_names, look_up, null_key
 
-#: Rows of one task after the shuffle, about.
-ROWS_A_TASK = 20_000
+#: Rows of one task after the shuffle, about, and tasks at most: beyond, a task sorts more rows and spills.
+ROWS_A_TASK, MOST_TASKS = 8_000, 200_000
 _DIGITS = 13  # of a hexadecimal digest: 52 bits, exact in a double
 
 
@@ -74,7 +74,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     rows = rows.where(F.col(n) > 0).withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     rows = rows.withColumn(order_col, F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(copy_col).cast("string"))), 1, _DIGITS), 16, 10).cast("long"))
     # the hash is uniform, so ranges of equal width hold equal shares and no sample of the rows is needed
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(total * epochs) // ROWS_A_TASK + 1)
+    tasks = min(MOST_TASKS, max(docs.sparkSession.sparkContext.defaultParallelism, int(total * epochs) // ROWS_A_TASK + 1))
     (task,) = free_names(rows.columns, "task")
     rows = rows.select(*docs.columns, copy_col, order_col, F.floor(F.col(order_col) / float(1 << (4 * _DIGITS)) * tasks).cast("int").alias(task))
     return rows.repartitionById(tasks, task).drop(task).sortWithinPartitions(order_col, id_col, copy_col)
