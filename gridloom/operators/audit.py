@@ -13,7 +13,7 @@ def leaks(cells: DataFrame, targets: DataFrame, value: str = "value", target: st
     """cells that equal a target (deny, within 1e-12 of its size) or agree with it in four digits (suspect).
 
     Whole numbers under 10,000 are ignored. Instead of comparing all with all, both sides carry the four-digit form as a
-    key, and the cell also those next to it, so equal values whose rounding differs still meet. Below 1e-8, where 1e-12
+    key, and a cell at an edge of rounding also the one beyond it, so equal values whose rounding differs still meet. Below 2e-8, where 1e-12
     may span many four-digit forms, both also carry a step of a fixed grid.
     """
 
@@ -21,17 +21,23 @@ def leaks(cells: DataFrame, targets: DataFrame, value: str = "value", target: st
         power = F.floor(F.log10(F.abs(x))) - 3
         return (power * 9000 + F.floor(F.abs(x) / F.pow(F.lit(10.0), power) + 0.5) - 1000).cast("long")
 
-    def keys(x: Column, around: tuple[int, ...]) -> Column:  # sign 2: the grid
-        near = F.array(*(F.struct((form(x) + i).alias("n"), F.signum(x).cast("int").alias("s")) for i in around))
-        grid = F.array(*(F.struct((F.floor(x / 2e-12) + i).cast("long").alias("n"), F.lit(2).alias("s")) for i in around))
-        return F.explode(F.when(F.abs(x) < 1e-8, F.concat(near, grid)).otherwise(near))
+    def tiny(x: Column) -> Column:
+        return F.abs(x) < 2e-8
+
+    def keys(x: Column, around: bool) -> Column:  # sign 2: the grid
+        reach = 2e-12 * F.greatest(F.lit(1.0), F.abs(x))  # next to an edge of rounding a number has two forms in reach
+        forms = F.array_distinct(F.array(form(x - reach), form(x), form(x + reach))) if around else F.array(form(x))
+        near = F.transform(forms, lambda n: F.struct(n.alias("n"), F.signum(x).cast("int").alias("s")))
+        grid = F.array(*(F.struct((F.floor(x / 2e-12) + i).cast("long").alias("n"), F.lit(2).alias("s")) for i in ((-1, 0, 1) if around else (0,))))
+        return F.explode(F.when(tiny(x), F.concat(near, grid)).otherwise(near))
 
     v, t = F.col(value), F.col(target)
-    telling = cells.where((v != 0) & ~((v == F.floor(v)) & (F.abs(v) < 10000))).withColumn("_k", keys(v, (-1, 0, 1)))
-    met = telling.join(targets.where(t != 0).withColumn("_k", keys(t, (0,))), "_k")
+    telling = cells.where((v != 0) & ~((v == F.floor(v)) & (F.abs(v) < 10000))).withColumn("_k", keys(v, True))
+    met = telling.join(targets.where(t != 0).withColumn("_k", keys(t, False)), "_k")
     exact = F.abs(v - t) <= 1e-12 * F.greatest(F.lit(1.0), F.abs(t))
     apart = F.when(F.signum(v) == F.signum(t), F.abs(form(v) - form(t))).otherwise(2)
-    met = met.where(F.when(F.col("_k.s") == 2, exact & (apart > 1)).otherwise(exact | (apart == 0)))
+    # two tiny numbers of unlike forms meet on the grid alone, so no pair is found twice
+    met = met.where(F.when(F.col("_k.s") == 2, exact & (apart > 0)).otherwise((apart == 0) | (exact & ~(tiny(v) & tiny(t)))))
     return met.withColumn("kind", F.when(exact, "deny").otherwise("suspect")).drop("_k")
 
 

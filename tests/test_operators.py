@@ -208,3 +208,27 @@ def test_long_chains_of_cells_are_evaluated():
     assert I.Workbook(dict(reversed(cells.items()))).evaluate()["S", 1, 2] == n - 1
     own = I.Workbook({("S", 1, 1): 1.0, ("S", 2, 1): 2.0, ("S", 1, 2): "=N", ("T", 1, 1): "=N"}, names={"N": "S!A1", "T!N": "S!A2"}).evaluate()
     assert own["S", 1, 2] == 1.0 and own["T", 1, 1] == 2.0
+
+
+def test_leaks_by_brute_force(spark):
+    import math
+    import random
+
+    rng = random.Random(6)
+    base = [rng.choice([1, -1]) * rng.random() * 10 ** rng.randrange(-13, 6) for _ in range(60)] + [1e-8, 1.99999e-8, 2e-8, 1e-12, 9999.5, 0.99995, 3e-12, -3e-12]
+    targets = [(x,) for x in base]
+    cells = [(i, x + rng.choice([0, 1, -1, 0.5, -0.5, 3]) * 1e-12 * max(1, abs(x)) * rng.choice([0, 0.9, 1.1])) for i, x in enumerate(base * 6)] + [(1000 + i, rng.choice(base) * (1 + rng.random() * 1e-3)) for i in range(100)]
+
+    def form(x):
+        power = math.floor(math.log10(abs(x))) - 3
+        return power * 9000 + math.floor(abs(x) / 10.0**power + 0.5)
+
+    want = []
+    for i, v in cells:
+        for (t,) in targets:
+            if v != 0 and t != 0 and not (v == math.floor(v) and abs(v) < 10000):
+                exact = abs(v - t) <= 1e-12 * max(1, abs(t))
+                if exact or (v > 0) == (t > 0) and form(v) == form(t):
+                    want.append((i, t, "deny" if exact else "suspect"))
+    got = audit.leaks(spark.createDataFrame(cells, "id long, value double"), spark.createDataFrame(targets, "target double")).select("id", "target", "kind").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
