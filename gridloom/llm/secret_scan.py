@@ -22,7 +22,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: Where an assignment can begin, to pass over texts without one.
 _KEY = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
-HEX = "(?<![0-9a-f])[0-9a-f]{24,}"
+HEX = "[0-9a-f]{24,}"
 #: Characters of an assigned value, at least; of a run that the models are fitted on; of a run that they judge.
 LEAST_VALUE, LEAST_FITTED, LEAST_JUDGED = 6, 12, 16
 RUN = f"(?<!{_CLASS}){_CLASS}{{{LEAST_FITTED},}}"
@@ -34,11 +34,15 @@ MADE_UP, PRIOR = 2000, 20.0
 CHUNK = 1024
 
 
-def _matches(text: Column, pattern: str, begin: str, kept, value) -> Column:
-    """Matches of pattern, leftmost first, as (gap before it, length, kept, value); after the last one nothing is said."""
+def _may_assign(text: Column) -> Column:
+    return (F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))) & text.rlike(_KEY)
+
+
+def _matches(text: Column, pattern: str, there: Column, kept, value) -> Column:
+    """Matches of pattern, leftmost first, as (gap before it, length, kept, value), where there are some."""
     cut = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, m: F.struct(F.length(gap).cast("long").alias("gap"), F.length(m).cast("long").alias("size"), kept(m).alias("kept"), value(m).alias("value")))
     none = F.array().cast("array<struct<gap:bigint,size:bigint,kept:boolean,value:string>>")
-    return F.when(text.rlike(begin), F.filter(cut, lambda x: x["size"].isNotNull())).otherwise(none)
+    return F.when(there, F.filter(cut, lambda x: x["size"].isNotNull())).otherwise(none)
 
 
 def _scanned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -48,10 +52,10 @@ def _scanned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     # kept assignments are blanked before runs are taken, so a run never is a part of one
     blank = lambda gap, m: F.concat(gap, F.when(m.isNull(), "").when(long_enough(m), F.repeat(F.lit(" "), F.length(m))).otherwise(m))
     rest = F.array_join(F.zip_with(F.split(t, ASSIGN, -1), F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(0)), blank), "")
-    free = F.when(t.rlike(_KEY), rest).otherwise(t)
+    free = F.when(_may_assign(t), rest).otherwise(t)
     own = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"), F.monotonically_increasing_id().alias("_row"))
-    assign = _matches(t, ASSIGN, _KEY, long_enough, lambda m: F.regexp_extract(m, ASSIGN, 2))
-    return own.select("_row", "_id", assign.alias("assign"), _matches(t, ACCESS, ACCESS, yes, lambda m: m).alias("access"), _matches(t, HEX, HEX, yes, lambda m: m).alias("hex"), _matches(free, RUN, RUN, yes, lambda m: m).alias("markov"))
+    assign = _matches(t, ASSIGN, _may_assign(t), long_enough, lambda m: F.regexp_extract(m, ASSIGN, 2))
+    return own.select("_row", "_id", assign.alias("assign"), _matches(t, ACCESS, t.rlike(ACCESS), yes, lambda m: m).alias("access"), _matches(t, HEX, t.rlike(HEX), yes, lambda m: m).alias("hex"), _matches(free, RUN, F.lit(True), yes, lambda m: m).alias("markov"))
 
 
 def _pairs(chunk: Column) -> Column:

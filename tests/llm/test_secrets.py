@@ -83,12 +83,14 @@ def test_models_on_held_out_strings(spark):
 def test_samples_from_the_texts_themselves(spark):
     rng = random.Random(8)
     hidden = strings(30, 3)
-    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(40)) + (f" at {hidden[i]} end" if i < 30 else "")) for i in range(120)]
+    words = [w + x for w in WORDS for x in ("", "s", "_impl", ".conf", "/index", "-default", "AndOthers")]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(40)) + (f" at {hidden[i]} end" if i < 30 else "")) for i in range(120)]
     rows += [(1000 + i, f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"') for i in range(20)]
     got = {r.doc_id: r.spans for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i, t in rows[:120]:
         at = t.find(hidden[i]) if i < 30 else -1
-        assert got[i] == (f"markov:{at}:{at + len(hidden[i])}" if i < 30 else ""), t
+        assert not got[i] or i < 30 and got[i] == f"markov:{at}:{at + len(hidden[i])}", t
+    assert sum(bool(got[i]) for i in range(30)) >= 28
     assert all(got[1000 + i] == "assign:0:49,hex:9:49" for i in range(20))
 
 
