@@ -59,26 +59,90 @@ def closure(edges: DataFrame, seeds: DataFrame, backward: bool = False, most: in
     raise RuntimeError("closure did not end")
 
 
-def depths(edges: DataFrame, most: int = 10_000) -> DataFrame:
+def depths(edges: DataFrame, most: int = 100_000) -> DataFrame:
     """(id, depth): the longest path from a node without predecessors, for all nodes that are on no cycle nor behind one.
 
-    Peels level after level: a node's depth is the round in which its last predecessor has gone.
+    Peels level after level: a node's depth is the round in which its last predecessor has gone. A round reads the edges
+    that are left and looks at the ends of those that go.
     """
-    edges = edges.select("src", "dst").where("src <> dst").distinct()
-    nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
-    left, out = settled(edges), None
-    rest = settled(nodes)
-    for k in range(most):
-        free = settled(rest.join(left.select(F.col("dst").alias("id")).distinct(), "id", "left_anti"))
+    left = settled(edges.select("src", "dst").where("src <> dst").distinct())
+    nodes = left.select(F.col("src").alias("id")).union(left.select("dst")).distinct()
+    free = settled(nodes.join(left.select(F.col("dst").alias("id")).distinct(), "id", "left_anti"))
+    out = free.withColumn("depth", F.lit(0).cast("long"))
+    for k in range(1, most):
         if free.isEmpty():
-            return out if out is not None else free.withColumn("depth", F.lit(0).cast("long"))
-        level = free.withColumn("depth", F.lit(k).cast("long"))
-        out = level if out is None else out.unionByName(level)
+            return out
+        ends = left.join(free.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
         left = settled(left.join(free.select(F.col("id").alias("src")), "src", "left_anti"))
-        rest = settled(rest.join(free, "id", "left_anti"))
+        free = settled(ends.join(left.select(F.col("dst").alias("id")).distinct(), "id", "left_anti"))
+        out = out.unionByName(free.withColumn("depth", F.lit(k).cast("long")))
+        out = settled(out) if k % 16 == 0 else out
     raise RuntimeError("depths did not end")
 
 
+def strong_components(edges: DataFrame, most: int = 10_000) -> DataFrame:
+    """(id, comp, size): strong components, named by their least id; a node on no circle is a component of its own.
+
+    Each round trims nodes that nothing flows into or out of, lets the greatest id that reaches a node be its colour, and
+    walks back from each colour's own node inside the colour: what it meets is one component. Edges between colours and
+    those of found nodes go. All are joins of edges with what changed last.
+    """
+    first = settled(edges.select("src", "dst").distinct())
+    nodes = first.select(F.col("src").alias("id")).union(first.select("dst")).distinct()
+    end = lambda df, c: df.select(F.col("id").alias(c))
+    left, found = first.where("src <> dst"), None
+    for k in range(most):
+        for _ in range(3):  # a few rounds of trimming; colours end what longer chains leave
+            inner = left.select(F.col("src").alias("id")).distinct().join(left.select(F.col("dst").alias("id")).distinct(), "id", "left_semi")
+            left = settled(left.join(end(inner, "src"), "src", "left_semi").join(end(inner, "dst"), "dst", "left_semi"))
+        if left.isEmpty():
+            break
+        colour = new = settled(left.select(F.col("src").alias("id")).distinct().withColumn("colour", F.col("id")))
+        for i in range(most):
+            better = left.join(end_of(new, "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.max("colour").alias("colour"))
+            new = settled(better.join(colour.withColumnRenamed("colour", "_old"), "id").where("colour > _old").drop("_old"))
+            if new.isEmpty():
+                break
+            colour = colour.unionByName(new).groupBy("id").agg(F.max("colour").alias("colour"))
+            colour = settled(colour) if i % 4 == 3 else colour
+        colour = settled(colour)
+        inside = settled(left.join(end_of(colour, "src"), "src").join(end_of(colour, "dst").withColumnRenamed("colour", "_other"), "dst").where("colour = _other").drop("_other"))
+        met = front = settled(inside.where("dst = colour").select(F.col("dst").alias("id"), "colour").distinct())
+        for i in range(most):
+            back = inside.join(end_of(front, "dst").drop("colour"), "dst", "left_semi").select(F.col("src").alias("id"), "colour").distinct()
+            front = settled(back.join(met, "id", "left_anti"))
+            if front.isEmpty():
+                break
+            met = settled(met.unionByName(front)) if i % 8 == 7 else met.unionByName(front)
+        met = settled(met)
+        found = met if found is None else found.unionByName(met)
+        found = settled(found) if k % 8 == 7 else found
+        left = settled(inside.select("src", "dst").join(end(met, "src"), "src", "left_anti").join(end(met, "dst"), "dst", "left_anti"))
+    else:
+        raise RuntimeError("strong_components did not end")
+    if found is None:
+        return nodes.select("id", F.col("id").alias("comp"), F.lit(1).cast("long").alias("size"))
+    named = found.join(found.groupBy("colour").agg(F.min("id").alias("comp"), F.count(F.lit(1)).alias("size")), "colour").select("id", "comp", "size")
+    return nodes.join(named, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
+
+
+def end_of(marked: DataFrame, c: str) -> DataFrame:
+    """(id, colour) as (c, colour), to be joined to that end of edges."""
+    return marked.select(F.col("id").alias(c), "colour")
+
+
+def quotient(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((id, comp, size, on_circle, depth), (src, dst)): each node's strong component and the longest path to it from a
+    component that nothing flows into; edges between components."""
+    edges = settled(edges.select("src", "dst").distinct())
+    comps = settled(strong_components(edges))
+    name = lambda c: comps.select(F.col("id").alias(c), F.col("comp").alias(f"_{c}"))
+    links = settled(edges.join(name("src"), "src").join(name("dst"), "dst").where("_src <> _dst").select(F.col("_src").alias("src"), F.col("_dst").alias("dst")).distinct())
+    loops = edges.where("src = dst").select(F.col("src").alias("id"), F.lit(True).alias("_loop")).distinct()
+    placed = comps.join(depths(links).select(F.col("id").alias("comp"), "depth"), "comp", "left").join(loops, "id", "left")
+    return placed.select("id", "comp", "size", ((F.col("size") > 1) | F.col("_loop").isNotNull()).alias("on_circle"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth")), links
+
+
 def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each batch's edges (a, b) as stars (id, least id) of the same components."""
     for pdf in batches:
@@ -125,21 +189,26 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.sum("i").alias("n_in"), F.sum("o").alias("n_out"))
 
 
-def bypass(edges: DataFrame, mirrors: DataFrame, most: int = 1000) -> tuple[DataFrame, DataFrame]:
-    """Edges between nodes that are no mirrors, with paths through mirrors drawn together; and (id, fan_in): how many
-    mirrors show each node. mirrors: (id). A cycle of mirrors alone shows nothing."""
+def through(edges: DataFrame, mirrors: DataFrame, most: int = 1000) -> DataFrame:
+    """(src, dst): what each node that is no mirror leads to, directly or by mirrors alone; dst may be a mirror."""
     is_mirror = mirrors.select(F.col("id").alias("src")).distinct()
-    real = edges.join(is_mirror, "src", "left_anti").select("src", "dst")
-    reached = settled(real.distinct())
-    out, fresh = reached, reached
-    for _ in range(most):
-        over = fresh.select(F.col("src").alias("_s"), F.col("dst").alias("src")).join(is_mirror, "src").join(edges.select("src", "dst"), "src").select(F.col("_s").alias("src"), "dst").distinct()
+    out = fresh = settled(edges.join(is_mirror, "src", "left_anti").select("src", "dst").distinct())
+    hops = edges.join(is_mirror, "src", "left_semi").select(F.col("src").alias("_m"), F.col("dst").alias("_to"))
+    for k in range(1, most):
+        over = fresh.join(hops, F.col("dst") == F.col("_m")).select("src", F.col("_to").alias("dst")).distinct()
         fresh = settled(over.join(out, ["src", "dst"], "left_anti"))
         if fresh.isEmpty():
-            break
-        out = out.unionByName(fresh)
-    shown = out.join(is_mirror.withColumnRenamed("src", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.count_distinct("dst").alias("fan_in"))
-    return out.join(is_mirror.withColumnRenamed("src", "dst"), "dst", "left_anti").where("src <> dst").select("src", "dst").distinct(), shown
+            return out
+        out = settled(out.unionByName(fresh)) if k % 8 == 0 else out.unionByName(fresh)
+    raise RuntimeError("through did not end")
+
+
+def bypass(edges: DataFrame, mirrors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges between nodes that are no mirrors, with paths through mirrors drawn together; and (id, fan_in): how many
+    mirrors show each node. mirrors: (id). A cycle of mirrors alone shows nothing."""
+    out, is_mirror = through(edges, mirrors), mirrors.select(F.col("id").alias("dst")).distinct()
+    shown = out.join(is_mirror, "dst", "left_semi").groupBy(F.col("src").alias("id")).agg(F.count_distinct("dst").alias("fan_in"))
+    return out.join(is_mirror, "dst", "left_anti").where("src <> dst").select("src", "dst"), shown
 
 
 def buckets(nodes: DataFrame, edges: DataFrame, outputs: DataFrame) -> DataFrame:

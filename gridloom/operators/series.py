@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .graph import settled
+
 
 def first_match(df: DataFrame, key: str, order: str, *carry: str) -> DataFrame:
     """For each key the row that comes first, by one aggregation."""
@@ -66,3 +68,60 @@ def nth(df: DataFrame, by: str, value: str, k: int, largest: bool = False) -> Da
     """(by, value) of the k-th smallest or largest value of each group; a task keeps k rows a group before the shuffle."""
     order = F.col(value).desc() if largest else F.col(value)
     return df.select(by, value).withColumn("_i", F.row_number().over(W.partitionBy(by).orderBy(order))).where(F.col("_i") <= k).groupBy(by).agg(F.max(F.when(F.col("_i") == k, F.col(value))).alias(value))
+
+
+def running(df: DataFrame, by: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """df with the sum of value up to each row of its group. Rows are dealt by ranges, each task sums its own, and tasks'
+    totals are added up, so a group fills as many tasks as it has rows for. order must tell all rows of a group apart."""
+    dealt = settled(df.withColumn("_value", value).repartitionByRange(*by, *order).withColumn("_task", F.spark_partition_id()))
+    own = W.partitionBy("_task", *by)
+    totals = dealt.groupBy("_task", *by).agg(F.sum("_value").alias("_total"))
+    earlier = totals.withColumn("_before", F.sum("_total").over(W.partitionBy(*by).orderBy("_task").rowsBetween(W.unboundedPreceding, -1)))
+    other = earlier.select(F.struct("_task", *by).alias("_key"), F.coalesce("_before", F.lit(0)).alias("_before"))
+    both = dealt.withColumn("_sum", F.sum("_value").over(own.orderBy(*order).rowsBetween(W.unboundedPreceding, 0))).withColumn("_key", F.struct("_task", *by))
+    return both.join(other, both["_key"].eqNullSafe(other["_key"])).select(*df.columns, (F.col("_sum") + F.col("_before")).alias(name))
+
+
+def walk(ahead: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(seed, step, id): the way of each seed along ahead (id, to), one row at most an id and no circles. seeds: (seed, id).
+
+    Jumps of one step are joined into jumps of 2, 4, 8, so a way of n steps takes log n rounds.
+    """
+    rows = settled(seeds.select("seed", F.lit(0).cast("long").alias("step"), "id"))
+    jump = settled(ahead.select("id", "to"))
+    for k in range(50):
+        more = settled(rows.join(jump, "id").select("seed", (F.col("step") + (1 << k)).alias("step"), F.col("to").alias("id")))
+        if more.isEmpty():
+            return rows
+        rows = settled(rows.unionByName(more))
+        jump = settled(jump.join(jump.select(F.col("id").alias("to"), F.col("to").alias("_far")), "to").select("id", F.col("_far").alias("to")))
+    raise RuntimeError("ahead has a circle")
+
+
+def chunks(df: DataFrame, by: list[str], order: list[str], size: Column, most: int, name: str = "chunk") -> DataFrame:
+    """df with the number, from 0, of the chunk that a row is in: rows of a group in order, and a new chunk where the sizes
+    of one would add up to over most. A row larger than most is a chunk of its own. Sizes are whole and at least 1.
+
+    Where a chunk that begins at a row would end follows from sums up to each row: rows and wanted sums meet in stretches
+    of most, so a stretch has at most that many rows. The beginnings are then found from the first row by doubled jumps.
+    """
+    spare = "_size _end _key _from _at _want _first _later _start".split()
+    if clash := {*spare, name} & set(df.columns):
+        raise ValueError(f"columns of df: {sorted(clash)}")
+    sized = settled(running(df.withColumn("_size", F.greatest(F.coalesce(size, F.lit(1)), F.lit(1)).cast("long")), by, order, F.col("_size"), "_end"))
+    key = F.struct(*by) if by else F.lit(0)
+    at = sized.select(key.alias("_key"), (F.col("_end") - F.col("_size")).alias("_from"), "_end")
+    stretch = lambda x: F.floor(x / most)
+    # a chunk from _from ends before the first row that ends beyond _from + most, and holds one row at least
+    asked = at.select("_key", F.greatest(F.col("_from") + most, F.col("_end")).alias("_at"), F.col("_from").alias("_want"), F.lit(None).cast("long").alias("_first"))
+    there = at.select("_key", F.col("_end").alias("_at"), F.lit(None).cast("long").alias("_want"), F.col("_from").alias("_first"))
+    both = asked.unionByName(there).withColumn("_s", stretch(F.col("_at")))
+    after = W.partitionBy("_key", "_s").orderBy("_at").rangeBetween(1, W.unboundedFollowing)
+    near = both.withColumn("_near", F.min("_first").over(after)).where("_want is not null").select("_key", "_s", "_want", "_near")
+    firsts = both.groupBy("_key", "_s").agg(F.min("_first").alias("_low"))
+    later = firsts.withColumn("_later", F.min("_low").over(W.partitionBy("_key").orderBy("_s").rowsBetween(1, W.unboundedFollowing))).select("_key", "_s", "_later")
+    ahead = near.join(later, ["_key", "_s"]).select(F.struct("_key", "_want").alias("id"), F.struct("_key", F.coalesce("_near", "_later").alias("_want")).alias("to")).where("to._want is not null")
+    begins = walk(ahead, at.where("_from = 0").select(F.col("_key").alias("seed"), F.struct("_key", F.col("_from").alias("_want")).alias("id")))
+    starts = begins.select(F.struct(F.col("id._key").alias("_key"), F.col("id._want").alias("_from")).alias("_id"), F.lit(1).alias("_start"))
+    marked = sized.withColumn("_id", F.struct(key.alias("_key"), (F.col("_end") - F.col("_size")).alias("_from"))).join(starts, "_id", "left")
+    return running(marked, by, order, F.coalesce("_start", F.lit(0)), name).select(*df.columns, (F.col(name) - 1).cast("long").alias(name))
