@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import io
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +41,7 @@ class Tree:
         self.square = float(norms.max(initial=0.0))
         top = float(np.abs(self.wide).max(initial=0.0))
         self.top, self.dims = top, self.vectors.shape[1]
+        self.steps = list(zip(self.child.tolist(), self.low.tolist(), self.high.tolist(), strict=True))
         self.key = np.where(self.no_id, np.iinfo(np.int64).max, self.ids)
 
     @classmethod
@@ -90,31 +92,36 @@ class Tree:
 
 
 class Seeker:
-    """One anchor's way through a tree; scores of a leaf are computed once, whatever windows ask for them."""
+    """One anchor's way through a tree to rows where accept holds; a leaf is scored and sorted once, whatever windows ask
+    for it."""
 
-    def __init__(self, tree: Tree, vector: np.ndarray) -> None:
-        self.tree, self.vector = tree, vector
-        self.square = float(vector.astype(np.float64) @ vector.astype(np.float64))
+    def __init__(self, tree: Tree, vector: np.ndarray, accept: np.ndarray) -> None:
+        self.tree, self.accept = tree, accept
+        wide = vector.astype(np.float64)
+        self.square = float(wide @ wide)
         self.exact = float(np.abs(vector).max(initial=0)) * tree.top * tree.dims < 2**52  # sums of doubles are exact
-        self.q = vector.astype(np.float64) if self.exact else vector
+        self.q = wide if self.exact else vector
         inner = np.flatnonzero(tree.vantage >= 0)
-        self.away = np.zeros(len(tree.vantage))
-        self.away[inner] = np.sqrt(np.maximum(self.square + tree.square - 2 * (tree.wide[tree.vantage[inner]] @ vector.astype(np.float64)), 0))
-        self.away = self.away.tolist()
+        away = np.zeros(len(tree.vantage))
+        away[inner] = np.sqrt(np.maximum(self.square + tree.square - 2 * (tree.wide[tree.vantage[inner]] @ wide), 0))
+        self.away = away.tolist()
         self.slack = SLACK * (self.square**0.5 + tree.square**0.5) + 1e-9
-        self.known: dict[int, np.ndarray] = {}
+        self.known: dict[int, list[tuple[int, int, int]]] = {}
 
     def distance(self, score: float) -> float:
         return max(self.square + self.tree.square - 2 * score, 0.0) ** 0.5
 
-    def leaf(self, node: int) -> np.ndarray:
+    def leaf(self, node: int) -> list[tuple[int, int, int]]:
+        """(-score, id's key, place) of a leaf's accepted rows, in order."""
         if node not in self.known:
-            own = slice(self.tree.begin[node], self.tree.end[node])
-            self.known[node] = (self.tree.wide[own] @ self.q).astype(np.int64) if self.exact else self.tree.vectors[own].astype(np.int64) @ self.q
+            begin, t = int(self.tree.begin[node]), self.tree
+            at = np.flatnonzero(self.accept[begin : t.end[node]]) + begin
+            scores = (t.wide[at] @ self.q).astype(np.int64) if self.exact else t.vectors[at].astype(np.int64) @ self.q
+            self.known[node] = sorted(zip((-scores).tolist(), t.key[at].tolist(), at.tolist(), strict=True))
         return self.known[node]
 
-    def first(self, k: int, accept: np.ndarray, least: int | None = None, most: int | None = None) -> list[tuple[int, int, int]]:
-        """Of the rows where accept holds and the score lies in the window, the k nearest: (-score, id's key, place)."""
+    def first(self, k: int, least: int | None = None, most: int | None = None) -> list[tuple[int, int, int]]:
+        """The k nearest of the accepted rows whose score lies in the window: (-score, id's key, place)."""
         t = self.tree
         outer = self.distance(least) + self.slack if least is not None else float("inf")
         hole = self.distance(most) - self.slack if most is not None else 0.0
@@ -124,31 +131,21 @@ class Seeker:
             near, node, far = heapq.heappop(queue)
             if near > min(outer, enough):
                 break
-            a, b = t.child[node].tolist()
-            if a >= 0:
-                d = self.away[node]
-                for s, c in ((0, a), (1, b)):
-                    low, high = t.low[node, s], t.high[node, s]
-                    n, f = max(near, d - high - self.slack, low - d - self.slack), min(far, d + high + self.slack)
-                    if n <= min(outer, enough) and f >= hole:
-                        heapq.heappush(queue, (n, c, f))
+            (a, b), (low_a, low_b), (high_a, high_b) = t.steps[node]
+            if a < 0:
+                own = self.leaf(node)
+                i = bisect_left(own, (-most,)) if most is not None else 0
+                j = min(i + k, bisect_left(own, (1 - least,)) if least is not None else len(own))
+                if i < j and (len(found) < k or own[i] < found[-1]):
+                    found = sorted(found + own[i:j])[:k]
+                    if len(found) == k:
+                        enough = self.distance(-found[-1][0]) + self.slack
                 continue
-            begin, scores = t.begin[node], self.leaf(node)
-            good = accept[begin : t.end[node]]
-            if least is not None:
-                good = good & (scores >= least)
-            if most is not None:
-                good = good & (scores <= most)
-            if len(found) == k:
-                good = good & (scores >= -found[-1][0])
-            at = np.flatnonzero(good)
-            if len(at):
-                if len(at) > k:
-                    cut = np.partition(scores[at], len(at) - k)[len(at) - k]
-                    at = at[scores[at] >= cut]
-                found = sorted([*found, *zip((-scores[at]).tolist(), t.key[begin + at].tolist(), (begin + at).tolist(), strict=True)])[:k]
-                if len(found) == k:
-                    enough = self.distance(-found[-1][0]) + self.slack
+            d = self.away[node]
+            for c, low, high in ((a, low_a, high_a), (b, low_b, high_b)):
+                n, f = max(near, d - high - self.slack, low - d - self.slack), min(far, d + high + self.slack)
+                if n <= min(outer, enough) and f >= hole:
+                    heapq.heappush(queue, (n, c, f))
         return found
 
 
@@ -224,7 +221,7 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_column: str = "vec_id"
 
         vectors, out = as_array(table["_v"], dims), []
         for v, row, anchor, label in zip(vectors, table["_row"].to_pylist(), table["_id"].to_pylist(), table["_label"].to_pylist(), strict=True):
-            for score, _, at in Seeker(tree, v).first(positives, (tree.labels == label) & (tree.rows != row)):
+            for score, _, at in Seeker(tree, v, (tree.labels == label) & (tree.rows != row)).first(positives):
                 out.append((row, anchor, None if tree.no_id[at] else int(tree.ids[at]), int(tree.rows[at]), -score))
         columns = [*zip(*out, strict=True)] or [[]] * 5
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["_row", "anchor_id", "positive_id", "_positive", "positive_score"])
@@ -241,12 +238,12 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_column: str = "vec_id"
 
         vectors, out = as_array(table["_v"], dims), []
         for v, row, anchor, label, windows in zip(vectors, table["_row"].to_pylist(), table["_id"].to_pylist(), table["_label"].to_pylist(), table["_asked"].to_pylist(), strict=True):
-            seeker, other = Seeker(tree, v), tree.labels != label
+            seeker = Seeker(tree, v, tree.labels != label)
             for w in windows:
                 p = w["positive_score"]
                 least, most = -(-low * p // 100), high * p // 100
                 if least <= most:
-                    for score, _, at in seeker.first(negatives, other, least, most):
+                    for score, _, at in seeker.first(negatives, least, most):
                         out.append((row, anchor, w["_nth"], w["positive_id"], p, None if tree.no_id[at] else int(tree.ids[at]), int(tree.rows[at]), -score))
         columns = [*zip(*out, strict=True)] or [[]] * 8
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["_row", "anchor_id", "_nth", "positive_id", "positive_score", "negative_id", "_negative", "negative_score"])

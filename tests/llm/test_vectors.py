@@ -86,8 +86,8 @@ def test_tree_finds_the_nearest_in_any_window():
         q = rng.integers(-90, 90, 8)
         scores = v @ q
         least, most = sorted(rng.choice(scores, 2).tolist())
-        seeker = vantage.Seeker(tree, q)
-        got = [(-s, i) for s, i, _ in seeker.first(10, tree.labels != 2, least, most)]
+        seeker = vantage.Seeker(tree, q, tree.labels != 2)
+        got = [(-s, i) for s, i, _ in seeker.first(10, least, most)]
         at = np.flatnonzero((scores >= least) & (scores <= most) & (labels != 2))
         assert got == sorted(zip(scores[at].tolist(), ids[at].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:10]
 
@@ -97,8 +97,8 @@ def test_a_clustered_tree_leaves_most_leaves_alone():
     centers = rng.integers(-2000, 2000, (40, 16))
     v = centers[rng.integers(0, 40, 8000)] + rng.integers(-9, 9, (8000, 16))
     tree = vantage.Tree.build(v, np.arange(8000), np.zeros(8000, bool), np.arange(8000), np.zeros(8000, np.int64))
-    seeker = vantage.Seeker(tree, tree.vectors[17].astype(np.int64))
-    seeker.first(5, tree.labels == 0)
+    seeker = vantage.Seeker(tree, tree.vectors[17].astype(np.int64), tree.labels == 0)
+    seeker.first(5)
     assert len(seeker.known) < (tree.vantage < 0).sum() / 2
 
 
