@@ -105,11 +105,23 @@ def unfenced(text: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"^\s*```[a-z]*\n", ""), r"\n```\s*$", ""))
 
 
+def answer_json(text: str | Column) -> Column:
+    """The JSON that an answer holds: its last fenced block that can be read, the answer itself, or, where it was cut off,
+    the whole pairs before the cut; null where there is none. Of equal keys the last counts."""
+
+    @F.pandas_udf("string")
+    def read(answers: pd.Series) -> pd.Series:
+        from gridloom.functions.answers import answer
+
+        return pd.Series([answer(x if isinstance(x, str) else None) for x in answers], index=answers.index, dtype=object)
+
+    return read(text)
+
+
 def salvaged(text: str | Column) -> Column:
-    """The "key": number pairs of a JSON object that may have been cut off, as a map."""
-    text = F.col(text) if isinstance(text, str) else text
-    pair = r'"([^"\\]+)"\s*:\s*(-?[0-9]+(?:\.[0-9]+)?)\s*(?=[,}])'
-    return F.map_from_arrays(F.array_distinct(F.regexp_extract_all(text, F.lit(pair), F.lit(1))), F.slice(F.transform(F.regexp_extract_all(text, F.lit(pair), F.lit(2)), lambda x: x.cast("double")), 1, F.greatest(F.lit(0), F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(pair), F.lit(1)))))))
+    """The pairs of the JSON object in an answer, cut off or not, as a map of texts; nested values as JSON. Null where there
+    is none."""
+    return F.from_json(answer_json(text), "map<string,string>")
 
 
 def slug(text: str | Column) -> Column:

@@ -38,10 +38,16 @@ def family_tagging(t):
     return A.families(t("documents"), "doc_id", "text", _FAMILIES)
 
 
-@query("""SELECT event_id, CAST(regexp_extract(props, '"([a-z]+)" *: *(-?[0-9]+(?:\\.[0-9]+)?)', 2) AS DOUBLE) AS k, len(regexp_extract_all(props, '"([a-z]+)" *: *(-?[0-9]+(?:\\.[0-9]+)?)')) AS pairs FROM events""")
+@query("""SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k, CASE WHEN event_id % 3 = 0 THEN 1500.0::DOUBLE ELSE NULL END AS big, CASE WHEN event_id % 3 = 0 THEN event_type || ': "x", {y' END AS said, CASE WHEN event_id % 3 = 0 THEN 4 ELSE 1 END AS pairs FROM events""")
 def json_salvage(t):
-    m = A.salvaged(F.concat(F.col("props"), F.lit(', "cut": 12')))
-    return t("events").select("event_id", m.alias("m")).select("event_id", F.try_element_at("m", F.lit("k")).alias("k"), F.size("m").cast("long").alias("pairs"))
+    """Answers cut off in a string, in a number, or not at all; with repeated keys, exponents, quotes and nested values."""
+    n = F.col("event_id") % 3
+    k = F.concat(F.lit('"k": '), F.regexp_extract("props", "[0-9]+", 0))
+    full = F.concat(F.lit('Here: ```json\n{"k": 0, "said": "'), "event_type", F.lit(': \\"x\\", {y", "big": 1.5e3, "more": {"k": [1, {"k": 2}]}, '), k, F.lit(', "cut": "in a stri'))
+    text = F.when(n == 0, full).when(n == 1, F.concat(F.lit("{"), k, F.lit(', "cut": 12'))).otherwise(F.col("props"))
+    get = lambda c: F.try_element_at("m", F.lit(c))
+    m = t("events").select("event_id", A.salvaged(text).alias("m"))
+    return m.select("event_id", get("k").cast("double").alias("k"), get("big").cast("double").alias("big"), get("said").alias("said"), F.size("m").alias("pairs"))
 
 
 @query("""SELECT conv_id, turn, trim(text) AS body, trim(regexp_replace(lower(role || ' / ' || conv_id || '!'), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM conversations""")
