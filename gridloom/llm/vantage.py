@@ -41,6 +41,9 @@ class Tree:
         self.square = float(norms.max(initial=0.0))
         top = float(np.abs(self.wide).max(initial=0.0))
         self.top, self.dims = top, self.vectors.shape[1]
+        self.inner = np.flatnonzero(self.vantage >= 0)
+        self.views = self.wide[self.vantage[self.inner]]
+        self.spans = list(zip(self.begin.tolist(), self.end.tolist(), strict=True))
         self.steps = list(zip(self.child.tolist(), self.low.tolist(), self.high.tolist(), strict=True))
         self.key = np.where(self.no_id, np.iinfo(np.int64).max, self.ids)
 
@@ -91,61 +94,69 @@ class Tree:
             return cls(**{f: z[f] for f in cls.FIELDS})
 
 
+#: A window without a bound on one of its sides.
+NO_LEAST, NO_MOST = -(1 << 62), 1 << 62
+
+
 class Seeker:
-    """One anchor's way through a tree to rows where accept holds; a leaf is scored and sorted once, whatever windows ask
-    for it."""
+    """One anchor's way through a tree to rows where accept holds."""
 
     def __init__(self, tree: Tree, vector: np.ndarray, accept: np.ndarray) -> None:
-        self.tree, self.accept = tree, accept
+        self.tree, self.accept, self.visited = tree, accept, 0
         wide = vector.astype(np.float64)
         self.square = float(wide @ wide)
         self.exact = float(np.abs(vector).max(initial=0)) * tree.top * tree.dims < 2**52  # sums of doubles are exact
         self.q = wide if self.exact else vector
-        inner = np.flatnonzero(tree.vantage >= 0)
         away = np.zeros(len(tree.vantage))
-        away[inner] = np.sqrt(np.maximum(self.square + tree.square - 2 * (tree.wide[tree.vantage[inner]] @ wide), 0))
+        away[tree.inner] = np.sqrt(np.maximum(self.square + tree.square - 2 * (tree.views @ wide), 0))
         self.away = away.tolist()
         self.slack = SLACK * (self.square**0.5 + tree.square**0.5) + 1e-9
-        self.known: dict[int, list[tuple[int, int, int]]] = {}
 
     def distance(self, score: float) -> float:
         return max(self.square + self.tree.square - 2 * score, 0.0) ** 0.5
 
-    def leaf(self, node: int) -> list[tuple[int, int, int]]:
-        """(-score, id's key, place) of a leaf's accepted rows, in order."""
-        if node not in self.known:
-            begin, t = int(self.tree.begin[node]), self.tree
-            at = np.flatnonzero(self.accept[begin : t.end[node]]) + begin
-            scores = (t.wide[at] @ self.q).astype(np.int64) if self.exact else t.vectors[at].astype(np.int64) @ self.q
-            self.known[node] = sorted(zip((-scores).tolist(), t.key[at].tolist(), at.tolist(), strict=True))
-        return self.known[node]
-
-    def first(self, k: int, least: int | None = None, most: int | None = None) -> list[tuple[int, int, int]]:
-        """The k nearest of the accepted rows whose score lies in the window: (-score, id's key, place)."""
+    def leaf(self, node: int, least: int, most: int) -> list[tuple[int, int, int]]:
+        """(-score, id's key, place) of a leaf's accepted rows with a score from least to most, in order."""
+        self.visited += 1
+        t, (begin, end) = self.tree, self.tree.spans[node]
+        scores = (t.wide[begin:end] @ self.q).astype(np.int64) if self.exact else t.vectors[begin:end].astype(np.int64) @ self.q
+        at = np.flatnonzero(self.accept[begin:end] & (scores >= least) & (scores <= most))
+        return sorted(zip((-scores[at]).tolist(), t.key[begin + at].tolist(), (begin + at).tolist(), strict=True)) if len(at) else []
+
+    def first(self, k: int, windows: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+        """For each window of scores (least, most) the k nearest of the accepted rows in it: (-score, id's key, place).
+
+        One walk serves all windows: nodes come nearest first, those outside of every annulus are left out, and the walk ends
+        where no window can still gain.
+        """
         t = self.tree
-        outer = self.distance(least) + self.slack if least is not None else float("inf")
-        hole = self.distance(most) - self.slack if most is not None else 0.0
-        found: list[tuple[int, int, int]] = []
-        queue, enough = [(0.0, 0, float("inf"))], float("inf")
+        low, high = min(w[0] for w in windows), max(w[1] for w in windows)
+        outer = [self.distance(a) + self.slack if a > NO_LEAST else float("inf") for a, _ in windows]
+        hole = self.distance(high) - self.slack if high < NO_MOST else 0.0
+        found: list[list[tuple[int, int, int]]] = [[] for _ in windows]
+        queue, reach = [(0.0, 0, float("inf"))], max(outer)
         while queue:
             near, node, far = heapq.heappop(queue)
-            if near > min(outer, enough):
+            if near > reach:
                 break
             (a, b), (low_a, low_b), (high_a, high_b) = t.steps[node]
-            if a < 0:
-                own = self.leaf(node)
-                i = bisect_left(own, (-most,)) if most is not None else 0
-                j = min(i + k, bisect_left(own, (1 - least,)) if least is not None else len(own))
-                if i < j and (len(found) < k or own[i] < found[-1]):
-                    found = sorted(found + own[i:j])[:k]
-                    if len(found) == k:
-                        enough = self.distance(-found[-1][0]) + self.slack
+            if a >= 0:
+                d = self.away[node]
+                for c, least, most in ((a, low_a, high_a), (b, low_b, high_b)):
+                    n, f = max(near, d - most - self.slack, least - d - self.slack), min(far, d + most + self.slack)
+                    if n <= reach and f >= hole:
+                        heapq.heappush(queue, (n, c, f))
+                continue
+            if not (own := self.leaf(node, low, high)):
                 continue
-            d = self.away[node]
-            for c, low, high in ((a, low_a, high_a), (b, low_b, high_b)):
-                n, f = max(near, d - high - self.slack, low - d - self.slack), min(far, d + high + self.slack)
-                if n <= min(outer, enough) and f >= hole:
-                    heapq.heappush(queue, (n, c, f))
+            for w, (least, most) in enumerate(windows):
+                i = bisect_left(own, (-most,))
+                j = min(i + k, bisect_left(own, (1 - least,)))
+                if i < j and (len(found[w]) < k or own[i] < found[w][-1]):
+                    found[w] = sorted(found[w] + own[i:j])[:k]
+                    if len(found[w]) == k:
+                        outer[w] = min(outer[w], self.distance(-found[w][-1][0]) + self.slack)
+            reach = max(outer)
         return found
 
 
@@ -221,7 +232,7 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_column: str = "vec_id"
 
         vectors, out = as_array(table["_v"], dims), []
         for v, row, anchor, label in zip(vectors, table["_row"].to_pylist(), table["_id"].to_pylist(), table["_label"].to_pylist(), strict=True):
-            for score, _, at in Seeker(tree, v, (tree.labels == label) & (tree.rows != row)).first(positives):
+            for score, _, at in Seeker(tree, v, (tree.labels == label) & (tree.rows != row)).first(positives, [(NO_LEAST, NO_MOST)])[0]:
                 out.append((row, anchor, None if tree.no_id[at] else int(tree.ids[at]), int(tree.rows[at]), -score))
         columns = [*zip(*out, strict=True)] or [[]] * 5
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["_row", "anchor_id", "positive_id", "_positive", "positive_score"])
@@ -238,13 +249,10 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_column: str = "vec_id"
 
         vectors, out = as_array(table["_v"], dims), []
         for v, row, anchor, label, windows in zip(vectors, table["_row"].to_pylist(), table["_id"].to_pylist(), table["_label"].to_pylist(), table["_asked"].to_pylist(), strict=True):
-            seeker = Seeker(tree, v, tree.labels != label)
-            for w in windows:
-                p = w["positive_score"]
-                least, most = -(-low * p // 100), high * p // 100
-                if least <= most:
-                    for score, _, at in seeker.first(negatives, least, most):
-                        out.append((row, anchor, w["_nth"], w["positive_id"], p, None if tree.no_id[at] else int(tree.ids[at]), int(tree.rows[at]), -score))
+            spans = [(-(-low * w["positive_score"] // 100), high * w["positive_score"] // 100) for w in windows]
+            some = [(w, s) for w, s in zip(windows, spans, strict=True) if s[0] <= s[1]]
+            for (w, _), own in zip(some, Seeker(tree, v, tree.labels != label).first(negatives, [s for _, s in some]) if some else [], strict=True):
+                out += [(row, anchor, w["_nth"], w["positive_id"], w["positive_score"], None if tree.no_id[at] else int(tree.ids[at]), int(tree.rows[at]), -score) for score, _, at in own]
         columns = [*zip(*out, strict=True)] or [[]] * 8
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["_row", "anchor_id", "_nth", "positive_id", "positive_score", "negative_id", "_negative", "negative_score"])
 

@@ -87,9 +87,10 @@ def test_tree_finds_the_nearest_in_any_window():
         scores = v @ q
         least, most = sorted(rng.choice(scores, 2).tolist())
         seeker = vantage.Seeker(tree, q, tree.labels != 2)
-        got = [(-s, i) for s, i, _ in seeker.first(10, least, most)]
-        at = np.flatnonzero((scores >= least) & (scores <= most) & (labels != 2))
-        assert got == sorted(zip(scores[at].tolist(), ids[at].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:10]
+        got = [[(-s, i) for s, i, _ in own] for own in seeker.first(10, [(least, most), (vantage.NO_LEAST, most), (least, least)])]
+        for own, (a, b) in zip(got, [(least, most), (-(10**9), most), (least, least)], strict=True):
+            at = np.flatnonzero((scores >= a) & (scores <= b) & (labels != 2))
+            assert own == sorted(zip(scores[at].tolist(), ids[at].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:10]
 
 
 def test_a_clustered_tree_leaves_most_leaves_alone():
@@ -98,8 +99,8 @@ def test_a_clustered_tree_leaves_most_leaves_alone():
     v = centers[rng.integers(0, 40, 8000)] + rng.integers(-9, 9, (8000, 16))
     tree = vantage.Tree.build(v, np.arange(8000), np.zeros(8000, bool), np.arange(8000), np.zeros(8000, np.int64))
     seeker = vantage.Seeker(tree, tree.vectors[17].astype(np.int64), tree.labels == 0)
-    seeker.first(5)
-    assert len(seeker.known) < (tree.vantage < 0).sum() / 2
+    seeker.first(5, [(vantage.NO_LEAST, vantage.NO_MOST)])
+    assert seeker.visited < (tree.vantage < 0).sum() / 2
 
 
 def test_huge_components_stay_exact(spark):
