@@ -384,3 +384,22 @@ def contains_tokens(have: Column, want: Column) -> Column:
     bar = F.lit("|")
     line = lambda t: F.concat(bar, F.array_join(t, "|"), bar)
     return (F.size(want) > 0) & F.contains(line(have), line(want))
+
+
+def plain_number(text: Column | str) -> Column:
+    """A text that is a number in decimal digits, with or without an exponent, as one; infinity and NaN by name; null for
+    any other text, so also for the suffixes and hexadecimals of programs."""
+    text = F.trim(F.col(text) if isinstance(text, str) else text)
+    named = F.lower(text).rlike(r"^[+-]?(?:inf(?:inity)?|nan)$")
+    return F.when(text.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$") | named, F.regexp_replace(text, r"\.(?=$|[eE])", "").try_cast("double"))
+
+
+def digits12(x: Column) -> Column:
+    """A number's text with twelve significant digits: without zeros at the end, and with an exponent below 0.0001 and from
+    10^12 on."""
+    sci = F.format_string("%.11e", x)
+    power = F.regexp_extract(sci, r"e([+-]?[0-9]+)$", 1).cast("int")
+    some = F.regexp_replace(F.regexp_extract(sci, r"^(-?[0-9.]+)e", 1), r"\.?0+$", "")
+    far = F.concat(some, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    near = F.regexp_replace(sci.cast("decimal(38,16)").cast("string"), r"\.?0+$", "")
+    return F.when(x == 0, "0").when((power < -4) | (power >= 12), F.when(F.length(F.abs(power).cast("string")) > 2, F.concat(some, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.abs(power).cast("string"))).otherwise(far)).otherwise(near)

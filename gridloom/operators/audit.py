@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def leaks(cells: DataFrame, targets: DataFrame, value: str = "value", target: str = "target") -> DataFrame:
+def leaks(cells: DataFrame, targets: DataFrame, value: str = "value", target: str = "target", by: list[str] | None = None, inside: str | None = None) -> DataFrame:
     """cells that equal a target (deny, within 1e-12 of its size) or agree with it in four digits (suspect).
 
+    by: columns of both, a book's key: a cell is compared with its own book's targets only. inside: a column of cells, whether
+    a cell lies inside the frontier, where an equal value is suspect too.
+
     Whole numbers under 10,000 are ignored. Instead of comparing all with all, both sides carry the four-digit form as a
     key, and a cell at an edge of rounding also the one beyond it, so equal values whose rounding differs still meet. Below 2e-8, where 1e-12
     may span many four-digit forms, both also carry a step of a fixed grid.
@@ -33,12 +36,13 @@ def leaks(cells: DataFrame, targets: DataFrame, value: str = "value", target: st
 
     v, t = F.col(value), F.col(target)
     telling = cells.where((v != 0) & ~((v == F.floor(v)) & (F.abs(v) < 10000))).withColumn("_k", keys(v, True))
-    met = telling.join(targets.where(t != 0).withColumn("_k", keys(t, False)), "_k")
+    met = telling.join(targets.where(t != 0).withColumn("_k", keys(t, False)), [*(by or []), "_k"])
     exact = F.abs(v - t) <= 1e-12 * F.greatest(F.lit(1.0), F.abs(t))
     apart = F.when(F.signum(v) == F.signum(t), F.abs(form(v) - form(t))).otherwise(2)
     # two tiny numbers of unlike forms meet on the grid alone, so no pair is found twice
     met = met.where(F.when(F.col("_k.s") == 2, exact & (apart > 0)).otherwise((apart == 0) | (exact & ~(tiny(v) & tiny(t)))))
-    return met.withColumn("kind", F.when(exact, "deny").otherwise("suspect")).drop("_k")
+    denied = exact if inside is None else exact & ~F.coalesce(F.col(inside), F.lit(False))
+    return met.withColumn("kind", F.when(denied, "deny").otherwise("suspect")).drop("_k")
 
 
 def numbers_in(text: str | Column) -> Column:

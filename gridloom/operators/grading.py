@@ -11,8 +11,10 @@ from ..functions import columns as X
 
 def grade(targets: DataFrame, answers: DataFrame, absolute: float, relative: float) -> DataFrame:
     """targets (task, ref, grp, expected), answers (task, ref, given): a row for each target with exact, close, score and
-    weight. A target without answer scores 0. Each group weighs alike, as do the targets of a group."""
-    rows = targets.join(answers, ["task", "ref"], "left").withColumn("grp", F.coalesce(F.col("grp").cast("string"), F.col("ref").cast("string")))
+    weight. A target without answer scores 0; of answers under one ref the least counts. Each group weighs alike, as do the
+    targets of a group."""
+    once = answers.groupBy("task", "ref").agg(F.min("given").alias("given"))
+    rows = targets.join(once, ["task", "ref"], "left").withColumn("grp", F.coalesce(F.col("grp").cast("string"), F.col("ref").cast("string")))
     # one shuffle by task serves all windows
     size = F.count(F.lit(1)).over(W.partitionBy("task", "grp"))
     groups = F.max("_place").over(W.partitionBy("task"))
@@ -25,7 +27,7 @@ def as_number(text: Column | str) -> Column:
     """A given answer as a number: thousands' commas and % are taken off without a change of scale; null for booleans,
     NaN, infinity and other text."""
     text = F.trim(F.col(text) if isinstance(text, str) else text)
-    number = F.regexp_replace(text, "[,%]", "").try_cast("double")
+    number = X.plain_number(F.regexp_replace(text, "[,%]", ""))
     return F.when(F.lower(text).isin("true", "false") | F.isnan(number) | (F.abs(number) == float("inf")), None).otherwise(number)
 
 

@@ -1,7 +1,7 @@
 """The graph of a workbook's model: trees of formulas, labels, types, bands, their condensation, candidates, levels.
 
-Rows of many books run side by side. What needs a whole book at once (references, circles, depths) runs grouped by book,
-which has thousands of cells; labels, types, bands and projections are windows and joins.
+Rows of many books run side by side. References and formulas are resolved grouped by book, which has thousands of cells;
+labels, types, bands and projections are windows and joins, circles, depths and islands those of one graph of all books.
 """
 
 from __future__ import annotations
@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .graph import settled
+from ..functions.columns import digits12, plain_number
+from .graph import depths, islands, quotient, settled, through
+from .references import inside
+from .series import running
 
 NODES = "wb string, id string, kind string, sheet string, row int, col int, owner string, op string, op_kind string, arity int, expr string, formula string, value string, number double, text string, r1 int, c1 int, r2 int, c2 int, n int"
 EDGES = "wb string, seq int, src string, dst string, role string, arg_index int, op string, ref string, via_range string, cell string, cross_sheet boolean"
@@ -23,6 +26,10 @@ STRONG = ("irr", "moic", "npv", "xirr", "equity value", "enterprise value", "ter
 WEAK = ("total revenue", "net income", "net profit", "ebitda", "ebit", "margin", "fcf", "free cash flow", "cash flow", "valuation", "return", "multiple", "dividend", "total uses", "total sources", "coverage", "net debt")
 OUTPUT_SHEETS = ("dashboard", "output", "summary", "return", "valuation", "dcf", "case comparison", "comps")
 CHECKS = ("check", "tie out", "tie-out", "must be zero", "error", "difference", "variance check", "balance check", "control", "audit")
+#: Patterns of a date's text, of a formula that steps a year, of a formula that is one reference.
+DATE_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]"
+YEAR_STEP = r"^=\s*\$?[A-Za-z]{1,3}\$?\d+\s*\+\s*1\s*$"
+LONE_REFERENCE = r"^=\s*(?:'[^']*'|[A-Za-z0-9_ ]+)?!?\$?[A-Za-z]{1,3}\$?\d{1,7}\s*$"
 #: Numbers that tell nothing when they stand in a formula.
 DULL = (0.0, 1.0, -1.0, 2.0, 12.0, 100.0, 365.0, 0.5, 360.0, 4.0, 1000.0, 10000.0)
 
@@ -101,13 +108,13 @@ def labels(cells: DataFrame, longest: int = 160) -> DataFrame:
 
 def vtype(kind: Column, value: Column, formula: Column, label: Column) -> Column:
     """text, blank, axis (of periods), unit or numeric: what a cell's stored value is."""
-    number = F.regexp_replace(value, ",", "").try_cast("double")
+    number = plain_number(value)
     first = F.lower(F.split(F.coalesce(label, F.lit("")), " / ", 2)[0])
-    stepped = (number == F.floor(number)) & number.between(1900, 2200) & F.coalesce(formula.rlike(r"^=\s*\$?[A-Za-z]{1,3}\$?\d+\s*\+\s*1\s*$"), F.lit(False))
+    stepped = (number == F.floor(number)) & number.between(1900, 2200) & F.coalesce(formula.rlike(YEAR_STEP), F.lit(False))
     axis = F.lit(False)
     for word in AXIS_WORDS:
         axis = axis | F.contains(first, F.lit(word))
-    plain = F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), "axis").when(F.lower(F.trim(value)).isin(UNITS), "unit").otherwise("text")
+    plain = F.when(value.rlike(DATE_TEXT), "axis").when(F.lower(F.trim(value)).isin(UNITS), "unit").otherwise("text")
     return F.when(kind == "label", "text").when(F.coalesce(F.trim(value), F.lit("")) == "", "blank").when(number.isNull(), plain).when(axis | stepped, "axis").otherwise("numeric")
 
 
@@ -123,7 +130,7 @@ def classified(nodes: DataFrame, edges: DataFrame, labelled: DataFrame) -> DataF
         "vtype": vtype(F.col("kind"), F.col("value"), F.col("formula"), F.col("label")),
         "is_mirror": yes(is_formula & (F.col("_n") == 1) & (F.col("_in.role") == "identity")),
         "is_literal": yes(is_formula & (F.col("_in.kind") == "const")),
-        "empty_ref": yes(is_formula & F.col("_n").isNull() & F.col("formula").rlike(r"^=\s*(?:'[^']*'|[A-Za-z0-9_ ]+)?!?\$?[A-Za-z]{1,3}\$?\d{1,7}\s*$")),
+        "empty_ref": yes(is_formula & F.col("_n").isNull() & F.col("formula").rlike(LONE_REFERENCE)),
     })
     return out.select("wb", "id", "kind", "sheet", "row", "col", "formula", "value", "number", "label", "vtype", "is_mirror", "is_literal", "empty_ref")
 
@@ -131,7 +138,8 @@ def classified(nodes: DataFrame, edges: DataFrame, labelled: DataFrame) -> DataF
 def cell_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(wb, src, dst) between cells: operators and constants count as their cell, a range as its populated cells."""
     owner = nodes.where("kind in ('op', 'const') or row is not null").select("wb", F.col("id").alias("_id"), F.coalesce("owner", "id").alias("_own"))
-    members = nodes.where("kind = 'range'").select("wb", "sheet", "r1", "c1", "r2", "c2", F.col("id").alias("_id")).join(nodes.where("row is not null").select("wb", "sheet", "row", "col", F.col("id").alias("_own")), ["wb", "sheet"]).where("row between r1 and r2 and col between c1 and c2").select("wb", "_id", "_own")
+    boxes = nodes.where("kind = 'range'").select("wb", "sheet", "r1", "c1", "r2", "c2", F.col("id").alias("_id"))
+    members = inside(boxes, nodes.where("row is not null").select("wb", "sheet", "row", "col", F.col("id").alias("_own")), ["wb", "sheet"]).select("wb", "_id", "_own")
     from_any = owner.unionByName(members)
     src = edges.join(from_any.select("wb", F.col("_id").alias("src"), F.col("_own").alias("a")), ["wb", "src"])
     return src.join(owner.select("wb", F.col("_id").alias("dst"), F.col("_own").alias("b")), ["wb", "dst"]).where("a <> b").select("wb", F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
@@ -188,78 +196,59 @@ def notable(x: Column) -> Column:
 
 
 def promoted(bands: DataFrame, members: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bands, edges) to add: each notable constant in the first cell of a computed band becomes a source of the band."""
+    """(bands, edges) to add: each notable constant in the first cell of a computed band becomes a source of the band, a
+    literal that spans the same columns."""
     own = bands.where("kind = 'formula' and not is_mirror and not is_literal and value_bearing")
     first = own.join(nodes.where("row is not null").select("wb", "sheet", "row", F.col("col").alias("col_lo"), F.col("id").alias("owner")), ["wb", "sheet", "row", "col_lo"])
     found = nodes.where("kind = 'const'").where(notable(F.col("number"))).select("wb", "owner", F.col("number").alias("lit")).distinct()
-    made = first.join(found, ["wb", "owner"]).withColumn("_text", F.regexp_replace(F.format_string("%.12f", "lit"), r"\.?0+$", ""))
+    made = first.join(found, ["wb", "owner"]).withColumn("_text", digits12(F.col("lit")))
     made = made.withColumn("new", F.concat("band", F.lit("#lit="), "_text"))
-    extra = made.select("wb", F.col("new").alias("band"), "sheet", "row", "col_lo", F.col("col_lo").alias("col_hi"), F.lit("input").alias("kind"), F.lit("").alias("pattern"), F.lit(False).alias("is_mirror"), F.lit(False).alias("is_literal"), F.lit("numeric").alias("vtype"), F.concat("label", F.lit(" [hardcoded "), "_text", F.lit("]")).alias("label"), F.lit(1).alias("width"), F.lit(True).alias("value_bearing"))
+    label = F.ltrim(F.concat(F.coalesce("label", F.lit("")), F.lit(" [hardcoded "), "_text", F.lit("]")))
+    extra = made.select("wb", F.col("new").alias("band"), "sheet", "row", "col_lo", "col_hi", F.lit("literal").alias("kind"), F.lit("").alias("pattern"), F.lit(False).alias("is_mirror"), F.lit(True).alias("is_literal"), F.lit("numeric").alias("vtype"), label.alias("label"), "width", F.lit(True).alias("value_bearing"))
     return extra.select(*bands.columns), made.select("wb", F.col("new").alias("src"), F.col("band").alias("dst"))
 
 
-CONDENSED = "wb string, band string, comp int, comp_size int, on_circle boolean, primary boolean, depth int, max_depth int, place int, island int, island_size int, fan_in int, presented_on array<string>, sink boolean, fed boolean, scalar_collapse boolean"
-PARTS = "wb string, src int, dst int"
-
-
 def condensed(bands: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(bands, edges between components): mirrors are passed over, circles become one component, components get a depth
     (longest path from a source), a place in a topological order and an island, ranked by its number of bands.
 
-    fan_in counts the mirrors that show a band, presented_on their sheets that present results. primary: the band that
-    stands for its component (widest, longest label, last name). sink and fed: whether anything follows or comes before;
-    scalar_collapse: the primary band is one cell and something at least three wide flows in. Mirrors themselves have no
-    component.
+    A component is named after its least band. fan_in counts the mirrors that show a band, presented_on their sheets that
+    present results. primary: the band that stands for its component (widest, longest label, last name). sink and fed:
+    whether anything follows or comes before; scalar_collapse: the primary band is one cell and something at least three
+    wide flows in. Mirrors themselves have no component. All books are one graph, a node being book and band.
     """
-    schema = CONDENSED + ", src int, dst int"
-    columns = _columns(schema)
-
-    def run(key, b: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        from gridloom.functions import model as M
-
-        b = b.sort_values("band")
-        names, mirror, width, label, sheet = (b[c].tolist() for c in ("band", "is_mirror", "width", "label", "sheet"))
-        at = {x: i for i, x in enumerate(names)}
-        ahead: list[list[int]] = [[] for _ in names]
-        for x, y in sorted(zip(e["src"], e["dst"])):
-            if x in at and y in at:
-                ahead[at[x]].append(at[y])
-        back, real = M.reverse(ahead), [i for i, m in enumerate(mirror) if not m]
-        fan, shown = [0] * len(names), [set() for _ in names]
-        for i, m in enumerate(mirror):
-            for origin in M.around(i, back, mirror) if m else ():
-                fan[origin] += 1
-                if any(h in sheet[i].lower() for h in PRESENTATION):
-                    shown[origin].add(sheet[i])
-        place = {i: k for k, i in enumerate(real)}
-        direct = [sorted(place[j] for j in M.around(i, ahead, mirror)) for i in real]
-        part = M.strong_components([[j for j in some if j != i] for i, some in enumerate(direct)])
-        n = max(part, default=-1) + 1
-        member: list[list[int]] = [[] for _ in range(n)]
-        for k, p in enumerate(part):
-            member[p].append(k)
-        links = sorted({(part[i], part[j]) for i, some in enumerate(direct) for j in some if part[i] != part[j]})
-        comps: list[list[int]] = [[] for _ in range(n)]
-        for x, y in links:
-            comps[x].append(y)
-        depth, _, order = M.longest_paths(comps)
-        turn = {c: i for i, c in enumerate(order)}
-        island = M.weak_components(comps, [len(m) for m in member])
-        size: dict[int, int] = {}
-        for c, m in enumerate(member):
-            size[island[c]] = size.get(island[c], 0) + len(m)
-        before, into, rows = M.reverse(comps), M.reverse(direct), []
-        for c, m in enumerate(member):
-            best = max(m, key=lambda k: (width[real[k]], len(label[real[k]]), names[real[k]]))
-            seen = sorted(set().union(*(shown[real[k]] for k in m)))
-            falls = width[real[best]] == 1 and any(width[real[j]] >= 3 for k in m for j in into[k])
-            rows += [(key[0], names[real[k]], c, len(m), len(m) > 1 or k in direct[k], k == best, depth[c], max(depth), turn[c], island[c], size[island[c]], max(fan[real[x]] for x in m), seen, not comps[c], bool(before[c]), falls, None, None) for k in m]
-        rows += [(key[0], *[None] * (len(columns) - 3), x, y) for x, y in links]
-        return pd.DataFrame(rows, columns=columns, dtype=object)
-
-    given = bands.select("wb", "band", "is_mirror", "width", "label", "sheet")
-    found = settled(given.groupBy("wb").cogroup(edges.select(F.col("wb").alias("_wb"), "src", "dst").groupBy("_wb")).applyInPandas(lambda key, b, e: run(key, b, e) if len(b) else pd.DataFrame(columns=columns, dtype=object), schema))
-    return found.where("band is not null").select(*_columns(CONDENSED)), found.where("src is not null").select(*_columns(PARTS))
+    node = lambda c: F.concat_ws("\u0001", "wb", c)
+    part = lambda c, i: F.get(F.split(c, "\u0001"), F.lit(i))
+    own = settled(bands.select(node("band").alias("id"), "wb", "band", "is_mirror", "width", "label", "sheet"))
+    real, mirrors = own.where("not is_mirror"), own.where("is_mirror")
+    there = own.select("id")
+    links = edges.select(node("src").alias("src"), node("dst").alias("dst")).join(there.withColumnRenamed("id", "src"), "src", "left_semi").join(there.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    reached = settled(through(links, mirrors.select("id")))
+    views = reached.join(mirrors.select(F.col("id").alias("dst"), "sheet"), "dst").groupBy(F.col("src").alias("id"))
+    hint = F.lit(False)
+    for word in PRESENTATION:
+        hint = hint | F.contains(F.lower("sheet"), F.lit(word))
+    views = views.agg(F.count_distinct("dst").alias("fan_in"), F.collect_set(F.when(hint, F.col("sheet"))).alias("shown"))
+    direct = settled(reached.join(mirrors.select(F.col("id").alias("dst")), "dst", "left_anti"))
+    placed, parts = quotient(direct)
+    one = F.lit(1).cast("long")
+    nodes = real.join(placed, "id", "left").join(views, "id", "left").withColumns({"comp": F.coalesce("comp", "id"), "comp_size": F.coalesce("size", one), "on_circle": F.coalesce("on_circle", F.lit(False)), "depth": F.coalesce("depth", F.lit(0).cast("long")), "fan_in": F.coalesce("fan_in", F.lit(0).cast("long"))}).drop("size")
+    nodes, parts = settled(nodes), settled(parts)
+
+    best = F.max_by("id", F.struct("width", F.length("label"), "band"))
+    comps = nodes.groupBy("wb", "comp", "depth", "comp_size").agg(best.alias("best"), F.max_by("width", F.struct("width", F.length("label"), "band")).alias("best_width"), F.max("fan_in").alias("all_fan_in"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("shown", F.array().cast("array<string>")))))).alias("presented_on"))
+    into = direct.join(nodes.select(F.col("id").alias("src"), F.col("width").alias("_w")), "src").join(nodes.select(F.col("id").alias("dst"), "comp"), "dst").groupBy("comp").agg(F.max("_w").alias("widest_in"))
+    ahead, behind = (parts.select(F.col(c).alias("comp"), F.lit(True).alias(n)).distinct() for c, n in (("src", "_ahead"), ("dst", "_behind")))
+    names = islands(parts).select(F.col("id").alias("comp"), "island")
+    comps = settled(comps.join(into, "comp", "left").join(ahead, "comp", "left").join(behind, "comp", "left").join(names.withColumnRenamed("island", "_island"), "comp", "left").withColumn("_island", F.coalesce("_island", "comp")))
+    sizes = comps.groupBy("wb", "_island").agg(F.sum("comp_size").alias("island_size")).withColumn("_negative", -F.col("island_size"))
+    ranked = running(sizes, ["wb"], ["_negative", "_island"], F.lit(1), "island").select("_island", "island_size", (F.col("island") - 1).alias("island"))
+    deepest = comps.groupBy("wb").agg(F.max("depth").alias("max_depth"))
+    comps = running(comps, ["wb"], ["depth", "comp"], F.lit(1), "place").join(ranked, "_island").join(deepest, "wb")
+    comps = comps.select("comp", "best", "best_width", "all_fan_in", "presented_on", "widest_in", "max_depth", (F.col("place") - 1).alias("place"), "island", "island_size", F.col("_ahead").isNull().alias("sink"), F.col("_behind").isNotNull().alias("fed"))
+    falls = (F.col("best_width") == 1) & F.coalesce(F.col("widest_in") >= 3, F.lit(False))
+    out = nodes.drop("fan_in", "shown").join(comps, "comp").select("wb", "band", part("comp", 1).alias("comp"), "comp_size", "on_circle", (F.col("id") == F.col("best")).alias("primary"), "depth", "max_depth", "place", "island", "island_size", F.col("all_fan_in").alias("fan_in"), "presented_on", "sink", "fed", falls.alias("scalar_collapse"))
+    return settled(out), parts.select(part("src", 0).alias("wb"), part("src", 1).alias("src"), part("dst", 1).alias("dst"))
 
 
 def _hit(label: Column, terms: tuple[str, ...]) -> Column:
@@ -284,30 +273,27 @@ def fallback(scored: DataFrame, most: int = 4) -> DataFrame:
     return one.withColumn("rank", rank).where(F.col("rank") <= most).drop("_i")
 
 
-LEVELS = "wb string, id string, level int, cyclic boolean"
-
-
 def cell_levels(nodes: DataFrame, edges: DataFrame, relaxations: int = 4) -> DataFrame:
     """(wb, id, level, cyclic): the longest path to each cell or range from one that nothing flows into.
 
-    Operators and constants count as their cell, a range as a source. Cells on a circle or behind one are cyclic and are
-    moved below their predecessors in a few relaxations.
+    Operators and constants count as their cell, a range as a source. Cells on a circle or behind one are cyclic: they are
+    put below their predecessors that are not, and then below each other in a few relaxations, each from the levels of
+    the one before.
     """
-    real = nodes.where("kind not in ('op', 'const')").select("wb", "id")
+    node = lambda c: F.struct("wb", F.col(c).alias("id"))
+    real = nodes.where("kind not in ('op', 'const')").select(node("id").alias("id")).distinct()
     owner = nodes.select("wb", "id", F.coalesce("owner", "id").alias("own"))
     end = lambda c: owner.select("wb", F.col("id").alias(c), F.col("own").alias(f"_{c}"))
-    links = edges.join(end("src"), ["wb", "src"]).join(end("dst"), ["wb", "dst"]).where("_src <> _dst").select("wb", F.col("_src").alias("src"), F.col("_dst").alias("dst")).distinct()
-
-    def run(key, n: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        from gridloom.functions import model as M
-
-        names = sorted(n["id"])
-        at = {x: i for i, x in enumerate(names)}
-        ahead: list[list[int]] = [[] for _ in names]
-        for x, y in sorted(zip(e["src"], e["dst"])):
-            if x in at and y in at:
-                ahead[at[x]].append(at[y])
-        depth, held, _ = M.longest_paths(ahead, relaxations)
-        return pd.DataFrame({"wb": key[0], "id": names, "level": depth, "cyclic": held})
-
-    return real.groupBy("wb").cogroup(links.select(F.col("wb").alias("_wb"), "src", "dst").groupBy("_wb")).applyInPandas(run, LEVELS)
+    links = settled(edges.join(end("src"), ["wb", "src"]).join(end("dst"), ["wb", "dst"]).where("_src <> _dst").select(node("_src").alias("src"), node("_dst").alias("dst")).distinct())
+    free = settled(depths(links))
+    held = settled(links.select(F.col("src").alias("id")).union(links.select("dst")).distinct().join(free, "id", "left_anti"))
+    into = settled(links.join(held.withColumnRenamed("id", "dst"), "dst", "left_semi"))
+    below = lambda placed: into.join(placed.select(F.col("id").alias("src"), "depth"), "src").groupBy(F.col("dst").alias("id")).agg((F.max("depth") + 1).alias("depth"))
+    first = below(free)
+    now = held.join(first, "id", "left").withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
+    for _ in range(relaxations):
+        more = below(now).withColumnRenamed("depth", "_more")
+        now = settled(now.join(more, "id", "left").select("id", F.greatest("depth", "_more").alias("depth")))
+    levels = free.withColumn("cyclic", F.lit(False)).unionByName(now.withColumn("cyclic", F.lit(True)))
+    out = real.join(levels, "id", "left")
+    return out.select("id.wb", "id.id", F.coalesce("depth", F.lit(0).cast("long")).alias("level"), F.coalesce("cyclic", F.lit(False)).alias("cyclic"))

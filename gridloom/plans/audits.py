@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 from ..operators import audit as A
 from .registry import query
 
-_T = "t AS (SELECT o_orderkey, o_totalprice AS target FROM orders)"
-_C = "c AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS value FROM lineitem UNION ALL SELECT o_orderkey, 0, o_totalprice FROM orders)"
+_T = "t AS (SELECT o_custkey AS book, o_orderkey, o_totalprice AS target FROM orders)"
+_C = "c AS (SELECT o_custkey AS book, l_orderkey, l_linenumber, l_extendedprice AS value, l_returnflag = 'R' AS inside FROM lineitem JOIN orders ON l_orderkey = o_orderkey UNION ALL SELECT o_custkey, o_orderkey, 0, o_totalprice, o_orderstatus = 'F' FROM orders)"
 #: A number's place among all of four significant digits, so 9999.6 and 10000.4 share one; its sign.
 _KEY = "CAST(floor(log10(abs({0}))) * 9000 + floor(abs({0}) / pow(10.0, floor(log10(abs({0}))) - 3) + 0.5) AS BIGINT) AS k{1}, sign({0}) AS s{1}"
 
 
 @query(f"""WITH {_T}, {_C}, a AS (SELECT *, {_KEY.format('value', '1')} FROM c WHERE value <> 0 AND NOT (value = floor(value) AND abs(value) < 10000)), b AS (SELECT *, {_KEY.format('target', '2')} FROM t WHERE target <> 0)
-    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_orderkey, value, target, CASE WHEN abs(value - target) <= 1e-12 * greatest(1.0, abs(target)) THEN 'deny' ELSE 'suspect' END AS kind FROM a JOIN b ON k1 = k2 AND s1 = s2""")
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_orderkey, value, target, CASE WHEN abs(value - target) <= 1e-12 * greatest(1.0, abs(target)) AND NOT inside THEN 'deny' ELSE 'suspect' END AS kind FROM a JOIN b ON a.book = b.book AND k1 = k2 AND s1 = s2""")
 def pasted_answers(t):
-    targets = t("orders").select("o_orderkey", F.col("o_totalprice").alias("target"))
-    cells = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_extendedprice").alias("value"))
-    cells = cells.unionByName(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("long").alias("l_linenumber"), F.col("o_totalprice").alias("value")))
-    return A.leaks(cells, targets)
+    """Cells of a customer's book, lines and orders, that repeat one of its answers, the orders' totals."""
+    orders = t("orders").select(F.col("o_custkey").alias("book"), "o_orderkey", "o_totalprice", (F.col("o_orderstatus") == "F").alias("inside"))
+    targets = orders.select("book", "o_orderkey", F.col("o_totalprice").alias("target"))
+    lines = t("lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_extendedprice").alias("value"), (F.col("l_returnflag") == "R").alias("inside"))
+    cells = lines.join(orders.select("book", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    cells = cells.unionByName(orders.select("book", F.col("o_orderkey").alias("l_orderkey"), F.lit(0).cast("long").alias("l_linenumber"), F.col("o_totalprice").alias("value"), "inside"))
+    return A.leaks(cells, targets, by=["book"], inside="inside").select("l_orderkey", "l_linenumber", "o_orderkey", "value", "target", "kind")
 
 
 @query("""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9][0-9,]*(?:\\.[0-9]+)?%?')) AS x FROM documents), n AS (SELECT doc_id, CAST(regexp_replace(x, '[,%]', '', 'g') AS DOUBLE) AS v FROM f UNION ALL SELECT doc_id, CAST(regexp_replace(x, '[,%]', '', 'g') AS DOUBLE) / 100 FROM f WHERE x LIKE '%\\%' ESCAPE '\\')

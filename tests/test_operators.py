@@ -232,3 +232,22 @@ def test_leaks_by_brute_force(spark):
                     want.append((i, t, "deny" if exact else "suspect"))
     got = audit.leaks(spark.createDataFrame(cells, "id long, value double"), spark.createDataFrame(targets, "target double")).select("id", "target", "kind").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_numbers_are_decimal(spark):
+    from gridloom.functions.columns import digits12, plain_number
+
+    rows = [("5d", None), ("12f", None), ("0x1p3", None), ("1,234", None), (" 1.5e3 ", 1500.0), ("-.5", -0.5), ("5.", 5.0), ("5.e2", 500.0), ("1e400", float("inf")), ("inf", float("inf")), ("", None), (None, None), ("--1", None)]
+    df = spark.createDataFrame(rows, "x string, want double").withColumn("got", plain_number("x"))
+    assert all(r.got == r.want for r in df.collect())
+    assert one(spark, grading.as_number(F.lit("5d"))) is None and one(spark, grading.as_number(F.lit("1,234%"))) == 1234.0
+    values = [1e-13, 0.0, 1.07, -2.5, 100.0, 123456789012.0, 1e12, 1.23456789012345e15, 1e-4, 9.99999999999e-5, 1 / 3, 1e100, -1e-300, 0.1 + 0.2]
+    got = spark.createDataFrame([(v,) for v in values], "v double").withColumn("t", digits12(F.col("v"))).collect()
+    assert [r.t for r in got] == [f"{r.v:.12g}" for r in got]
+
+
+def test_answers_that_are_given_twice(spark):
+    targets = spark.createDataFrame([("t", "a", "g", 1.0), ("t", "b", "g", 2.0)], "task string, ref string, grp string, expected double")
+    answers = spark.createDataFrame([("t", "a", 1.0), ("t", "a", 5.0), ("t", "b", 2.0)], "task string, ref string, given double")
+    got = {r.ref: (r.exact, r.weight) for r in grading.grade(targets, answers, 1e-9, 1e-6).collect()}
+    assert got == {"a": (True, 0.5), "b": (True, 0.5)}
