@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, free_names, look_up, null_key
@@ -18,20 +20,28 @@ def uniform(salt: str, *columns: Column) -> Column:
     return (F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double") + 0.5) / float(1 << (4 * _DIGITS))
 
 
-def poisson_table(rate: Column) -> Column:
-    """The cumulative distribution of a Poisson variable as an array, up to where what is left is below 2**-52.
+#: Up to this rate a table begins at 0; beyond, twelve standard deviations below the rate, where what is left out is below
+#: 10**-32 and Stirling's series for the first term's logarithm is exact to a double.
+FROM_ZERO = 400.0
 
-    Terms are made in logarithms, so a rate of thousands doesn't underflow.
-    """
-    top = (F.ceil(rate + 12 * F.sqrt(rate)) + 24).cast("int")
-    start = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
 
-    def add(acc: Column, k: Column) -> Column:
-        log = acc["log"] + F.log(rate) - F.log(k.cast("double"))
-        total = acc["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(acc["all"], F.array(total)).alias("all"))
+def poisson_tables(rates: DataFrame, key: str, rate: str) -> DataFrame:
+    """(key, first, table) of each positive rate: cumulative probabilities of a Poisson variable from first on, up to where
+    what is left is below 2**-52.
 
-    return F.aggregate(F.sequence(F.lit(1), top), start, add, lambda acc: acc["all"])
+    A term is a row and sums run over the rows of a key, so a table of n terms takes n steps; there are about 24 times the
+    root of the rate. Terms are made in logarithms, so none underflows.
+    """
+    r, x = F.col("_rate"), F.col("_lo").cast("double")
+    spread = 12 * F.sqrt(r)
+    some = rates.where(F.col(rate) > 0).select(F.col(key).alias("_key"), F.col(rate).alias("_rate")).withColumn("_lo", F.when(r <= FROM_ZERO, 0).otherwise(F.floor(r - spread)).cast("long"))
+    each = some.withColumn("_k", F.explode(F.sequence("_lo", (F.ceil(r + spread) + 24).cast("long"))))
+    factorial = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5.0)))
+    begin = -r + F.when(F.col("_lo") > 0, x * F.log(r) - factorial).otherwise(0.0)
+    up = Window.partitionBy("_key").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    logs = each.withColumn("_log", F.sum(F.when(F.col("_k") == F.col("_lo"), begin).otherwise(F.log(r) - F.log(F.col("_k").cast("double")))).over(up))
+    sums = logs.withColumn("_sum", F.sum(F.exp("_log")).over(up))
+    return sums.groupBy(F.col("_key").alias(key), F.col("_lo").alias("first")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_sum"))), lambda t: t["_sum"]).alias("table"))
 
 
 def source_rates(docs: DataFrame, weights: dict[str | None, float] | None, power: float, epochs: float, source_col: str) -> DataFrame:
@@ -65,12 +75,13 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     """
     if clash := {copy_col, order_col} & set(docs.columns):
         raise ValueError(f"columns of docs: {sorted(clash)}")
-    key, table, u, n = free_names([*docs.columns, copy_col, order_col], "key", "table", "u", "n")
-    rates = durable(source_rates(docs, weights, power, epochs, source_col).select(F.col("key").alias(key), "size", F.when(F.col("rate") > 0, poisson_table(F.col("rate"))).alias(table)), "mixing-rates")
-    total, rates = rates.agg(F.sum("size")).first()[0] or 0, rates.select(key, table)
+    key, table, first, u, n = free_names([*docs.columns, copy_col, order_col], "key", "table", "first", "u", "n")
+    known = durable(source_rates(docs, weights, power, epochs, source_col).select("key", "size", "rate"), "mixing-rates")
+    total = known.agg(F.sum("size")).first()[0] or 0
+    rates = durable(known.select("key").join(poisson_tables(known, "key", "rate"), "key", "left").select(F.col("key").alias(key), F.col("first").alias(first), F.col("table").alias(table)), "mixing-tables")
     rows = look_up(docs.withColumn(key, null_key(source_col)), rates, key, id_col).withColumn(u, uniform(f"{seed}:count", F.col(id_col)))
     # a table ends where what is left is below the step of u: one more copy at most
-    rows = rows.withColumn(n, F.when(F.col(table).isNull(), 0).otherwise(F.size(F.filter(table, lambda c: c < F.col(u)))))
+    rows = rows.withColumn(n, F.when(F.col(table).isNull(), 0).otherwise(F.col(first) + F.size(F.filter(table, lambda c: c < F.col(u)))).cast("int"))
     rows = rows.where(F.col(n) > 0).withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     rows = rows.withColumn(order_col, F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(copy_col).cast("string"))), 1, _DIGITS), 16, 10).cast("long"))
     # the hash is uniform, so ranges of equal width hold equal shares and no sample of the rows is needed

@@ -60,3 +60,18 @@ def test_large_rates(spark):
     df = spark.createDataFrame([(i, "t", "s") for i in range(20)], "doc_id long, text string, source string")
     got = Counter(r.doc_id for r in mixing.mix(df, {"s": 1}, epochs=1500.0).collect())
     assert all(1250 < n < 1750 for n in got.values()) and len(got) == 20
+
+
+def test_a_rate_of_a_million(spark):
+    rates = spark.createDataFrame([("a", 1e6), ("b", 399.0), ("c", 401.0), ("d", 0.0), ("e", 2.5e5)], "k string, rate double")
+    got = {r.k: (r["first"], r["table"]) for r in mixing.poisson_tables(rates, "k", "rate").collect()}
+    assert got.keys() == {"a", "b", "c", "e"} and got["b"][0] == 0
+    for k, rate in (("a", 1e6), ("b", 399.0), ("c", 401.0), ("e", 2.5e5)):
+        first, table = got[k]
+        assert len(table) < 24 * rate**0.5 + 450 and abs(table[-1] - 1) < 1e-8
+        for i in (len(table) // 3, len(table) // 2, 2 * len(table) // 3):
+            x = first + i
+            assert table[i] - table[i - 1] == pytest.approx(math.exp(-rate + x * math.log(rate) - math.lgamma(x + 1)), rel=1e-7, abs=1e-300)
+    df = spark.createDataFrame([(1, "t", "big"), *((i, "t", "small") for i in range(2, 40))], "doc_id long, text string, source string")
+    n = mixing.mix(df, {"big": 1.0}, epochs=25_000.0).groupBy("doc_id").count().collect()
+    assert [r.doc_id for r in n] == [1] and abs(n[0]["count"] - 975_000) < 5_000
