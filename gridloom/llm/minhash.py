@@ -14,12 +14,13 @@ from .components import components
 #: A link at similarity 0.8 is missed by all bands with probability (1 - 0.8**ROWS)**BANDS = 8e-6.
 BANDS, ROWS = 64, 8
 COORDINATES = BANDS * ROWS
-#: Coordinates of which 8 bits are kept, to estimate the similarity of two documents, and by how many standard deviations
-#: the equal ones may fall short of their expected number at the threshold before two documents are no longer compared.
-MARKS, DEVIATIONS = 512, 5
+#: 8 bits of each coordinate are kept, for buckets and to estimate the similarity of two documents; and by how many standard
+#: deviations the equal ones may fall short of their expected number at the threshold before two are no longer compared.
+MARKS, DEVIATIONS = COORDINATES, 5
 #: Documents, and shingles of theirs, of one block; a task holds the documents of two blocks at most.
 BLOCK, BLOCK_SHINGLES = 2000, 1 << 21
-#: Up to so many blocks a group of documents is compared whole, each pair of blocks in one task; beyond, bucket by bucket.
+#: Up to so many blocks the documents of a group meet pair of blocks by pair of blocks; beyond, bucket by bucket. Either way
+#: those and only those pairs are compared that share a bucket, so results don't depend on it.
 WHOLE_BLOCKS = 16
 #: Shingles that one task is given to compare, about.
 TASK_SHINGLES = 1 << 20
@@ -85,14 +86,15 @@ def sketches(sdoc: np.ndarray, sh: np.ndarray, n_docs: int, t: int = COORDINATES
     return out
 
 
-def band_keys(sketch: np.ndarray) -> np.ndarray:
-    keys = np.empty((len(sketch), BANDS), np.uint64)
-    for band in range(BANDS):
-        x = np.full(len(sketch), np.uint64(band + 1), np.uint64)
-        for j in range(ROWS):
-            x = mix(x * np.uint64(0xFF51AFD7ED558CCD) + sketch[:, band * ROWS + j])
-        keys[:, band] = x
-    return keys
+def marks_of(sketch: np.ndarray) -> np.ndarray:
+    """8 bits of each coordinate, which both buckets and estimates are made from."""
+    return (sketch & np.uint64(255)).astype(np.uint8)
+
+
+def band_keys(marks: np.ndarray) -> np.ndarray:
+    """A key for each band of each document: that of its ROWS marks, so equal marks and equal keys are one thing."""
+    words = np.ascontiguousarray(marks).view("<u8").astype(np.uint64)
+    return mix(words ^ mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def sketch_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -110,7 +112,8 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
                 sdoc, sh, digest = M.shingle_sets(part, width)
                 n = np.bincount(sdoc, minlength=part.n)
                 s = M.sketches(sdoc, sh, part.n)
-                keys, marks, some = M.band_keys(s).astype(np.int64), (s[:, : M.MARKS] & np.uint64(255)).astype(np.uint8), n > 0
+                marks, some = M.marks_of(s), n > 0
+                keys = M.band_keys(marks).astype(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.n + 1, dtype=np.int32) * M.BANDS), pa.array(keys.reshape(-1)))
                 yield pa.record_batch(
                     [batch.column(0).slice(i, part.n), pa.array(n, pa.int64()), pa.array([d.tobytes() if k else None for d, k in zip(digest, some, strict=True)], pa.binary()), lists, pa.array([m.tobytes() if k else None for m, k in zip(marks, some, strict=True)], pa.binary())],
@@ -146,8 +149,9 @@ def links_of_run(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, role: np.ndar
     """Links between the documents of a run, as few as join all components that any link joins.
 
     role: 0 for a document that is compared with those of role 1 and 2, 1 for one that others are compared with, 2 for
-    both. A pair inside one component, also by links found before, is passed over; a pair whose sizes or marks rule a
-    link out is, too; every other pair's full sets are compared.
+    both. Pairs that share no bucket are passed over, whatever the size of the run's group; so are those inside one
+    component, also by links found before, and those whose sizes or marks rule a link out; every other pair's full sets
+    are compared.
     """
     p = percent / 100
     least = int(MARKS * p - DEVIATIONS * (MARKS * p * (1 - p)) ** 0.5)
@@ -159,7 +163,8 @@ def links_of_run(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, role: np.ndar
         b = b[100 * np.minimum(n[b], n[a]) >= percent * np.maximum(n[b], n[a])]
         if not len(b):
             continue
-        b = b[(marks[b] == marks[a]).sum(axis=1) >= least]
+        same = marks[b] == marks[a]
+        b = b[(same.sum(axis=1) >= least) & same.reshape(len(b), BANDS, ROWS).all(axis=2).any(axis=1)]
         own = shingles[a]
         while len(b):
             some = b[: max(1, int(np.searchsorted(np.cumsum(n[b]), 1 << 20)))]
@@ -239,8 +244,8 @@ def _own(parts: str) -> Column:
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that join all documents which any links between documents of equal buckets join; members: (key, id, n, lead).
 
-    Documents that buckets connect, directly or over others, form a group. In a group of up to WHOLE_BLOCKS blocks all
-    are compared with all, each pair of blocks in one run. In a larger one each document is first compared with the
+    Documents that buckets connect, directly or over others, form a group. In a group of up to WHOLE_BLOCKS blocks those
+    that share a bucket are compared, each pair of blocks in one run. In a larger one each document is first compared with the
     smallest ids of its buckets, block by block. Then buckets that still lie in several components are compared: the
     documents outside of the lead's component, in blocks, with all documents of the bucket, in blocks. Of buckets with the
     same documents one is taken.

@@ -136,7 +136,7 @@ def test_marks_keep_pairs_at_the_threshold():
             x = rng.integers(0, 2**63, n // 9 * 10, dtype=np.uint64)  # two sets of nine tenths each, eight tenths shared
             a, b = np.sort(x[: n // 9 * 9]), np.sort(x[n // 9 :])
             s = M.sketches(np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b]), 2)
-            lost += not M.links_of_run(np.arange(2), np.arange(2), np.array([len(a), len(b)]), np.array([2, 2]), (s[:, : M.MARKS] & np.uint64(255)).astype(np.uint8), [a, b], 80)
+            lost += not M.links_of_run(np.arange(2), np.arange(2), np.array([len(a), len(b)]), np.array([2, 2]), M.marks_of(s), [a, b], 80)
     assert lost == 0
 
 
