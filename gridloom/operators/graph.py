@@ -12,22 +12,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, written to the session's shared folder and read back; a local one only where Spark is local and none is set."""
-    spark = df.sparkSession
+def fresh_folder(spark: SparkSession) -> str:
+    """A folder that isn't there yet, in the session's shared one; a local one only where Spark is local and none is set."""
     sc = spark.sparkContext
     given = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get("spark.checkpoint.dir", "") or sc.getCheckpointDir()
     if not given:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         given = sc._gridloom_steps = getattr(sc, "_gridloom_steps", None) or "file://" + tempfile.mkdtemp(prefix="gridloom-")
-    path = f"{given.rstrip('/')}/gridloom-step-{uuid.uuid4().hex[:12]}"
+    return f"{given.rstrip('/')}/gridloom-step-{uuid.uuid4().hex[:12]}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read back."""
+    path = fresh_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def reach(edges: DataFrame, seeds: DataFrame, backward: bool = False, most: int = 10_000) -> DataFrame:

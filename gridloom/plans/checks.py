@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import rules as R
+from ..operators.graph import fresh_folder
+from ..sources import segments as S
 from .registry import query
 
 
@@ -69,3 +71,15 @@ def nested(t):
     k = F.regexp_extract("props", "[0-9]+", 0)
     deep = F.concat(F.lit('{"K": '), k, F.lit(', "list": ["a", {"Expected": true, "site": "http://'), "event_type", F.lit('.example", "deep": [{"x": '), k, F.lit(".5}]}]}"))
     return t("events").select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 2 == 0, deep).otherwise(F.col("props")).alias("j"))
+
+
+@query("""SELECT p_brand AS wb, p_partkey AS nth, '' || p_partkey AS band, p_type AS sheet, CASE WHEN p_partkey % 5 = 0 THEN 'a "b" \\ c' || chr(10) || p_name WHEN p_partkey % 7 = 0 THEN NULL ELSE p_name END AS label, p_retailprice AS score,
+    p_retailprice >= 1500 OR p_size = 7 AS include FROM part""")
+def curation_files(t):
+    """Curation files of brands, written and read again: labels of any kind, entries that a fallback includes."""
+    label = F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit('a "b" \\ c\n'), "p_name")).when(F.col("p_partkey") % 7 != 0, F.col("p_name"))
+    some = t("part").select(F.col("p_brand").alias("wb"), F.col("p_partkey").alias("rank"), F.col("p_partkey").cast("string").alias("band"), F.col("p_type").alias("sheet"), label.alias("label"), F.col("p_retailprice").alias("score"), "p_size")
+    path = fresh_folder(some.sparkSession)
+    S.write_curation(some.drop("p_size"), path, 1500.0, top=1 << 40, fallback=some.where("p_size = 7"))
+    read = S.read_curation(some.sparkSession, path)
+    return read.select("wb", F.col("band").cast("long").alias("nth"), "band", "sheet", F.nullif("label", F.lit("")).alias("label"), "score", "include")

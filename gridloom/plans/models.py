@@ -35,19 +35,25 @@ def reports(t):
     return out
 
 
-def parts(t):
-    """(nodes, edges, classified cells, bands, band edges, components, edges between them)."""
+def banded(t):
+    """(nodes, edges, classified cells, bands, band edges)."""
     cells = reports(t)
     nodes, edges = M.formula_graph(cells)
     own = G.settled(M.classified(nodes, edges, M.labels(cells)))
     bands, members = M.model_bands(own)
     more, links = M.promoted(bands, members, nodes)
     bands, between = G.settled(bands.unionByName(more)), M.band_edges(M.cell_edges(nodes, edges), members).unionByName(links)
-    return nodes, edges, own, bands, between, *M.condensed(bands, between)
+    return nodes, edges, own, bands, between
+
+
+def parts(t):
+    """(nodes, edges, classified cells, bands, band edges, components, edges between them)."""
+    found = banded(t)
+    return *found, *M.condensed(*found[3:])
 
 
 def scored(t):
-    bands, comps = (parts(t)[i] for i in (3, 5))
+    _, _, _, bands, _, comps, _ = parts(t)
     return G.score(M.candidate_features(bands, comps))
 
 
@@ -99,7 +105,7 @@ def model_cell_edges(t):
 @query(f"""WITH {_N} SELECT wb, 3 * n + 10 AS bands, 3 AS widest, 1 AS hardcoded FROM b""")
 def model_bands(t):
     """Runs of alike cells, and constants in formulas that became bands of their own."""
-    return parts(t)[3].groupBy("wb").agg(F.count(F.lit(1)).alias("bands"), F.max("width").alias("widest"), F.count_if(F.col("band").contains("#lit=")).alias("hardcoded"))
+    return banded(t)[3].groupBy("wb").agg(F.count(F.lit(1)).alias("bands"), F.max("width").alias("widest"), F.count_if(F.col("band").contains("#lit=")).alias("hardcoded"))
 
 
 @query(f"""WITH {_N} SELECT wb, 3 * n + 8 AS comps, 2 AS on_circle, 3 AS deepest, 2 * n + 3 AS main_island FROM b""")
@@ -123,7 +129,7 @@ def model_fallback(t):
 @query(f"""WITH {_N} SELECT wb, 2 AS outputs, n + 1 AS inputs, n AS middle, n + 5 AS unused FROM b""")
 def model_partition(t):
     """Outputs, what feeds them from the edge, what lies between, and the rest."""
-    bands, comps, links = (parts(t)[i] for i in (3, 5, 6))
+    _, _, _, bands, _, comps, links = parts(t)
     name = lambda c: F.concat("wb", F.lit("#"), c)
     best = G.score(M.candidate_features(bands, comps)).where("score >= 6").select(name("comp").alias("id"))
     marked = G.buckets(comps.select(name("comp").alias("id")), links.select(name("src").alias("src"), name("dst").alias("dst")), best)
