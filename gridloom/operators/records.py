@@ -28,11 +28,11 @@ def search(docs: DataFrame, text: str, id_col: str, title_col: str, content_col:
     import re
 
     wanted = re.findall("[a-z0-9.]+", text.lower())
-    # texts without any of the words, which one pass over them shows, are not split
-    maybe = F.lit(False)
-    for w in dict.fromkeys(wanted):
-        maybe = maybe | F.contains(F.lower(F.coalesce(F.col(title_col), F.lit(""))), F.lit(w)) | F.contains(F.lower(F.coalesce(F.col(content_col), F.lit(""))), F.lit(w))
-    docs = docs.where(maybe).select(F.col(id_col).alias("id"), F.coalesce(content_col, F.lit("")).alias("content"), X.tokens(title_col).alias("_t"), F.array_distinct(X.tokens(content_col)).alias("_c"))
+    # texts without any of the words as whole ones, which one pass over them shows, are not split
+    words = "|".join(re.escape(w) for w in dict.fromkeys(wanted)) or r"\b\B"
+    whole = rf"(?:^|[^a-z0-9.])(?:{words})(?:[^a-z0-9.]|$)"
+    maybe = lambda c: F.lower(F.coalesce(F.col(c), F.lit(""))).rlike(whole)
+    docs = docs.where(maybe(title_col) | maybe(content_col)).select(F.col(id_col).alias("id"), F.coalesce(content_col, F.lit("")).alias("content"), X.tokens(title_col).alias("_t"), F.array_distinct(X.tokens(content_col)).alias("_c"))
     hits = F.lit(0.0)
     for w in wanted:
         hits = hits + F.when(F.array_contains("_t", w), 4.0).otherwise(0.0) + F.when(F.array_contains("_c", w), 1.0).otherwise(0.0)

@@ -39,29 +39,33 @@ def driver(df: DataFrame, by: list[str], part: str, period: str, value: str) ->
     return best.select(*by, period, f"_x.{part}", "_x.delta")
 
 
-def quantiles(df: DataFrame, by: str, value: str, at: dict[str, float], buckets: int = 1000) -> DataFrame:
-    """(by, n, and a column for each of at: name -> share): exact quantiles between the nearest ranks, as spreadsheets do.
+#: The sketch that brackets a quantile errs by one in so many ranks.
+ACCURACY = 10_000
 
-    Values are counted in equal ranges between a group's least and greatest value; only values in the few ranges that
-    hold a wanted rank are counted one by one. So no task holds a group, and each step is summed up before its shuffle.
+
+def quantiles(df: DataFrame, by: str, value: str, at: dict[str, float]) -> DataFrame:
+    """(by, and a column for each of at: name -> share): exact quantiles between the nearest ranks, as spreadsheets do.
+
+    A sketch of each group brackets each quantile, whatever outliers there are; values inside a bracket are counted one by
+    one, those between brackets together. So no task holds a group, and both steps are summed up before their shuffle.
     """
-    v = F.col(value).cast("double")
-    rows = df.select(F.col(by), v.alias("v")).where("v is not null")
-    span = rows.groupBy(by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
-    cut = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))).otherwise(0).cast("int")
-    placed = rows.join(span, by).select(by, "v", "n", cut.alias("bucket"))
-    upto = W.partitionBy(by).orderBy("bucket")
-    counted = placed.groupBy(by, "n", "bucket").agg(F.count(F.lit(1)).alias("k")).withColumn("end", F.sum("k").over(upto)).withColumn("start", F.col("end") - F.col("k"))
-    wanted = F.array(*(F.struct(F.lit(name).alias("name"), (F.col("n") - 1).cast("double").__mul__(share).alias("rank")) for name, share in at.items()))
-    ranks = counted.withColumn("w", F.explode(wanted)).select(by, "bucket", "start", "end", F.col("w.name").alias("name"), F.col("w.rank").alias("rank"))
-    ranks = ranks.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("at", F.when(F.col("side") == 0, F.floor("rank")).otherwise(F.ceil("rank"))).where("at >= start and at < end")
-    few = placed.join(ranks.select(by, "bucket", "start").distinct(), [by, "bucket"]).groupBy(by, "bucket", "start", "v").agg(F.count(F.lit(1)).alias("k"))
-    inside = W.partitionBy(by, "bucket").orderBy("v")
-    few = few.withColumn("to", F.col("start") + F.sum("k").over(inside)).withColumn("from", F.col("to") - F.col("k"))
-    hit = ranks.join(few.select(by, "bucket", "v", "from", "to"), [by, "bucket"]).where("at >= `from` and at < `to`")
-    each = hit.groupBy(by, "name").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("v"))).alias("b"), F.max(F.col("rank") - F.floor("rank")).alias("part"))
-    q = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    return each.groupBy(by).agg(*(F.max(F.when(F.col("name") == name, q)).alias(name) for name in at))
+    v, shares = F.col("v"), list(at.values())
+    rows = df.select(F.col(by), F.col(value).cast("double").alias("v")).where("v is not null")
+    around = [min(1.0, max(0.0, q + side * 3 / ACCURACY)) for q in shares for side in (-1, 1)]
+    # of a small group all values are counted
+    span = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("_least"), F.max("v").alias("_most"), F.percentile_approx("v", around, ACCURACY).alias("p"))
+    small = F.col("n") <= ACCURACY // 2
+    brackets = F.array(*(F.struct(F.when(small, F.col("_least")).otherwise(F.col("p")[2 * i]).alias("lo"), F.when(small, F.col("_most")).otherwise(F.col("p")[2 * i + 1]).alias("hi")) for i in range(len(shares))))
+    placed = rows.join(span.select(by, "n", brackets.alias("p")), by)
+    inside = F.exists("p", lambda b: (v >= b["lo"]) & (v <= b["hi"]))
+    before = F.array_max(F.transform(F.filter("p", lambda b: b["hi"] < v), lambda b: b["hi"]))
+    counted = placed.groupBy(by, "n", F.when(inside, v).otherwise(before).alias("x"), inside.alias("one")).agg(F.count(F.lit(1)).alias("k"))
+    counted = counted.withColumn("end", F.sum("k").over(W.partitionBy(by).orderBy(F.asc_nulls_first("x"), F.desc("one")))).withColumn("start", F.col("end") - F.col("k"))
+    rank = lambda q: (F.col("n") - 1).cast("double") * q
+    here = lambda place: F.max(F.when(F.col("one") & (place >= F.col("start")) & (place < F.col("end")), F.col("x")))
+    ends = [c for i, q in enumerate(shares) for c in (here(F.floor(rank(q))).alias(f"_a{i}"), here(F.ceil(rank(q))).alias(f"_b{i}"))]
+    found = counted.groupBy(by, "n").agg(*ends)
+    return found.select(by, *((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (rank(q) - F.floor(rank(q)))).alias(name) for i, (name, q) in enumerate(at.items())))
 
 
 def nth(df: DataFrame, by: str, value: str, k: int, largest: bool = False) -> DataFrame:

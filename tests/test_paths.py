@@ -226,3 +226,17 @@ def test_running_sums(spark):
     df = spark.createDataFrame(rows, "g string, i int, n int").repartition(5)
     got = {(r.g, r.i): r.total for r in S.running(df, ["g"], ["i"], F.col("n"), "total").collect()}
     assert got == {(g, i): sum(n for h, j, n in rows if h == g and j <= i) for g, i, _ in rows}
+
+
+def test_quantiles_with_an_outlier_and_many_ties(spark):
+    import numpy as np
+
+    rng = random.Random(4)
+    groups = {"one": [5.0], "two": [1.0, 9.0], "out": [1e300, *(rng.gauss(0, 1) for _ in range(12_000))], "ties": [rng.choice([1.0, 2.0, 2.0, 3.0]) for _ in range(9000)], "line": [float(i) for i in range(11_000)]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("none", None)], "g string, v double").repartition(6)
+    shares = {"a": 0.0, "q1": 0.25, "m": 0.5, "p999": 0.999, "z": 1.0}
+    got = {r.g: r for r in S.quantiles(df, "g", "v", shares).collect()}
+    assert got.keys() == groups.keys()
+    for g, vs in groups.items():
+        for name, q in shares.items():
+            assert got[g][name] == pytest.approx(float(np.quantile(np.array(vs), q)), rel=1e-9, abs=1e-12)
