@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .registry import ENTRIES
 
-for _name in ("finance", "measures", "dates_text", "lookups", "graphs", "grading", "records", "audits", "workbooks", "models", "trials", "questions", "masks", "ways", "checks", "cuts"):
+for _name in ("finance", "measures", "dates_text", "lookups", "graphs", "grading", "records", "audits", "workbooks", "models", "trials", "questions", "masks", "ways", "checks", "cuts", "leaks"):
     import_module(f".{_name}", __package__)
 
 
