@@ -103,6 +103,21 @@ def families(docs: DataFrame, id_col: str, text_col: str, keywords: dict[str, li
     return docs.select(F.col(id_col), best.alias("b")).select(id_col, F.when(F.col("b.score") >= least, F.col("b.family")).alias("family"), F.col("b.score").cast("long").alias("score"))
 
 
+def sheet_families(books: DataFrame, id_col: str, sheets_col: str, text_col: str, keywords: dict[str, list[str]]) -> DataFrame:
+    """(id, family, score) of every family that scores: 3 for a keyword that is a sheet's name or, with over two letters, part
+    of one, and 1 for one of at least four letters in the text of its cells; case and space around don't count."""
+    names = F.transform(F.coalesce(F.col(sheets_col), F.array().cast("array<string>")), lambda s: F.lower(F.trim(s)))
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+
+    def points(w: str) -> Column:
+        on_sheet = F.exists("_names", lambda s: (s == w) | (F.contains(s, F.lit(w)) if len(w) > 2 else F.lit(False)))
+        return F.when(on_sheet, 3).otherwise(0) + (F.when(F.contains("_low", F.lit(w)), 1).otherwise(0) if len(w) >= 4 else F.lit(0))
+
+    each = F.array(*(F.struct(F.lit(k).alias("family"), sum((points(w) for w in words), F.lit(0)).alias("score")) for k, words in keywords.items()))
+    scored = books.select(F.col(id_col), names.alias("_names"), low.alias("_low")).select(id_col, F.explode(each).alias("_e"))
+    return scored.select(id_col, "_e.family", F.col("_e.score").cast("long").alias("score")).where("score > 0")
+
+
 def unfenced(text: str | Column) -> Column:
     """The text without a code fence around it."""
     text = F.col(text) if isinstance(text, str) else text

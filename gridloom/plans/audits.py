@@ -34,6 +34,15 @@ def leak_text_numbers(t):
 _FAMILIES = {"returns": ["return", "irr", "moic"], "debt": ["debt", "loan", "interest"], "licence": ["license", "rights reserved", "copyright"]}
 
 
+@query("""WITH s AS (SELECT p_partkey, 3 * (lower(p_brand) = 'is' OR contains(lower(p_type), 'small'))::INT + contains(lower(p_name), 'small')::INT + 3 * contains(lower(p_type), 'plated')::INT + contains(lower(p_name), 'plated')::INT AS a,
+    3 * (contains(lower(p_brand), '#1') AND lower(p_brand) = '#1' OR lower(p_type) = '#1')::INT + 3 * (contains(lower(p_type), 'large') OR contains(lower(p_brand), 'large'))::INT + contains(lower(p_name), 'large')::INT + 3 * (contains(lower(p_type), 'red') OR contains(lower(p_brand), 'red'))::INT AS b FROM part)
+    SELECT p_partkey, 'fine' AS family, CAST(a AS BIGINT) AS score FROM s WHERE a > 0 UNION ALL SELECT p_partkey, 'coarse', CAST(b AS BIGINT) FROM s WHERE b > 0""")
+def family_sheets(t):
+    """Families by sheets' names, which count thrice, and by the text of cells: a part's brand and type as sheets, its name."""
+    books = t("part").select("p_partkey", F.array("p_brand", F.concat(F.lit(" "), "p_type")).alias("sheets"), "p_name")
+    return A.sheet_families(books, "p_partkey", "sheets", "p_name", {"fine": ["small", "plated"], "coarse": ["#1", "large", "red"]})
+
+
 @query("""WITH s AS (SELECT doc_id, contains(lower(text), 'return')::INT + contains(lower(text), 'irr')::INT + contains(lower(text), 'moic')::INT AS a, contains(lower(text), 'debt')::INT + contains(lower(text), 'loan')::INT + contains(lower(text), 'interest')::INT AS b,
     contains(lower(text), 'license')::INT + contains(lower(text), 'rights reserved')::INT + contains(lower(text), 'copyright')::INT AS c FROM documents)
     SELECT doc_id, CASE WHEN greatest(a, b, c) < 1 THEN NULL WHEN a >= greatest(b, c) THEN 'returns' WHEN b >= c THEN 'debt' ELSE 'licence' END AS family, CAST(greatest(a, b, c) AS BIGINT) AS score FROM s""")

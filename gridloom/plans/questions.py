@@ -40,3 +40,27 @@ def extract_named_metric(t):
 @query("SELECT o_orderkey FROM orders ORDER BY md5('0|' || o_orderkey), o_orderkey LIMIT 40")
 def recon_sample(t):
     return T.sampled(t("orders").select("o_orderkey"), "o_orderkey", 40)
+
+
+@query("""WITH y AS (SELECT o_custkey, ['Net revenue', 'Churn rate', 'Operating cost'][1 + o_custkey % 3] AS metric, year(o_orderdate) AS y, sum(o_totalprice) AS v FROM orders GROUP BY ALL),
+    s AS (SELECT o_custkey, metric, count(*) AS n, CAST(min(y) AS BIGINT) AS first_period, CAST(max(y) AS BIGINT) AS last_period, arg_min(v, y) AS a, arg_max(v, y) AS b FROM y GROUP BY ALL)
+    SELECT o_custkey, metric, first_period, last_period, round(a, 2) AS first, round(b, 2) AS last, CASE WHEN (b > a) = (metric = 'Net revenue') THEN 'improving' ELSE 'deteriorating' END AS verdict FROM s WHERE n >= 3""")
+def trajectory_verdicts(t):
+    """Series of customers' years, some of metrics that are better when they fall."""
+    metric = F.element_at(F.array(F.lit("Net revenue"), F.lit("Churn rate"), F.lit("Operating cost")), (1 + F.col("o_custkey") % 3).cast("int"))
+    y = t("orders").groupBy("o_custkey", metric.alias("metric"), F.year("o_orderdate").cast("long").alias("year")).agg(F.sum("o_totalprice").alias("v"))
+    return T.trajectories(y, ["o_custkey"], "metric", "year", "v").withColumns({"first": F.round("first", 2), "last": F.round("last", 2)})
+
+
+@query("""WITH c AS (SELECT o_custkey AS wb, o_orderpriority AS sheet, 'B' || o_orderkey AS a1, year(o_orderdate) AS level, o_totalprice AS value FROM orders), l AS (SELECT wb, min(level) AS level FROM c GROUP BY 1),
+    k AS (SELECT c.*, row_number() OVER (PARTITION BY wb ORDER BY md5('0|' || wb || '|' || sheet || '|' || a1), sheet, a1) AS i FROM c JOIN l USING (wb, level)) SELECT wb, sheet || '!' || a1 AS ref, value AS expected FROM k WHERE i <= 2""")
+def recon_frontier(t):
+    """Two of the cells on each book's lowest level."""
+    cells = t("orders").select(F.col("o_custkey").alias("wb"), F.col("o_orderpriority").alias("sheet"), F.concat(F.lit("B"), "o_orderkey").alias("a1"), F.year("o_orderdate").alias("level"), F.col("o_totalprice").alias("value"))
+    return T.recon_frontier(cells, most=2)
+
+
+@query("SELECT o_custkey AS wb, o_orderpriority || '!B' || o_orderkey AS ref, o_totalprice AS expected FROM orders")
+def recon_full(t):
+    """Every cell of each book, under its reference."""
+    return T.recon_full(t("orders").select(F.col("o_custkey").alias("wb"), F.col("o_orderpriority").alias("sheet"), F.concat(F.lit("B"), "o_orderkey").alias("a1"), F.lit(1).alias("level"), F.col("o_totalprice").alias("value")))
