@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as X
+from .series import quantiles
 
 
 def grade(targets: DataFrame, answers: DataFrame, absolute: float, relative: float) -> DataFrame:
@@ -48,7 +49,8 @@ def grade_text(targets: DataFrame, answers: DataFrame, absolute: float, relative
 def task_summary(attempts: DataFrame) -> DataFrame:
     """attempts (task, score, tokens, seconds): (task, n, mean, variance, middle, best, tokens, hours), the variance that of
     all attempts."""
-    return attempts.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.var_pop("score").alias("variance"), F.median("score").alias("middle"), F.max("score").alias("best"), F.sum("tokens").alias("tokens"), (F.sum("seconds") / 3600).alias("hours"))
+    own = attempts.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.var_pop("score").alias("variance"), F.max("score").alias("best"), F.sum("tokens").alias("tokens"), (F.sum("seconds") / 3600).alias("hours"))
+    return own.join(quantiles(attempts, "task", "score", {"middle": 0.5}), "task", "left").select("task", "n", "mean", "variance", "middle", "best", "tokens", "hours")
 
 
 def reliability(cells: DataFrame) -> DataFrame:
