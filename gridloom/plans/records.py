@@ -75,3 +75,22 @@ def foreign_key_faults(t):
 def release_dates(t):
     first = t("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("d"))
     return first.select("o_custkey", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("n"), "d").withColumn("n", F.col("n").cast("long")).select("o_custkey", "n", X.date_of(X.edate(X.serial("d"), F.col("n") * 3)).cast("string").alias("release"))
+
+
+@query("""WITH r AS (SELECT p_brand AS dataset_id, p_partkey AS id, p_name AS metric, p_type AS unit, 'size ' || p_size AS entity FROM part),
+    q AS (SELECT c_custkey AS request, 'Brand#' || (1 + c_custkey % 30) AS dataset_id, CASE c_custkey % 4 WHEN 0 THEN 'ring' WHEN 1 THEN 'widget' WHEN 2 THEN '--' ELSE 'alias ' || (c_custkey % 5) END AS metric, CASE c_custkey % 3 WHEN 0 THEN 'Small' WHEN 1 THEN 'Large' ELSE '' END AS unit, c_custkey % 3 AS cursor FROM customer),
+    h AS (SELECT request, id, q.cursor, row_number() OVER (PARTITION BY request ORDER BY id) AS i, count(*) OVER (PARTITION BY request) AS total FROM q JOIN r ON q.dataset_id = r.dataset_id
+        AND (contains('|' || array_to_string(regexp_extract_all(lower(r.metric), '[a-z0-9.]+'), '|') || '|', '|' || array_to_string(regexp_extract_all(lower(q.metric), '[a-z0-9.]+'), '|') || '|') OR q.metric = 'alias ' || (id % 5))
+        AND contains('|' || array_to_string(regexp_extract_all(lower(r.unit), '[a-z0-9.]+'), '|') || '|', '|' || lower(q.unit) || '|') WHERE q.unit <> '' AND q.metric <> '--'),
+    p AS (SELECT request, any_value(total) AS total, string_agg(id, ',' ORDER BY id) FILTER (i > cursor AND i <= cursor + 3) AS rows, count(*) FILTER (i > cursor AND i <= cursor + 3) AS n FROM h GROUP BY 1),
+    e AS (SELECT request, cursor, CASE WHEN q.dataset_id NOT IN (SELECT dataset_id FROM r) THEN 'unknown dataset' WHEN q.metric = '--' THEN 'a filter without letters or digits' WHEN unit = '' THEN 'too few filters' END AS error FROM q)
+    SELECT request, error, CASE WHEN error IS NULL THEN coalesce(rows, '') END AS rows, CASE WHEN error IS NULL THEN coalesce(total, 0) END AS total, CASE WHEN error IS NULL AND cursor + coalesce(n, 0) < coalesce(total, 0) THEN CAST(cursor + n AS BIGINT) END AS next_cursor FROM e LEFT JOIN p USING (request)""")
+def record_requests(t):
+    """Requests of customers to the parts of a brand, by name or alias and type, three rows a page."""
+    records = t("part").select(F.col("p_brand").alias("dataset_id"), F.col("p_partkey").alias("id"), F.col("p_name").alias("metric"), F.col("p_type").alias("unit"), F.concat(F.lit("size "), "p_size").alias("entity"), F.array(F.concat(F.lit("alias "), F.col("p_partkey") % 5)).alias("metric_aliases"))
+    k = F.col("c_custkey")
+    metric = F.when(k % 4 == 0, "ring").when(k % 4 == 1, "widget").when(k % 4 == 2, "--").otherwise(F.concat(F.lit("alias "), k % 5))
+    unit = F.when(k % 3 == 0, "Small").when(k % 3 == 1, "Large").otherwise("")
+    requests = t("customer").select(k.alias("request"), F.concat(F.lit("Brand#"), 1 + k % 30).alias("dataset_id"), F.create_map(F.lit("metric"), metric, F.lit("unit"), unit).alias("filters"), (k % 3).alias("cursor"), F.lit(3).alias("limit"))
+    out = R.answered(requests, records, records.select("dataset_id"), ["metric", "unit", "entity"])
+    return out.withColumn("rows", F.array_join(F.transform("rows", lambda x: x.cast("string")), ","))

@@ -250,3 +250,17 @@ def test_answers_that_are_given_twice(spark):
     answers = spark.createDataFrame([("t", "a", 1.0), ("t", "a", 5.0), ("t", "b", 2.0)], "task string, ref string, given double")
     got = {r.ref: (r.exact, r.weight) for r in grading.grade(targets, answers, 1e-9, 1e-6).collect()}
     assert got == {"a": (True, 0.5), "b": (True, 0.5)}
+
+
+def test_requests_for_records(spark):
+    rows = [("d", i, "Net margin" if i % 2 else "Cost", "percent", ["NM", "margin, net"]) for i in range(1, 10)] + [("e", 50, "Net margin", "percent", None)]
+    found = spark.createDataFrame(rows, "dataset_id string, id int, metric string, unit string, metric_aliases array<string>")
+    asked = [(1, "d", {"metric": "net margin", "unit": "Percent"}, 0, 5), (2, "d", {"metric": "margin net", "unit": "percent"}, 7, 5), (3, "d", {"metric": "margin"}, 0, 5), (4, "x", {"metric": "m", "unit": "u"}, 0, 5), (5, "d", {"metric": "%", "unit": "percent"}, 0, 5), (6, "d", {"metric": "nothing", "unit": "percent"}, 0, 5), (7, "e", {"unit": "percent", "metric": "net"}, None, None), (8, "d", None, 0, 5), (9, "d", {"metric": "cost", "unit": "percent"}, 99, 1)]
+    requests = spark.createDataFrame(asked, "request int, dataset_id string, filters map<string,string>, cursor int, limit int")
+    got = {r.request: (r.error, r["rows"], r.total, r.next_cursor) for r in records.answered(requests, found, found.select("dataset_id"), ["metric", "unit"]).collect()}
+    assert got[1] == (None, [1, 3, 5, 7, 9], 5, None) and got[2] == (None, [8, 9], 9, None) and got[7] == (None, [50], 1, None)
+    assert [got[i][0] for i in (3, 4, 5, 8)] == ["too few filters", "unknown dataset", "a filter without letters or digits", "too few filters"] and got[4][1] is None
+    assert got[6] == (None, [], 0, None) and got[9] == (None, [], 4, None)
+    assert [r.id for r in records.listed(found, "id", 2, metric="net").collect()] == [1, 3]
+    out = {r.id: r.error for r in records.fetched(spark.createDataFrame([(1,), (77,)], "id int"), found, "id").collect()}
+    assert out == {1: None, 77: "unknown id: 77"}
