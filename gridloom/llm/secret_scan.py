@@ -121,13 +121,13 @@ def find_secrets(docs: DataFrame, samples: DataFrame | None = None, id_column: s
     rows give no rows. Other columns, whatever their names, are left out. A text's matches are rows of their own while their
     places are summed, so long texts need no long arrays but those of their own matches.
     """
-    scanned = durable(_scanned(docs, id_column, text_column), "secret-scan", compression="zstd")
+    scanned = durable(_scanned(docs, id_column, text_column), "secret-scan")
     ratios = log_ratios(sample_of(scanned) if samples is None else samples.select("value", F.col("random").cast("boolean").alias("random")))
     value = lambda x: x["value"]
     secret = lambda x: (F.length(value(x)) >= LEAST_JUDGED) & ~value(x).rlike(ACCESS) & ~value(x).rlike(HEX) & (score(value(x), ratios) > bound)
     slim = lambda kind, kept: F.transform(kind, lambda x: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), kept(x).alias("kept")))
     judged = scanned.select("_row", "_id", *(slim(k, (lambda x: x["kept"]) if k != "markov" else secret).alias(k) for k in KINDS))
-    judged = durable(judged.select("_row", "_id", F.array(*KINDS).alias("_found")).withColumn("_any", F.exists("_found", lambda a: F.exists(a, lambda x: x["kept"]))), "secret-runs", compression="zstd")
+    judged = durable(judged.select("_row", "_id", F.array(*KINDS).alias("_found")).withColumn("_any", F.exists("_found", lambda a: F.exists(a, lambda x: x["kept"]))), "secret-runs")
 
     each = judged.where("_any").select("_row", "_id", F.posexplode("_found").alias("_kind", "_a")).select("_row", "_id", "_kind", F.posexplode("_a").alias("_at", "_m"))
     before = Window.partitionBy("_row", "_kind").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
