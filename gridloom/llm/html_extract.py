@@ -170,6 +170,25 @@ def _slot(kind: str, word: str) -> int:
     return zlib.crc32(f"{kind}:{word}".encode()) % _SLOTS
 
 
+class _Slots(dict):
+    """Slots of words of one kind, kept over batches; all are forgotten when there are MOST_SLOTS."""
+
+    def __init__(self, kind: str) -> None:
+        super().__init__()
+        self.kind = kind
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MOST_SLOTS:
+            self.clear()
+        slot = self[word] = _slot(self.kind, word)
+        return slot
+
+
+#: Words of a kind whose slots a worker remembers at most.
+MOST_SLOTS = 100_000
+_TAG_SLOTS, _PAIR_SLOTS, _NAME_SLOTS, _WORD_SLOTS = (_Slots(kind) for kind in "tdnw")
+
+
 @dataclass
 class Features:
     """Hashed features of pages' blocks and of the elements around them; an element's sum holds those around it, too."""
@@ -213,13 +232,6 @@ def vectors(pages: list[list[Block]]) -> Features:
     at: dict[int, int] = {}  # of a Place by its identity
     element, element_slot, around, depth = [], [], [0], [0]
     inside, block, slot, weight, numbers = [], [], [], [], []
-    memo: dict[tuple, int] = {}
-
-    def hashed(kind: str, word: str) -> int:
-        if (kind, word) not in memo:
-            memo[kind, word] = _slot(kind, word)
-        return memo[kind, word]
-
     for page in pages:
         for i, b in enumerate(page):
             new, x = [], b.place
@@ -228,7 +240,7 @@ def vectors(pages: list[list[Block]]) -> Features:
                 x = x.around
             for x in reversed(new):
                 k = at[id(x)] = len(around)
-                own = [hashed("t", x.tag), *([hashed("d", f"{x.around.tag}>{x.tag}")] if x.around else []), *(hashed("n", n) for n in x.names)]
+                own = [_TAG_SLOTS[x.tag], *([_PAIR_SLOTS[f"{x.around.tag}>{x.tag}"]] if x.around else []), *map(_NAME_SLOTS.__getitem__, x.names)]
                 element += [k] * len(own)
                 element_slot += own
                 around.append(at[id(x.around)] if x.around else 0)
@@ -236,8 +248,9 @@ def vectors(pages: list[list[Block]]) -> Features:
             words = _WORDS.findall(b.text.lower())
             said = Counter(words)
             block += [len(inside)] * len(said)
-            slot += [hashed("w", w) for w in said]
-            weight += [c / len(words) for c in said.values()]
+            slot += map(_WORD_SLOTS.__getitem__, said)
+            total = len(words)
+            weight += [c / total for c in said.values()]
             inside.append(at[id(b.place)] if b.place else 0)
             n = len(b.text)
             numbers.append((np.log1p(n) / 5, b.linked / n, sum(map(b.text.count, ".,;:!?")) / n, i / len(page), (len(page) - i) / len(page), float(b.text[-1] in ".!?")))
