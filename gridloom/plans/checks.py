@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as X
 from ..operators import rules as R
 from ..operators.graph import fresh_folder
 from ..sources import segments as S
@@ -25,8 +26,7 @@ def row_rules(t):
 def key_rules(t):
     """Lines that share a number or lack an order, balances that customers share."""
     lines = t("lineitem").select(F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey")).alias("k"), F.when(F.col("l_orderkey") % 10 == 3, 1).otherwise(F.col("l_linenumber")).alias("n"))
-    floor = F.regexp_replace(F.floor("c_acctbal").cast("double").cast("decimal(18,1)").cast("string"), "^-0.0$", "0.0")
-    return R.key_faults({"line": (lines, ["k", "n"]), "balance": (t("customer").select(floor.alias("b")), ["b"])})
+    return R.key_faults({"line": (lines, ["k", "n"]), "balance": (t("customer").select(X.floor_text(F.col("c_acctbal")).alias("b")), ["b"])})
 
 
 @query("""SELECT 'nation' AS rule, '' || c_custkey AS id, 'no ' || (c_nationkey + 5) AS message FROM customer WHERE c_nationkey + 5 NOT IN (SELECT n_nationkey FROM nation)

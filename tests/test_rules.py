@@ -60,3 +60,17 @@ def test_rules(spark):
     low = spark.createDataFrame([("l1", "m1"), ("l2", "m2"), ("l3", None)], "k string, up string")
     got = sorted((r.table, r.id, r.broken) for r in R.chain_faults([("top", top, "k", None), ("mid", mid, "k", "up"), ("low", low, "k", "up")]).collect())
     assert got == [("low", "l2", "mid"), ("low", "l3", "low"), ("mid", "m2", "mid")]
+
+
+def test_keys_of_floors_are_texts_of_doubles(spark, tmp_path):
+    import duckdb
+    import __spark_entry__ as entry
+
+    values = "('0.4'), ('0.6'), ('-0.0'), ('-0.0'), ('-0.5'), ('-0.2'), ('nan'), ('nan'), ('-inf'), ('-inf'), ('1e16'), ('1e16'), ('-1.5e300'), ('-1.5e300'), ('123456789012345.6'), ('123456789012345.5'), (NULL)"
+    db = duckdb.connect()
+    db.execute(f"COPY (SELECT v::DOUBLE AS c_acctbal FROM (VALUES {values}) x(v)) TO '{tmp_path}/customer.parquet'")
+    db.execute(f"COPY (SELECT 1::BIGINT AS l_orderkey, 1::INTEGER AS l_linenumber) TO '{tmp_path}/lineitem.parquet'")
+    for t in ("customer", "lineitem"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = sorted(map(str, (tuple(r) for r in entry.queries()["key_rules"](spark, str(tmp_path)).select("rule", "id", "message").collect())))
+    assert got == sorted(map(str, db.execute(entry.oracle_sql()["key_rules"]).fetchall())) and "('balance', '-0.0', '2 rows')" in got
