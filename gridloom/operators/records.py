@@ -149,28 +149,36 @@ def answered(requests: DataFrame, records: DataFrame, datasets: DataFrame, field
     requests: (request, dataset_id, filters, cursor, limit), filters a map of texts by field; records: (dataset_id, id, fields,
     metric_aliases); datasets: (dataset_id). A record is meant if each of its fields contains the filter's tokens one after
     another; an alias of the metric will do for the metric. An unknown dataset, a filter without letters or digits and
-    fewer than least filters are errors. Requests meet records by dataset, field and the first token of their first
-    filter, so no request is compared with a whole dataset.
+    fewer than least filters are errors. Requests with the same filters are one question, which meets records by dataset,
+    field and the first token of its first filter; its hits are numbered once, and each page takes its rows by number.
     """
     known = datasets.select("dataset_id").distinct().withColumn("_known", F.lit(True))
     wants = {f: F.coalesce(F.try_element_at("filters", F.lit(f)), F.lit("")) for f in fields}
     active = F.filter(F.array(*(F.struct(F.lit(f).alias("field"), X.tokens(w).alias("want"), (w != "").alias("on")) for f, w in wants.items())), lambda x: x["on"])
     asked = requests.join(known, "dataset_id", "left").withColumn("_active", active)
     error = F.when(F.col("_known").isNull(), "unknown dataset").when(F.exists("_active", lambda x: F.size(x["want"]) == 0), "a filter without letters or digits").when(F.size("_active") < least, "too few filters")
-    asked = settled(asked.select("request", "dataset_id", error.alias("error"), "_active", F.greatest(F.lit(0), F.coalesce("cursor", F.lit(0))).alias("cursor"), F.greatest(F.lit(1), F.least(F.coalesce("limit", F.lit(size)), F.lit(size))).alias("limit")))
+    asked = settled(asked.select("request", "dataset_id", error.alias("error"), "_active", F.to_json("_active").alias("_question"), F.greatest(F.lit(0), F.coalesce("cursor", F.lit(0))).alias("cursor"), F.greatest(F.lit(1), F.least(F.coalesce("limit", F.lit(size)), F.lit(size))).alias("limit")))
     said = {f: F.transform(F.array(F.col(f)) if f != "metric" else F.concat(F.array(F.col(f)), F.coalesce(F.col("metric_aliases"), F.array().cast("array<string>"))), lambda x: X.tokens(x)) for f in fields}
     rows = settled(records.select("dataset_id", "id", F.array(*(F.struct(F.lit(f).alias("field"), s.alias("have")) for f, s in said.items())).alias("_said")))
     keys = rows.select("dataset_id", "id", F.explode("_said").alias("_s")).select("dataset_id", "id", F.col("_s.field").alias("_field"), F.explode(F.array_distinct(F.flatten("_s.have"))).alias("_token"))
-    good = asked.where("error is null").withColumn("_field", F.col("_active")[0]["field"]).withColumn("_token", F.col("_active")[0]["want"][0])
-    near = good.select("request", "dataset_id", "_active", "_field", "_token").join(keys, ["dataset_id", "_field", "_token"]).select("request", "dataset_id", "_active", "id").join(rows, ["dataset_id", "id"])
+    one = ["dataset_id", "_question"]
+    near = questions(asked).join(keys, ["dataset_id", "_field", "_token"]).select(*one, "_active", "id").join(rows, ["dataset_id", "id"])
     meant = F.forall("_active", lambda a: F.exists("_said", lambda s: (s["field"] == a["field"]) & F.exists(s["have"], lambda have: X.contains_tokens(have, a["want"]))))
-    hits = near.where(meant).select("request", "id")
-    totals = hits.groupBy("request").agg(F.count(F.lit(1)).alias("total"))
-    # a task keeps no more rows of a request than its page can reach
-    placed = hits.join(good.select("request", "cursor", "limit"), "request").withColumn("_i", F.row_number().over(W.partitionBy("request").orderBy("id")))
-    pages = placed.where("_i > cursor and _i <= cursor + limit").groupBy("request").agg(F.sort_array(F.collect_list("id")).alias("rows"))
-    out = asked.join(totals, "request", "left").join(pages, "request", "left")
+    hits = settled(near.where(meant).select(*one, "id").withColumn("_i", F.row_number().over(W.partitionBy(*one).orderBy("id"))))
+    totals = settled(hits.groupBy(*one).agg(F.max("_i").cast("long").alias("total")))
+    # a page is at most size places long, and pages that are asked for again are made once
+    views = asked.where("error is null").select(*one, "cursor", "limit").distinct()
+    places = views.withColumn("_i", F.explode(F.sequence(F.col("cursor").cast("long") + 1, F.col("cursor").cast("long") + F.col("limit"))))
+    pages = settled(places.join(hits, [*one, "_i"]).groupBy(*one, "cursor", "limit").agg(F.sort_array(F.collect_list("id")).alias("rows")))
+    out = asked.join(totals, one, "left").join(pages, [*one, "cursor", "limit"], "left")
     total = F.when(F.col("error").isNull(), F.coalesce("total", F.lit(0).cast("long")))
     rows_of = F.when(F.col("error").isNull(), F.coalesce("rows", F.array().cast(pages.schema["rows"].dataType)))
     end = (F.col("cursor") + F.size(rows_of)).cast("long")
     return out.select("request", "error", rows_of.alias("rows"), total.alias("total"), F.when(end < total, end).alias("next_cursor"))
+
+
+def questions(asked: DataFrame) -> DataFrame:
+    """(dataset_id, _question, _active, _field, _token): what is asked without errors, each once, however many ask it."""
+    first = F.col("_active")[0]
+    good = asked.where("error is null").groupBy("dataset_id", "_question").agg(F.any_value("_active").alias("_active"))
+    return good.select("*", first["field"].alias("_field"), first["want"][0].alias("_token"))

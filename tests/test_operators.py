@@ -264,3 +264,14 @@ def test_requests_for_records(spark):
     assert [r.id for r in records.listed(found, "id", 2, metric="net").collect()] == [1, 3]
     out = {r.id: r.error for r in records.fetched(spark.createDataFrame([(1,), (77,)], "id int"), found, "id").collect()}
     assert out == {1: None, 77: "unknown id: 77"}
+
+
+def test_requests_that_ask_the_same_are_one_question(spark, monkeypatch):
+    found = spark.range(300).selectExpr("'d' dataset_id", "id", "'Net margin' metric", "'percent' unit", "cast(null as array<string>) metric_aliases")
+    requests = spark.range(2000).selectExpr("id request", "'d' dataset_id", "map('metric', if(id % 2 = 0, 'net', 'MARGIN'), 'unit', 'percent') filters", "cast(id % 310 as int) cursor", "2 limit")
+    met, kept = [], records.settled
+    monkeypatch.setattr(records, "settled", lambda df: met.append(kept(df)) or met[-1])
+    got = {r.request: (r["rows"], r.total, r.next_cursor) for r in records.answered(requests, found, found.select("dataset_id"), ["metric", "unit"]).collect()}
+    assert all(got[i] == ([x for x in (i % 310, i % 310 + 1) if x < 300], 300, i % 310 + 2 if i % 310 < 298 else None) for i in range(2000))
+    hits = [df.count() for df in met if "_i" in df.columns]
+    assert hits == [600]  # two questions, each with 300 records, not a row for each request and record
