@@ -71,3 +71,15 @@ def test_references():
     ids = lambda text, sheet="A": [t[0] for t in book.targets(parse(text), sheet)]
     assert ids("=N") == ["A!A1", "B!A1"] and ids("=N", "C") == ["C!A1"] and ids("=A:A") == ["A!A1", "A!A2"] and ids("=A9") == []
     assert ids("=LOOP") == ["name:LOOP"] and ids("=BAD") == ["name:BAD"] and ids("=Gone!A1") == ["name:Gone!A1"]
+
+
+def test_no_task_holds_a_book(spark, monkeypatch):
+    cell = "wb string, sheet string, sheet_idx int, row int, col int, a1 string, formula string, is_array boolean, kind string, number double, text string"
+    rows = [("w", "S", 0, i, 1, None, None, False, "num", float(i), None) for i in range(1, 301)] + [("w", "S", 0, i, 2, None, f"=A{i}*2", False, "num", 2.0 * i, None) for i in range(1, 301)]
+    rows += [("w", "S", 0, 1, 3, None, "=SUM(A:A)+SUM(A1:A300)", False, "num", 0.0, None), ("w", "S", 0, 2, 3, None, '=INDIRECT("OFFSET(A1,1,1)")', False, "num", 0.0, None)]
+    plans, kept = [], M.settled
+    monkeypatch.setattr(M, "settled", lambda df: plans.append(df._jdf.queryExecution().toString()) or kept(df))
+    nodes, edges = M.formula_graph(spark.createDataFrame(rows, cell))
+    assert [(r.id, r.n) for r in nodes.where("kind = 'range'").collect()] == [("S!A1:A300", 300)] and edges.where("src = 'S!A1:A300'").count() == 2
+    assert edges.where("src like 'S!A%' and via_range = ''").count() == 300 and edges.where("role = 'resolved'").isEmpty()
+    assert plans and not any("GroupsInPandas" in p for p in plans)
