@@ -118,7 +118,8 @@ def table_faults(tables: DataFrame, inventory: DataFrame, sheets: DataFrame) ->
     tables: (wb, id, text), lines of | cells |; inventory: (wb, sheet, r1, c1, r2, c2, encoded), the boxes that tables may
     name and the text that their numbers come from; sheets: (wb, sheet). Numbers agree as numbers: 1.50 is 1.5.
     """
-    refs = prose_references(tables.select("wb", "id", "text"), "text", sheets, ["wb"]).select("wb", "id", F.explode("refs").alias("ref")).where("ref.known")
+    tables = settled(tables.select("wb", "id", "text"))
+    refs = prose_references(tables, "text", sheets, ["wb"]).select("wb", "id", F.explode("refs").alias("ref")).where("ref.known")
     boxes = settled(refs.select("wb", "id", F.col("ref.sheet").alias("sheet"), F.col("ref.box").alias("box"), *corners(F.col("ref.box"))))
     rows_of, cols_of = F.explode(F.sequence("r1", "r2")), F.explode(F.sequence("c1", "c2"))
     allowed = inventory.where("r1 <= r2 and c1 <= c2").select("wb", "sheet", rows_of.alias("row"), "c1", "c2").select("wb", "sheet", F.col("row").cast("long").alias("row"), cols_of.alias("col")).distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import normaliser as N
 from ..operators import references as R
+from ..operators.graph import settled
 from .registry import query
 
 #: What the books hold: the value of a line, whether it is computed, and whether the delivered book still has it.
@@ -17,7 +18,7 @@ def books(t):
     """(cells, held, sheets) of the books."""
     lines = t("lineitem").join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("wb"), F.when(F.col("o_orderpriority") == "5-LOW", "Lists").otherwise(F.col("o_orderpriority")).alias("sheet")), "l_orderkey")
     computed = F.bool_or((F.col("l_tax") == 0.08) & (F.col("l_linenumber") == 1))
-    one = lines.groupBy("wb", "sheet", F.col("l_orderkey").alias("row"), F.col("l_linenumber").alias("col")).agg(F.max(F.col("l_partkey") * 100 + F.col("l_quantity")).cast("double").alias("number"), F.when(computed, "=1+1").alias("formula"), F.bool_or(F.col("l_discount") == 0.1).alias("_off"))
+    one = settled(lines.groupBy("wb", "sheet", F.col("l_orderkey").alias("row"), F.col("l_linenumber").alias("col")).agg(F.max(F.col("l_partkey") * 100 + F.col("l_quantity")).cast("double").alias("number"), F.when(computed, "=1+1").alias("formula"), F.bool_or(F.col("l_discount") == 0.1).alias("_off")))
     cells = one.select("wb", "sheet", "row", "col", "formula", F.lit("num").alias("kind"), "number", F.lit(None).cast("string").alias("text"))
     return cells, one.where(~(F.col("_off") & (F.col("col") == 2))), cells.select("wb", "sheet").distinct()
 
@@ -55,6 +56,7 @@ def prose_boxes(t):
     text = F.concat(quoted, F.lit("!B"), F.greatest(F.col("o_custkey") - F.col("o_orderkey") % 40, F.lit(1)), F.lit(":$AD$"), F.col("o_custkey") + F.col("o_orderkey") % 300, F.lit(" count."))
     rows = o.select(F.lit("all").alias("wb"), "o_orderkey", text.alias("text"))
     refs = R.prose_references(rows, "text", cells.select("wb", "sheet").distinct(), ["wb"]).select("wb", "o_orderkey", F.explode("refs").alias("r"))
+    refs = settled(refs)
     boxes = refs.select("wb", "o_orderkey", F.col("r.sheet").alias("sheet"), *R.corners(F.col("r.box")))
     found = R.inside(boxes, cells, ["wb", "sheet"]).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("cells"), F.sum("row").alias("total"))
     return refs.select("o_orderkey").join(found, "o_orderkey", "left").select("o_orderkey", F.coalesce("cells", F.lit(0)).alias("cells"), F.coalesce("total", F.lit(0)).alias("total"))
@@ -73,5 +75,5 @@ def table_faults(t):
     tables = tables.select(F.col("id").cast("string").alias("wb"), "id", "text")
     key = F.col("id").cast("string").alias("wb")
     inventory = l.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("x "), "q"))), ", ").alias("e"))
-    inventory = inventory.select(key, F.lit("Data").alias("sheet"), F.col("id").alias("r1"), F.lit(1).cast("long").alias("c1"), F.col("id").alias("r2"), F.lit(2).cast("long").alias("c2"), F.col("e").alias("encoded"))
+    inventory = settled(inventory.select(key, F.lit("Data").alias("sheet"), F.col("id").alias("r1"), F.lit(1).cast("long").alias("c1"), F.col("id").alias("r2"), F.lit(2).cast("long").alias("c2"), F.col("e").alias("encoded")))
     return N.table_faults(tables, inventory, inventory.select("wb", "sheet")).select("id", "fault", "said", "row")

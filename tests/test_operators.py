@@ -275,3 +275,34 @@ def test_requests_that_ask_the_same_are_one_question(spark, monkeypatch):
     assert all(got[i] == ([x for x in (i % 310, i % 310 + 1) if x < 300], 300, i % 310 + 2 if i % 310 < 298 else None) for i in range(2000))
     hits = [df.count() for df in met if "_i" in df.columns]
     assert hits == [600]  # two questions, each with 300 records, not a row for each request and record
+
+
+def test_boxes_of_all_heights_meet_cells_in_tiles_of_their_size(spark):
+    from gridloom.operators import references
+
+    tiles, heights = references.TILES, [1, 63, 64, 65, 340, 512, 513, 4097, 40_000, 300_000, 3_000_000]
+    assert all(b <= 8 * a for a, b in zip(tiles, tiles[1:]))
+    boxes = spark.createDataFrame([("b", i, 60 + i, 2, 59 + i + h, 3) for i, h in enumerate(heights)], "wb string, i int, r1 long, c1 long, r2 long, c2 long")
+    rows = [r for h in heights for r in (59, 60, 70, h + 59, h + 60, h + 75)]
+    cells = spark.createDataFrame([("b", r, c) for r in sorted(set(rows)) for c in (1, 2, 4)], "wb string, row long, col long")
+    got = sorted((r.i, r.row, r.col) for r in references.inside(boxes, cells, ["wb"]).collect())
+    assert got == sorted((i, r, 2) for i, h in enumerate(heights) for r in set(rows) if 60 + i <= r <= 59 + i + h)
+
+
+def test_edges_are_folded_over_batches():
+    import pandas as pd
+
+    ring = [pd.DataFrame({"a": [i], "b": [i + 1]}) for i in range(100)]
+    assert [len(x) for x in graph._stars(iter(ring))] == [100] and set(next(graph._stars(iter(ring)))["b"]) == {0}
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_only_first_words_of_phrases_are_shuffled(spark, monkeypatch, most):
+    from gridloom.operators import values
+
+    monkeypatch.setattr(values, "MOST_FIRSTS", most)
+    targets = spark.createDataFrame([("a", 1, "text", None, "net income", None), ("a", 2, "text", None, "!!", None), ("b", 3, "text", None, "net", None)], "book string, id int, kind string, number double, text string, day date")
+    texts = spark.createDataFrame([("a", 10, "The Net Income !!"), ("b", 11, "net income"), ("a", 12, "netincome"), ("c", 13, "net")], "book string, id int, text string")
+    found = values.prose_leaks(texts, targets, ["book"])
+    assert {(r.id, r.target) for r in found.collect()} == {(10, 1), (10, 2), (11, 3)}
+    assert ("_w" in found._jdf.queryExecution().optimizedPlan().toString()) and ("LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()) == bool(most)
