@@ -38,14 +38,18 @@ def longest_path_depth(t):
 _PS = "e AS (SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem)"
 
 
+def lines(t):
+    return t("lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"))
+
+
 def parts_suppliers(t):
-    return t("lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
+    return lines(t).distinct()
 
 
 @query(f"""WITH RECURSIVE {_PS}, n AS (SELECT DISTINCT a.dst AS x, b.dst AS y FROM e a JOIN e b ON a.src = b.src), r AS (SELECT x, y FROM n UNION SELECT r.x, n.y FROM r JOIN n ON r.y = n.x),
     c AS (SELECT r.x AS s, min(least(e.src, e.dst)) AS island FROM r JOIN e ON e.dst = r.y GROUP BY 1) SELECT s AS id, island FROM c UNION SELECT e.src, island FROM e JOIN c ON c.s = e.dst""")
 def islands(t):
-    return G.islands(parts_suppliers(t))
+    return G.islands(lines(t))
 
 
 @query("""WITH e AS (SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem), d AS (SELECT src AS id, 0 AS i, 1 AS o FROM e UNION ALL SELECT dst, 1, 0 FROM e)
