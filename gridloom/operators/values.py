@@ -8,6 +8,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import settled
+
 #: How a number is shown, and patterns of dates.
 _NUMBER = r"([-+]?(?:[0-9]{1,3}(?:[,\s][0-9]{3})+|[0-9]+)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)\s*(%?)\s*"
 _BEFORE, _AFTER = r"^\s*(?:[A-Z]{3}\s*|[$€£]\s*)?", r"(?:\s*[A-Za-z][A-Za-z0-9 ./()_-]*)?\s*$"
@@ -15,6 +17,8 @@ SHOWN, BRACKETED = _BEFORE + _NUMBER + _AFTER, _BEFORE + r"\(\s*" + _NUMBER + r"
 DATES = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy")
 #: Fixed value: a number inside prose.
 IN_PROSE = r"(?<![A-Za-z0-9.])[-+]?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?%?(?![A-Za-z0-9.])"
+#: First words of phrases that are broadcast; with more, texts' words are all shuffled.
+MOST_FIRSTS = 1_000_000
 #: Numbers agree within this part of the larger one, and absolutely below 1.
 NEAR = 1e-9
 
@@ -107,8 +111,12 @@ def prose_leaks(texts: DataFrame, targets: DataFrame, by: list[str]) -> DataFram
     first = F.coalesce(F.get(words(F.col("_p")), F.lit(0)), F.lit(""))
     wanted = targets.withColumn("_p", phrase).where("_p <> ''").select(*by, F.col("id").alias("target"), "_p", first.alias("_w"))
     # a phrase without words can stand anywhere: its key is the empty word, which every text has
+    wanted = settled(wanted)
+    firsts = settled(wanted.select("_w").distinct())
     held = texts.select(*by, "id", F.lower("text").alias("_t")).withColumn("_w", F.explode(F.array_append(F.array_distinct(words(F.col("_t"))), F.lit(""))))
-    held = held.join(wanted.select(*by, "_w").distinct(), [*by, "_w"], "left_semi").join(wanted, [*by, "_w"])
+    # words that begin no phrase of any group are left out before the shuffle, if those that do fit every task
+    few = firsts.count() <= MOST_FIRSTS
+    held = (held.join(F.broadcast(firsts), "_w", "left_semi") if few else held).join(wanted, [*by, "_w"])
     edge = r"(?<![\p{L}\p{N}_])%s(?![\p{L}\p{N}_])"
     quoted = F.concat(F.lit(edge.split("%s")[0] + r"\Q"), F.replace(F.col("_p"), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E" + edge.split("%s")[1]))
     return out.unionByName(held.where(F.contains("_t", F.col("_p")) & F.regexp_like("_t", quoted)).select(*by, "id", "target")).distinct()
