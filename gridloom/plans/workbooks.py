@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import workbook as B
+from ..operators.graph import settled
 from .registry import query
 
 
@@ -65,7 +66,7 @@ def workbook_verify(t):
     c = books(t)
     v = B.evaluate(c).select("wb", "sheet", "row", "col", F.col("kind").alias("_k"), F.col("number").alias("_n"), F.col("text").alias("_t"))
     stored = c.join(v, ["wb", "sheet", "row", "col"], "left").select(*(F.coalesce(n, c[o]).alias(o) if o in ("kind", "number", "text") else c[o] for o, n in ((x, {"kind": "_k", "number": "_n", "text": "_t"}.get(x, x)) for x in c.columns)))
-    again = B.scan(B.pack(stored))
+    again = settled(B.scan(B.pack(stored)))
     return B.verify(again, B.evaluate(again)).groupBy("wb", "verdict").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -306,3 +306,27 @@ def test_only_first_words_of_phrases_are_shuffled(spark, monkeypatch, most):
     found = values.prose_leaks(texts, targets, ["book"])
     assert {(r.id, r.target) for r in found.collect()} == {(10, 1), (10, 2), (11, 3)}
     assert ("_w" in found._jdf.queryExecution().optimizedPlan().toString()) and ("LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()) == bool(most)
+
+
+def test_large_books_are_evaluated_by_rounds_as_in_one_task(spark, monkeypatch):
+    import random
+
+    rng = random.Random(18)
+    monkeypatch.setattr(W, "ROUNDS", 4)
+    forms = ["=A{r}*2+$B$1", "=SUM($A$1:A{r})", "=IF(A{r}>0,T!B2,\"=x\")", "=COUNTBLANK(A{r}:D60)", "=C{r}&\"|\"", "=1/0", "=NOSUCH(A{r})", "=A{r}+", "=IFERROR(C{r},7)", "=Rate*A{r}", "=OFFSET(A{r},0,1)", "=INDIRECT(\"A{r}\")", "=T!B{r}+1", "=AVERAGE(A:A)", "=MAX(T!A1:C9)", "=D{r}", "=A{r}>2", "=10^400", "=ROW()+COLUMN(B{r})", "=TODAY()", "=(A1:A9 A{r}:B{r})", "=LEN(C{r})"]
+    books = []
+    for wb in ("v", "w"):
+        book = {s: {f"A{r}": rng.choice([1.5, -2.0, 3.0, True, "words", ("=A1", 1.0), "=1+1"]) for r in range(1, 30) if rng.random() < 0.9} for s in ("S", "T")}
+        for s in book:
+            book[s] |= {f"{c}{r}": rng.choice(forms).format(r=rng.randrange(1, 30)) for r in range(1, 30) for c in "BCDE" if rng.random() < 0.8}
+        book["S"] |= {"G1": "=G2+1", "G2": "=G1*0.5", "G3": "=G2+A1", "H1": 1.0} | {f"H{r}": f"=H{r - 1}+1" for r in range(2, 10)}
+        books.append((wb, bytearray(B.write(book, {"Rate": "S!$A$3"}))))
+    books = spark.createDataFrame(books, "wb string, content binary")
+    cells, given = W.scan(books).cache(), {"names": W.names(books), "settings": W.settings(books)}
+    want = sorted(map(repr, W.evaluate(cells, **given).collect()))
+    assert len(want) > 200
+    # books of which rounds evaluate a part
+    assert sorted(map(repr, W.evaluate(cells, whole=0, **given).collect())) == want
+    # and all
+    found, left = W._rounds(cells.where("sheet = 'S' and col = 8 and row < 4"), 45000.0)
+    assert left.isEmpty() and len(found) > 1
